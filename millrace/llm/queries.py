@@ -3,18 +3,51 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, decontaminate, token_files, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows whose labels may be learned from.
+LEARN = "crc32(cast(cast(doc_id AS string) AS binary)) % 5 <> 0"
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), LEARN)
+    got = toxicity.score(docs, model)
+    return got.select("doc_id", (~F.expr(LEARN)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "toxic")
+
+
+def _crc(ids: np.ndarray) -> tuple[int]:
+    return (zlib.crc32(ids.astype("<u4").tobytes()),)
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    folder = token_files.write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, end_id=0)
+    index = token_files.write_index(spark, folder)
+    got = token_files.read_token_files(spark, folder, _crc, "ids_crc32 long")
+    return token_files.with_starts(got, index).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    return got.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "longest",
+    )
+
+
 def _bpe_digests(ids: np.ndarray, decoded: bytes) -> tuple[str, str]:
     text = ",".join(map(str, ids.tolist()))
     return hashlib.sha256(text.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()
@@ -27,6 +60,9 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_toxicity": op5_toxicity,
+    "op6_token_files": op6_token_files,
+    "op9_decontaminate": op9_decontaminate,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
