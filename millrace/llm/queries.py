@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, token_files, toxicity
+from . import bpe, decontaminate, licenses, token_files, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,21 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.with_starts(got, index).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = licenses.scan(table(spark, sf_dir, "documents"))
+    starts = F.transform("base", lambda d: d["start"])
+    return got.select(
+        "doc_id", "n_words", F.size("base").cast("long").alias("n_base"), F.array_min(starts).cast("long").alias("first_word"), F.array_max(starts).cast("long").alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform("base", lambda d: d["label"]))), ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score",
+    )
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.write_warc(table(spark, sf_dir, "pages"), least=1000)
+    warc.write_index(spark, folder)
+    return warc.read_warc(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
     return got.select(
@@ -62,6 +77,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_token_files": op6_token_files,
+    "op7_license_scan": op7_license_scan,
+    "op8_warc": op8_warc,
     "op9_decontaminate": op9_decontaminate,
     "op10_byte_bpe": op10_byte_bpe,
 }
