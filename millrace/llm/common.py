@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text handled at once by a Python worker; a longer single text is handled alone.
@@ -38,6 +38,11 @@ def as_documents(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*(F.col(f"`{c}`") for c in columns))
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once: a lambda variable stands for it, where the optimizer would repeat the expression."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, component): the least node reachable over edges (src, dst), for every node of an edge.
 

@@ -14,7 +14,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_documents
+from .common import as_documents, bound
 
 
 @dataclass(frozen=True)
@@ -100,11 +100,6 @@ def _blanks(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
 
 
-def _bound(value: Column, body) -> Column:
-    """body(value) with value computed once: a lambda variable stands for it."""
-    return F.get(F.transform(F.array(value), body), 0)
-
-
 def _intervals(joined: Column, pattern: Column, priority: Column, label: Column) -> Column:
     """Detections (start, end in words, priority, label) of all matches of a pattern, from the pieces between them.
 
@@ -126,7 +121,7 @@ def _intervals(joined: Column, pattern: Column, priority: Column, label: Column)
         return F.when(F.size(m["found"]) > 0, F.aggregate(each, first, step(m), lambda acc: acc["out"])).otherwise(F.array().cast(_KIND))
 
     found = F.regexp_extract_all(joined, pattern, F.lit(0))
-    return _bound(F.struct(found.alias("found"), F.split(joined, pattern, -1).alias("pieces")), body)
+    return bound(F.struct(found.alias("found"), F.split(joined, pattern, -1).alias("pieces")), body)
 
 
 def _order(a: Column, b: Column) -> Column:

@@ -10,13 +10,31 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, licenses, token_files, toxicity, warc
+from . import bpe, decontaminate, licenses, line_dedup, token_files, toxicity, url_filter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+RULES = [
+    url_filter.Rule("block", "com", "/en/"),
+    url_filter.Rule("allow", "example.com", "/en/7"),
+    url_filter.Rule("block", "net", "/de/"),
+    url_filter.Rule("block", "example.net", "/de/8"),
+    url_filter.Rule("block", "org", "/es/"),
+]
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = line_dedup.remove_boilerplate(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "text", F.col("__lines").alias("n_lines"), F.col("__removed").alias("n_removed"))
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 #: Rows whose labels may be learned from.
 LEARN = "crc32(cast(cast(doc_id AS string) AS binary)) % 5 <> 0"
 
@@ -75,6 +93,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_line_dedup": op2_line_dedup,
+    "op4_url_filter": op4_url_filter,
     "op5_toxicity": op5_toxicity,
     "op6_token_files": op6_token_files,
     "op7_license_scan": op7_license_scan,
@@ -83,4 +103,18 @@ QUERIES = {
     "op10_byte_bpe": op10_byte_bpe,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_line_dedup": """
+WITH lines AS (
+    SELECT doc_id, source, u.pos - 1 AS pos, u.line AS line, trim(u.line, ' ' || chr(9) || chr(13)) AS t
+    FROM documents, LATERAL (SELECT unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos) u
+), spread AS (
+    SELECT t, min(struct_pack(doc_id := doc_id, pos := pos)) AS first FROM lines WHERE length(t) >= 20
+    GROUP BY t HAVING count(DISTINCT source) >= 8
+), judged AS (
+    SELECT l.*, s.t IS NOT NULL AND (s.first.doc_id <> l.doc_id OR s.first.pos <> l.pos) AS gone FROM lines l LEFT JOIN spread s ON l.t = s.t
+)
+SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed
+FROM judged GROUP BY doc_id
+""",
+}
