@@ -8,14 +8,14 @@ from collections.abc import Callable, Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .common import as_documents, slices
+from .pieces import PieceIds
 
-#: Entries of a worker's memory of pieces and of token pairs; beyond it the memory starts anew.
-PIECES, PAIRS = 400_000, 1_000_000
+#: Entries of a worker's memory of token pairs; beyond it the memory starts anew.
+PAIRS = 1_000_000
 
 
 class Codec:
@@ -28,7 +28,7 @@ class Codec:
     """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks, self.pattern = ranks, regex.compile(pattern)
+        self.ranks = ranks
         self.bytes_of = {v: k for k, v in ranks.items()}
         self.trie = ahocorasick.Automaton()
         for token, rank in ranks.items():
@@ -36,7 +36,7 @@ class Codec:
         self.trie.make_automaton()
         self.pairs: dict[tuple[int, int], bool] = {}
         self.own: dict[int, bool] = {}
-        self.pieces: dict[str, np.ndarray] = {}
+        self.pieces = PieceIds(pattern, self.encode_pieces)
 
     def merged(self, data: bytes) -> list[int]:
         """The definition: merge the adjacent pair of least rank, the leftmost of equals, until none is left."""
@@ -87,20 +87,14 @@ class Codec:
                 _, pos, choice = out.pop()
         return [t for t, _, _ in out]
 
-    def piece(self, text: str) -> np.ndarray:
-        if (known := self.pieces.get(text)) is None:
-            if len(self.pieces) >= PIECES:
-                self.pieces.clear()
-            known = np.array(self.encode_bytes(text.encode()), np.uint32).tobytes()
-            if len(text) <= 64:
-                self.pieces[text] = known
-        return known
+    def encode_pieces(self, pieces: list[str]) -> Iterator[bytes]:
+        """Ids of each piece, as u32 bytes."""
+        return (np.array(self.encode_bytes(p.encode()), np.uint32).tobytes() for p in pieces)
 
-    def encode(self, text: str | None) -> np.ndarray:
-        """Ids of a whole text; null counts as empty."""
-        found = self.pattern.findall(text) if text else []
-        get = self.pieces.get
-        return np.frombuffer(b"".join([get(p) or self.piece(p) for p in found]), np.uint32)
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of whole texts; null counts as empty."""
+        flat, begin = self.pieces.texts(texts)
+        return [flat[a:b] for a, b in zip(begin[:-1], begin[1:], strict=True)]
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
@@ -136,8 +130,8 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, derive: Derive |
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
         for batch in batches:
-            for part in slices(batch, "text"):
-                ids = [c.encode(t) for t in part.column("text").to_pylist()]
+            for part in slices(batch, "text", 1 << 20):
+                ids = c.encode(part.column("text"))
                 sizes = np.array([len(x) for x in ids], np.int64)
                 columns = [part.column("doc_id"), pa.array(sizes)]
                 if with_ids:

@@ -89,7 +89,8 @@ _BYTE = np.random.default_rng(20240601).integers(1, 2**64, 256, dtype=np.uint64)
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def _upto(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """0th to at least nth powers of the hash's base and of its inverse, modulo 2 ** 64."""
     if len(_powers[0]) < n + 1:
         m = max(n + 1, 2 * len(_powers[0]))
         for k, p in enumerate((_P, _P_INV)):
@@ -130,7 +131,7 @@ class Words:
         self.counts = np.bincount(self.text, minlength=len(offsets) - 1)
         self.first = np.concatenate([[0], np.cumsum(self.counts)])
         self.data, self.offsets = data, offsets
-        p, inv = _upto(n)
+        p, inv = powers(n)
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(_BYTE[data] * p[:n], out=sums[1:])
         span = lambda end: mixed((sums[end] - sums[self.start]) * inv[self.start])

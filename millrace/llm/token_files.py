@@ -12,27 +12,27 @@ Parts hold ascending ranges of doc_id, files of a part and frames of a file asce
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from .common import as_documents, shared_dir, slices
+from .pieces import COMMON, PieceIds
 
 MAGIC = b"MRTOKEN1"
 HEAD, BODY = "<QI", "<qBBQ"
 HEAD_SIZE, BODY_SIZE = struct.calcsize(HEAD), struct.calcsize(BODY)
 #: A file ends with the frame that takes it beyond this.
 FILE_BYTES = 4 << 20
-#: Entries of a worker's memory of pieces.
-PIECES = 400_000
 
 
 def masked(data: bytes) -> int:
@@ -40,39 +40,53 @@ def masked(data: bytes) -> int:
     return (((crc >> 15) | (crc << 17)) + 0xA282EAD8) & 0xFFFFFFFF
 
 
-class PieceEncoder:
-    """Ids of whole texts by a tokenizer file; pieces of its split pattern are encoded by the library once and remembered.
+class Library:
+    """Ids of whole texts by a tokenizer file: the library encodes every distinct piece of the split pattern, texts are joined from pieces.
 
-    Merges never cross pieces, so joining the ids of the pieces gives the ids of the text. Texts that hold
-    the string of an added token go to the library as they are.
+    Merges never cross pieces, so this gives the ids of the text. Pieces of a space and letters go to the library joined, as
+    the pattern parts them again at each space; the bytes of ids tell which piece they are of. Texts that hold the
+    string of an added token go to the library as they are.
     """
 
     def __init__(self, path: str, pattern: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks use the cores already
         self.library = Tokenizer.from_file(path)
-        self.split = regex.compile(pattern).findall
-        added = self.library.get_added_tokens_decoder().values()
-        self.added = [str(t.content) for t in added]
-        self.pieces: dict[str, bytes] = {}
-
-    def ids(self, texts: list[str | None]) -> list[bytes]:
-        """Ids as little-endian u32; null counts as empty."""
-        pieces = [None if t is None or any(a in t for a in self.added) else self.split(t) for t in texts]
-        known = self.pieces
-        if len(known) >= PIECES:
-            known.clear()
-        new = list({p for x in pieces if x for p in x if p not in known})
-        for p, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[p] = np.array(e.ids, "<u4").tobytes()
-        out = []
-        for t, x in zip(texts, pieces, strict=True):
-            if x is None:
-                out.append(np.array(self.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if t else b"")
-            else:
-                out.append(b"".join(map(known.__getitem__, x)))
-        return out
-
-
-_encoders: dict[tuple[str, str], PieceEncoder] = {}
+        self.added = [str(t.content) for t in self.library.get_added_tokens_decoder().values()]
+        # In byte-level vocabularies each character of a token stands for one byte.
+        vocabulary = self.library.get_vocab(with_added_tokens=False)
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.sizes[i] = len(token)
+        self.common = pattern == COMMON
+        self.ids = PieceIds(pattern, self.encode)
+
+    def encode(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces, as u32 bytes."""
+        joined = [p for p in pieces if p[0] == " " and p[1:].isalpha()] if self.common else []
+        known: dict[str, bytes] = {}
+        for a in range(0, len(joined), 4000):
+            part = joined[a : a + 4000]
+            text = "".join(part)
+            ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            data = np.frombuffer(text.encode(), np.uint8)
+            ends = np.append(np.flatnonzero(data == 32)[1:], len(data))  # a space begins each piece and is nowhere else
+            cut = (4 * (np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1)).tolist()
+            data = ids.tobytes()
+            known.update(zip(part, map(data.__getitem__, map(slice, [0, *cut], cut)), strict=False))
+        rest = [p for p in pieces if p not in known] if len(joined) < len(pieces) else []
+        for p, e in zip(rest, self.library.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            known[p] = np.array(e.ids, np.uint32).tobytes()
+        return list(map(known.__getitem__, pieces))
+
+    def texts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after another, and where each text's begin (n + 1). Null counts as empty."""
+        if not any(pc.any(pc.match_substring(column, a)).as_py() for a in self.added):
+            return self.ids.texts(column)
+        each = [np.array(self.library.encode(t, add_special_tokens=False).ids if t else [], np.uint32) for t in column.to_pylist()]
+        return np.concatenate(each), np.concatenate([[0], np.cumsum([len(x) for x in each])])
+
+
+_encoders: dict[tuple[str, str], Library] = {}
 
 
 def encoded(docs: DataFrame, path: str, pattern: str, end_id: int) -> DataFrame:
@@ -81,14 +95,14 @@ def encoded(docs: DataFrame, path: str, pattern: str, end_id: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if (path, pattern) not in _encoders:
-            _encoders[path, pattern] = PieceEncoder(path, pattern)
-        end = np.array([end_id], "<u4").tobytes()
+            _encoders[path, pattern] = Library(path, pattern)
         for batch in batches:
             for part in slices(batch, "text", 2 << 20):
+                flat, begin = _encoders[path, pattern].texts(part.column("text"))
                 rows = []
-                for x in _encoders[path, pattern].ids(part.column("text").to_pylist()):
-                    ids = np.frombuffer(x + end, "<u4")
-                    rows.append(b"\x02" + ids.astype("<u2").tobytes() if ids.max() < 1 << 16 else b"\x04" + ids.tobytes())
+                for a, b in zip(begin[:-1], begin[1:], strict=True):
+                    ids = np.append(flat[a:b], np.uint32(end_id))
+                    rows.append(b"\x02" + ids.astype("<u2").tobytes() if ids.max() < 1 << 16 else b"\x04" + ids.astype("<u4").tobytes())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(rows, pa.binary())], names=out.names)
 
     return as_documents(docs.withColumn("doc_id", F.col("doc_id").cast("long")), "doc_id", "text").mapInArrow(run, out)
