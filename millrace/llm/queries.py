@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, licenses, line_dedup, token_files, toxicity, url_filter, warc
+from . import bpe, decontaminate, licenses, line_dedup, ngram_join, token_files, toxicity, url_filter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ RULES = [
 ]
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = line_dedup.remove_boilerplate(table(spark, sf_dir, "documents"))
     return got.select("doc_id", "text", F.col("__lines").alias("n_lines"), F.col("__removed").alias("n_removed"))
@@ -93,6 +97,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_line_dedup": op2_line_dedup,
     "op4_url_filter": op4_url_filter,
     "op5_toxicity": op5_toxicity,
