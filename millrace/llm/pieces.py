@@ -75,63 +75,76 @@ def split_common(points: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 class PieceIds:
-    """Ids of texts from ids of pieces. encode gives the ids of new pieces as u32 bytes; known ones are remembered in two generations of at most `most`."""
+    """Ids of texts from ids of pieces. encode gives the ids of new pieces as u32 bytes.
 
-    def __init__(self, pattern: str, encode: Callable[[list[str]], Iterable[bytes]], most: int = 200_000):
+    Pieces are told apart by 96 bits of hashes and their size. Known ones lie in sorted arrays of at most `most` entries,
+    some twenty bytes each; when these are full the memory starts anew.
+    """
+
+    def __init__(self, pattern: str, encode: Callable[[list[str]], Iterable[bytes]], most: int = 1_500_000):
         self.find = regex.compile(pattern).findall
         self.common, self.encode, self.most = pattern == COMMON, encode, most
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def of(self, pieces: list[str]) -> list[bytes]:
-        """Ids of distinct pieces as u32 bytes."""
-        found = list(map(self.new.get, pieces))
-        missing = [i for i, x in enumerate(found) if x is None]
-        if self.old and missing:
-            for i in missing:
-                found[i] = self.old.get(pieces[i])
-            missing = [i for i in missing if found[i] is None]
-        if len(self.new) + len(pieces) > self.most:
-            self.old, self.new = self.new, {}
-        for i, x in zip(missing, self.encode([pieces[i] for i in missing]), strict=True):
-            found[i] = x
-        self.new.update(zip(pieces, found, strict=True))
-        return found
+        self.forget()
+
+    def forget(self) -> None:
+        self.hash, self.check = np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+        self.begin, self.size = np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def known(self, h: np.ndarray, check: np.ndarray, text: str, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Places in memory of distinct pieces, given in order of hash; new ones are encoded and taken up first."""
+        at = np.searchsorted(self.hash, h)
+        old = at < len(self.hash)
+        old[old] = (self.hash[at[old]] == h[old]) & (self.check[at[old]] == check[old])
+        new = np.flatnonzero(~old)
+        if len(new):
+            if len(self.hash) + len(new) > self.most and len(self.hash):
+                self.forget()
+                return self.known(h, check, text, start, end)
+            ids = list(self.encode([text[a:b] for a, b in zip(start[new].tolist(), end[new].tolist(), strict=True)]))
+            size = np.array([len(x) >> 2 for x in ids], np.int32)
+            flat = np.frombuffer(b"".join(ids), np.uint32)
+            if self.used + len(flat) > len(self.pool):
+                self.pool = np.concatenate([self.pool[: self.used], np.zeros(max(len(self.pool), len(flat)), np.uint32)])
+            self.pool[self.used : self.used + len(flat)] = flat
+            begin = (np.cumsum(size) - size + self.used).astype(np.int32)
+            self.used += len(flat)
+            place = at[new]
+            self.hash, self.check = np.insert(self.hash, place, h[new]), np.insert(self.check, place, check[new])
+            self.begin, self.size = np.insert(self.begin, place, begin), np.insert(self.size, place, size)
+            at += np.cumsum(~old) - ~old  # each new piece moves those behind it
+        return at
 
     def texts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a column, one after another, and where each text's begin (n + 1). Null counts as empty."""
         data, offsets = text_buffers(column)
         data = data[offsets[0] : offsets[-1]]
-        offsets = offsets - offsets[0]
         whole = data.tobytes().decode()
-        chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]  # bounds of texts in characters
+        chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets - offsets[0]]  # bounds of texts in characters
+        points = np.frombuffer(whole.encode("utf-32-le"), "<u4")
+        _classes()
         if self.common:
-            points = np.frombuffer(whole.encode("utf-32-le"), "<u4")
             start = split_common(points, chars)
         else:
             sizes = [len(p) for a, b in zip(chars[:-1], chars[1:], strict=True) for p in self.find(whole[a:b])]
-            points = np.frombuffer(whole.encode("utf-32-le"), "<u4")
-            start = np.concatenate([[0], np.cumsum(sizes)])[:-1].astype(np.int64)
-            _classes()
+            start = np.cumsum([0, *sizes])[:-1]
         if not len(start):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         end = np.append(start[1:], len(points))
-        distinct, inverse = self.distinct(points, start, end)
-        ids = self.of([whole[a:b] for a, b in zip(start[distinct].tolist(), end[distinct].tolist(), strict=True)])
-        size = np.array([len(x) // 4 for x in ids], np.int64)
-        begin = np.cumsum(size) - size
-        flat = np.frombuffer(b"".join(ids), np.uint32)
-        each = size[inverse]
-        stop = np.concatenate([[0], np.cumsum(each)])
-        at = np.repeat(begin[inverse] - stop[:-1], each) + np.arange(stop[-1])
-        return flat[at], stop[np.searchsorted(start, chars)]
-
-    @staticmethod
-    def distinct(points: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First occurrences of the distinct pieces and the number of each piece among them. Pieces are told apart by 64-bit hashes and sizes."""
         power, inverse_power = powers(len(points))
-        sums = np.zeros(len(points) + 1, np.uint64)
-        np.cumsum(_tables["values"][points] * power[: len(points)], out=sums[1:])
-        h = mixed((sums[end] - sums[start]) * inverse_power[start]) + (end - start).astype(np.uint64)
-        _, first, back = np.unique(h, return_index=True, return_inverse=True)
-        return first, back
+        value = _tables["values"][points]
+        sums, small = np.zeros(len(points) + 1, np.uint64), np.zeros(len(points) + 1, np.uint32)
+        np.cumsum(value * power[: len(points)], out=sums[1:])
+        value >>= np.uint64(29)
+        np.cumsum(value.astype(np.uint32) * power[: len(points)].astype(np.uint32), out=small[1:], dtype=np.uint32)
+        h = mixed((sums[end] - sums[start]) * inverse_power[start])
+        h += (end - start).astype(np.uint64)
+        h, first, back = np.unique(h, return_index=True, return_inverse=True)
+        a, b = start[first], end[first]
+        at = self.known(h, (small[b] - small[a]) * inverse_power[a].astype(np.uint32), whole, a, b)
+        size, begin = self.size[at][back], self.begin[at][back]
+        stop = np.zeros(len(size) + 1, np.int32)
+        np.cumsum(size, out=stop[1:])
+        place = np.repeat(begin - stop[:-1], size)
+        place += np.arange(len(place), dtype=np.int32)
+        return self.pool[place], stop[np.searchsorted(start, chars)].astype(np.int64)

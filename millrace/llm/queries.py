@@ -10,13 +10,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, licenses, line_dedup, ngram_join, token_files, toxicity, url_filter, warc
+from . import ann, bpe, decontaminate, licenses, line_dedup, ngram_join, token_files, toxicity, url_filter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.search(vectors.where("vec_id % 100 = 0"), vectors, "vec_id", "embedding", k=10)
+
+
 RULES = [
     url_filter.Rule("block", "com", "/en/"),
     url_filter.Rule("allow", "example.com", "/en/7"),
@@ -99,6 +104,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_line_dedup": op2_line_dedup,
+    "op3_cross_polytope": op3_cross_polytope,
     "op4_url_filter": op4_url_filter,
     "op5_toxicity": op5_toxicity,
     "op6_token_files": op6_token_files,
