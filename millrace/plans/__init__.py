@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from millrace.plans import pages, records, tables
+
+QUERIES = {**pages.QUERIES, **records.QUERIES, **tables.QUERIES}
+ORACLES = {**pages.ORACLES, **records.ORACLES, **tables.ORACLES}
