@@ -201,7 +201,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: float =
 def _with_shingles(docs: DataFrame, members: DataFrame, shingle: int) -> DataFrame:
     """members with the shingles of one of their texts each; the texts come from docs by doc_id and are known by fingerprint."""
     d = as_documents(docs, "doc_id", "text")
-    text = d.join(members, F.col("doc_id").eqNullSafe(F.col("rep"))).select("text", "grp", "id", "fp", "copies", "blocks", "block")
+    # A merge join at every size: members grow with the documents, so that a broadcast would fit small inputs only.
+    text = d.join(members.hint("merge"), F.col("doc_id").eqNullSafe(F.col("rep"))).select("text", "grp", "id", "fp", "copies", "blocks", "block")
     names = ["grp", "id", "copies", "blocks", "block", "shingles"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,7 +228,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHO
     gone = gone.select("doc_id", "text_hash").unionByName(more.where("text_hash <> best").select("doc_id", "text_hash")).distinct()
     repeated = written(more.where("text_hash = best").groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where("n > 1").select("doc_id", "text_hash"), "repeated")
     on = lambda t: docs["doc_id"].eqNullSafe(t["__id"]) & (F.xxhash64(docs["text"]) == t["__hash"])
-    named = lambda t: t.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+    named = lambda t: t.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).hint("merge")
     if repeated.isEmpty():
         return docs.join(t := named(gone), on(t), "left_anti")
     once = docs.join(t := named(repeated), on(t), "left_semi").dropDuplicates(["doc_id", "text"])
