@@ -62,9 +62,8 @@ def _crc(ids: np.ndarray) -> tuple[int]:
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     folder = token_files.write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, end_id=0)
-    index = token_files.write_index(spark, folder)
-    got = token_files.read_token_files(spark, folder, _crc, "ids_crc32 long")
-    return token_files.with_starts(got, index).select("doc_id", "start", "n_tokens", "ids_crc32")
+    index = token_files.write_index(spark, folder, _crc, "ids_crc32 long")
+    return token_files.with_starts(spark.read.parquet(index), index).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,7 +85,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
     return got.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "longest",
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
 
 
@@ -114,6 +113,9 @@ QUERIES = {
     "op10_byte_bpe": op10_byte_bpe,
 }
 
+#: Words of a text in DuckDB, A-Z lower-cased.
+_WORDS = "regexp_extract_all(translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
 ORACLES: dict[str, str] = {
     "op2_line_dedup": """
 WITH lines AS (
@@ -127,5 +129,49 @@ WITH lines AS (
 )
 SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed
 FROM judged GROUP BY doc_id
+""",
+    "op1_ngram_join": f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM w, LATERAL (SELECT unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS i)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY 1),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM g a JOIN g b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE c / (x.n + y.n - c) >= 0.8),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a)
+SELECT doc_id, (SELECT min(b) FROM reach WHERE a = doc_id) AS class_id, (SELECT count(*) FROM link WHERE a = doc_id) AS n_links FROM documents
+""",
+    "op4_url_filter": """
+WITH RECURSIVE p AS (
+    SELECT page_id, url, html, translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) AS path FROM pages
+), rules(verdict, h, t) AS (VALUES ('block', 'com', '/en/'), ('allow', 'example.com', '/en/7'), ('block', 'net', '/de/'), ('block', 'example.net', '/de/8'), ('block', 'org', '/es/')),
+best AS (SELECT page_id, max(struct_pack(size := length(h || t), rule := h || t, verdict := verdict)) AS b FROM p JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, t) GROUP BY 1),
+-- Links with absolute addresses, by pages' ids; the tables hold no others.
+node AS (SELECT page_id, regexp_replace(url, '#.*$', '') AS node FROM p),
+tag AS (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\\b[^>]*>')) AS tag FROM p),
+link AS (SELECT page_id, regexp_replace(CASE WHEN regexp_matches(tag, '(?is)\\brel\\s*=\\s*[\"'']?canonical') THEN regexp_extract(tag, '(?is)\\bhref\\s*=\\s*[\"'']?([^\"''\\s>]+)', 1)
+    WHEN regexp_matches(tag, '(?is)\\bhttp-equiv\\s*=\\s*[\"'']?refresh') THEN regexp_extract(tag, '(?is)\\burl\\s*=\\s*[\"'']?([^\"''\\s>]+)', 1) END, '#.*$', '') AS dst FROM tag),
+edge AS (SELECT n.node AS a, l.dst AS b FROM link l JOIN node n USING (page_id) WHERE dst <> '' UNION SELECT l.dst, n.node FROM link l JOIN node n USING (page_id) WHERE dst <> ''),
+reach AS (SELECT node AS a, node AS b FROM node UNION SELECT r.a, e.b FROM reach r JOIN edge e ON r.b = e.a),
+said AS (SELECT n.page_id, count(*) FILTER (b.b.verdict = 'block') AS blocks, count(*) FILTER (b.b.verdict = 'allow') AS allows
+    FROM node n JOIN reach r ON r.a = n.node JOIN node m ON m.node = r.b AND m.node <> n.node JOIN best b ON b.page_id = m.page_id GROUP BY 1)
+SELECT p.page_id, host, path, b.b.rule AS rule, coalesce(b.b.verdict, CASE WHEN blocks > 0 AND allows = 0 THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN best b USING (page_id) LEFT JOIN said USING (page_id)
+""",
+    "op8_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+r AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS top FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, sha1(h) AS payload_digest, CASE WHEN n >= 1000 AND top > page_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN n >= 1000 AND top > page_id THEN top END AS refers_to FROM r
+""",
+    "op9_decontaminate": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format("text")} AS w FROM documents), b AS (SELECT item_id, {_WORDS.format("text")} AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS g FROM b, LATERAL (SELECT unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i) WHERE len(w) > 0),
+size AS (SELECT DISTINCT k FROM win),
+place AS (SELECT r, i, k, array_to_string(w[i:i + k - 1], ' ') AS g FROM d, size, LATERAL (SELECT unnest(range(1, len(w) - k + 2)) AS i)),
+hit AS (SELECT r, i, k, item_id FROM place JOIN win USING (k, g)),
+n AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + k)) AS p FROM hit) GROUP BY 1),
+item AS (SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM hit GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (r) LEFT JOIN item USING (r)
 """,
 }
