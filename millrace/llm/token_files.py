@@ -181,28 +181,30 @@ def _part():
 
 
 def _files(spark, folder: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
+    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "content")
 
 
-def write_index(spark, folder: str) -> str:
-    """Writes the offset index beside the files: file, at (byte offset), size (bytes), doc_id, n_tokens, before; returns its folder."""
+def write_index(spark, folder: str, derive=None, schema: str = "") -> str:
+    """Reads every frame once, checks it, and writes the offset index beside the files; returns its folder.
+
+    A row is a frame: file, at (byte offset), size (bytes), doc_id, n_tokens, before, and what derive makes of its ids (columns of schema).
+    """
+    fields = "file string, at long, size long, doc_id long, n_tokens long, before long" + (f", {schema}" if schema else "")
+    names = T._parse_datatype_string(fields).names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                data, at, rows = data.as_buffer().to_pybytes(), 8, []
-                while at < len(data) - 1:
-                    length = struct.unpack_from("<Q", data, at)[0]
-                    doc_id, null, width, before = struct.unpack_from(BODY, data, at + HEAD_SIZE)
-                    rows.append((name, at, HEAD_SIZE + length + 4, None if null else doc_id, (length - BODY_SIZE) // width, before))
-                    at += HEAD_SIZE + length + 4
-                columns = list(zip(*rows, strict=True)) or [()] * 6
-                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), *(pa.array(c, pa.int64()) for c in columns[1:])], names=["file", "at", "size", "doc_id", "n_tokens", "before"])
+                rows = [
+                    (name, at, HEAD_SIZE + BODY_SIZE + ids.nbytes + 4, doc_id, len(ids), before, *(derive(ids) if derive else ()))
+                    for at, doc_id, before, ids in frames(data.as_buffer().to_pybytes())
+                ]
+                columns = list(zip(*rows, strict=True)) or [()] * len(names)
+                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), *(pa.array(c, pa.int64()) for c in columns[1:6]), *(pa.array(c) for c in columns[6:])], names=names)
 
     index = f"{folder}-index"
-    name = F.regexp_extract("path", r"([^/]+)$", 1).alias("file")
-    rows = _files(spark, folder).select(name, "content").mapInArrow(run, "file string, at long, size long, doc_id long, n_tokens long, before long")
-    rows.write.parquet(index)
+    _files(spark, folder).mapInArrow(run, fields).write.parquet(index)
     return index
 
 
@@ -213,20 +215,17 @@ def starts(spark, index: str) -> DataFrame:
     return parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
 
 
-def read_token_files(spark, folder: str, derive=None, schema: str = "") -> DataFrame:
-    """file, at, doc_id, before, n_tokens of every frame, its checksums checked, and ids or what derive makes of them."""
-    fields = "file string, at long, doc_id long, before long, n_tokens long, " + (schema or "ids array<int>")
-    out = T._parse_datatype_string(fields)
+def read_token_files(spark, folder: str) -> DataFrame:
+    """file, at, doc_id, before and ids of every frame, its checksums checked."""
+    fields = "file string, at long, doc_id long, before long, ids array<int>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                rows = [(name, at, doc_id, before, len(ids), *(derive(ids) if derive else (ids.astype(np.int32),))) for at, doc_id, before, ids in frames(data.as_buffer().to_pybytes())]
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c) if i != 2 else pa.array(c, pa.int64()) for i, c in enumerate(zip(*rows, strict=True))], names=out.names)
+                for at, doc_id, before, ids in frames(data.as_buffer().to_pybytes()):
+                    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([at]), pa.array([doc_id], pa.int64()), pa.array([before]), pa.array([ids.astype(np.int32)], pa.list_(pa.int32()))], names=["file", "at", "doc_id", "before", "ids"])
 
-    name = F.regexp_extract("path", r"([^/]+)$", 1).alias("file")
-    return _files(spark, folder).select(name, "content").mapInArrow(run, out)
+    return _files(spark, folder).mapInArrow(run, fields)
 
 
 def with_starts(frames_: DataFrame, index: str) -> DataFrame:
