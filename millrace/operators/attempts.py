@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from millrace.functions.judge import date_warning, verify
 from millrace.functions.text import season_word
 from millrace.operators.candidates import attempts_flag
-from millrace.schemas import EXTRACTION
+from millrace.schemas import EXTRACTION, struct
 from millrace.sources.provider import Provider, ProviderError, ask
 
 EXTRACTION_TASK = """아래 글에서 '{university}' {year}년 축제 정보를 뽑아 JSON 객체 하나로만 답하세요.
@@ -45,7 +45,7 @@ def known_names_block(names: DataFrame) -> str:
 def extracted(pages: DataFrame, provider: Provider) -> DataFrame:
     """pages (with prompt; status ok rows only are asked) plus extraction and error. Write the result before using it twice: each read asks anew."""
     names = pages.columns
-    schema = pages.drop("prompt", "body").schema.add("extraction", EXTRACTION).add("error", "string")
+    schema = pages.drop("prompt", "body").schema.add("extraction", struct(f"e {EXTRACTION}")["e"].dataType).add("error", "string")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

