@@ -1,14 +1,30 @@
-"""The offline run: seed, recorded pages and answers to the festivals and lineup tables."""
+"""A year's run: seed, candidates and attempts to records, the festivals table and the lineup table."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import os
+import shutil
+import uuid
+from collections.abc import Callable
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.keys import cache_slug
-from millrace.operators.cache import keep_stale, probe, refreshed
-from millrace.operators.candidates import MANUAL, SEARCH, SITEMAP, first_ok, top_candidates, waterfall
-from millrace.schemas import SCHEMA_VERSION
+from millrace.functions.urls import BLOCKED_HOSTS, is_blocked
+from millrace.operators.attempts import discovery_prompt, extracted, extraction_prompt, judged
+from millrace.operators.cache import keep_stale, probe, refreshed, to_write
+from millrace.operators.candidates import MANUAL, SEARCH, SITEMAP, first_ok, live_waterfall, top_candidates, waterfall
+from millrace.operators.festivals import build_festivals
+from millrace.operators.lineup import build_lineup
+from millrace.schemas import FESTIVAL_COLUMNS, LINEUP_COLUMNS, RECORD, SCHEMA_VERSION
+from millrace.sources.mapping import load_mapping, mapping_frame
+from millrace.sources.provider import Provider, ProviderError, parse_answer
+from millrace.sources.seed import load_seed
+from millrace.sources.sitemap import sitemap_candidates, sitemap_entries
+from millrace.sources.tables import export_csv
+from millrace.sources.web import fetch_pages, http_get
 
 
 def manual_candidates(seed: DataFrame) -> DataFrame:
@@ -52,3 +68,93 @@ def records(seed: DataFrame, attempts: DataFrame, search: DataFrame, cached: Dat
     final = F.when(F.col("hit"), old).otherwise(keep_stale(fresh, F.when(F.col("stale"), old), F.col("flag")))
     out = both.select("seed_pos", "answered", "hit", (F.col("stale") & (F.col("flag") != "ok")).alias("restored"), final.alias("r"))
     return out.select("seed_pos", "answered", "hit", "restored", "r.*")
+
+
+class OldLayout(RuntimeError):
+    """The base folder holds files of an older layout, which a run would mix with its own."""
+
+
+def discovered_now(rows: DataFrame, provider: Provider, blocked: tuple[str, ...] = BLOCKED_HOSTS) -> DataFrame:
+    """slug, year, season and candidates of seed rows, each asked for once: null if the call or its answer failed, else the addresses in order without blocked hosts. Write it before using it twice."""
+    asked = rows.select(cache_slug(F.col("university"), F.col("season")).alias("slug"), "year", "season", discovery_prompt(F.col("university"), F.col("year"), F.col("season")).alias("prompt"))
+
+    def run(batches):
+        for batch in batches:
+            found = []
+            for prompt in batch["prompt"]:
+                try:
+                    found.append([c["url"] for c in parse_answer(provider(prompt), "discovery")["candidates"]])
+                except (ProviderError, ValueError):
+                    found.append(None)
+            out = batch[["slug", "year", "season"]].copy()
+            out["candidates"] = pd.Series(found, index=out.index, dtype=object)
+            yield out
+
+    got = asked.mapInPandas(run, "slug string, year int, season string, candidates array<string>")
+    return got.withColumn("candidates", F.filter("candidates", lambda u: ~is_blocked(u, blocked)))
+
+
+def attempt(candidates: DataFrame, seed: DataFrame, get: Callable, provider: Provider) -> DataFrame:
+    """Judged attempts of candidates (seed_pos, source, rank, url): fetch, prompt, answer, verification. Page text isn't among the columns."""
+    pages = fetch_pages(candidates, get)
+    asked = seed.select("seed_pos", "university", "year", "season")
+    rows = candidates.join(asked, "seed_pos").join(pages, "url")
+    prompt = extraction_prompt(F.col("university"), F.col("year"), F.col("instagram_candidates"), F.col("body"))
+    rows = rows.select("seed_pos", "source", "rank", "url", "status", "poster_image_url", "image_urls", "published_at", "university", "year", "season", "body", prompt.alias("prompt"))
+    return judged(extracted(rows, provider)).select("seed_pos", "source", "rank", "url", "flag", "poster_image_url", "image_urls", "extraction", "published_at", "date_warning")
+
+
+def run(spark: SparkSession, base: str, year: int, provider: Provider, get: Callable = http_get, sitemaps: DataFrame | None = None, limit: int | None = None, seed_dir: str | None = None) -> dict[str, int]:
+    """One year from seed to festivals.csv and lineup.csv; returns flag counts.
+
+    Cached records answer for their rows; of the rest each round asks only what is unresolved and is written before it is used. Searches are
+    kept unless they failed. Records, searches and attempts are Parquet under base; the two CSV files are written at the end.
+    """
+    if os.path.isdir(os.path.join(base, "raw")):
+        raise OldLayout(f"{base} holds raw/ of an older layout")
+    seed = load_seed(spark, seed_dir or base, year, limit)
+    names = mapping_frame(spark, load_mapping(os.path.join(base, "artist_mapping.json")))
+    staging = os.path.join(base, ".staging", uuid.uuid4().hex)
+    count = iter(range(1_000_000))
+
+    def kept(df: DataFrame) -> DataFrame:
+        path = os.path.join(staging, str(next(count)))
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    seed = kept(seed)
+    record_path, search_path = os.path.join(base, "records"), os.path.join(base, "discovered")
+    cached = spark.read.schema(RECORD).parquet(record_path) if os.path.isdir(record_path) else spark.createDataFrame([], RECORD)
+    searches = "slug string, year int, season string, candidates array<string>"
+    known = spark.read.schema(searches).parquet(search_path) if os.path.isdir(search_path) else spark.createDataFrame([], searches)
+    known = kept(known)
+    slugged = seed.withColumn("slug", cache_slug(F.col("university"), F.col("season")))
+    todo = kept(probe(slugged, cached).where("NOT hit").select(*seed.columns))
+    new = {"searches": spark.createDataFrame([], searches)}
+
+    def by_sitemap(left: DataFrame) -> DataFrame:
+        if sitemaps is None:
+            return manual_candidates(left).where("false")
+        return sitemap_as_candidates(sitemap_candidates(left, sitemap_entries(sitemaps)))
+
+    def by_search(left: DataFrame) -> DataFrame:
+        missing = left.withColumn("slug", cache_slug(F.col("university"), F.col("season"))).join(known, ["slug", "year"], "left_anti")
+        new["searches"] = kept(discovered_now(missing, provider))
+        return search_candidates(left, known.unionByName(new["searches"]))
+
+    attempts = live_waterfall(todo, [manual_candidates, by_sitemap, by_search], lambda c: attempt(c, seed, get, provider), kept)
+    everything = known.unionByName(new["searches"])
+    asked = todo.withColumn("slug", cache_slug(F.col("university"), F.col("season"))).join(everything, ["slug", "year"])
+    state = kept(records(seed, attempts, asked.select("seed_pos", F.col("candidates").isNotNull().alias("answered")), cached))
+    fresh = kept(to_write(state).where("NOT hit").select(*cached.columns))
+    old = cached.join(fresh.select("slug", "year"), ["slug", "year"], "left_anti").select(*cached.columns)
+    kept(old.unionByName(fresh)).write.mode("overwrite").parquet(record_path)
+    kept(everything.where("candidates IS NOT NULL")).write.mode("overwrite").parquet(search_path)
+
+    out = os.path.join(base, str(year))
+    rows = state.withColumn("rec_id", F.col("seed_pos"))
+    export_csv(build_festivals(rows, "rec_id"), os.path.join(out, "festivals.csv"), FESTIVAL_COLUMNS, ["rec_id"])
+    export_csv(build_lineup(rows, names).withColumn("revealed", F.col("revealed").cast("string")), os.path.join(out, "lineup.csv"), LINEUP_COLUMNS, ["rec_id", "item_pos", "split_pos"])
+    counts = {r[0]: r[1] for r in state.groupBy("flag").count().collect()}
+    shutil.rmtree(staging, ignore_errors=True)
+    return counts

@@ -12,8 +12,8 @@ from millrace.schemas import FESTIVAL_COLUMNS
 ADMISSION_MOST = 200
 
 
-def build_festivals(records: DataFrame) -> DataFrame:
-    """FESTIVAL_COLUMNS of every record: nulls as '', lists joined by |, flag and discovery in upper case, admission text cut."""
+def build_festivals(records: DataFrame, *keep: str) -> DataFrame:
+    """FESTIVAL_COLUMNS of every record, and the columns to keep: nulls as '', lists joined by |, flag and discovery in upper case, admission text cut."""
     x = lambda name: F.col(f"extraction.{name}")
     handle = F.coalesce(x("instagram_handle"), F.lit(""))
     out = {
@@ -25,4 +25,4 @@ def build_festivals(records: DataFrame) -> DataFrame:
         "admission_raw": truncate(x("admission_raw"), ADMISSION_MOST), "source_url": F.col("url"), "discovery": F.upper("discovery"), "flag": F.upper("flag"),
         "instagram_url": F.when(handle != "", F.concat(F.lit("https://www.instagram.com/"), handle, F.lit("/"))),
     }
-    return records.select(*(F.coalesce(out[c], F.lit("")).alias(c) for c in FESTIVAL_COLUMNS))
+    return records.select(*(F.coalesce(out[c], F.lit("")).alias(c) for c in FESTIVAL_COLUMNS), *keep)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import os
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.keys import cache_slug, key_prefix
+from millrace.schemas import ARTIST_COLUMNS, FESTIVAL_COLUMNS, LINEUP_COLUMNS
+from millrace.sources.tables import read_table
 
 
 def slug_map(seed: DataFrame) -> DataFrame:
@@ -43,6 +47,16 @@ def sorted_artists(artists: DataFrame) -> DataFrame:
     return artists.orderBy(F.desc("needs_review"), "pos")
 
 
+def load_review(spark: SparkSession, base: str, year: int, seed: DataFrame) -> dict[str, DataFrame]:
+    """festivals (with cache_slug), lineup and artists as reviewed; tables that don't exist yet are empty."""
+    out = os.path.join(base, str(year))
+    festivals = read_table(spark, os.path.join(out, "festivals.csv"), FESTIVAL_COLUMNS)
+    return {
+        "festivals": with_slugs(festivals, slug_map(seed)), "lineup": read_table(spark, os.path.join(out, "lineup.csv"), LINEUP_COLUMNS),
+        "artists": read_table(spark, os.path.join(base, "artists.csv"), ARTIST_COLUMNS),
+    }
+
+
 def flag_counts(df: DataFrame, column: str = "flag") -> DataFrame:
     return df.groupBy(column).agg(F.count("*").alias("n"))
 

@@ -309,3 +309,66 @@ def test_offset(spark):
     assert streaming.from_offset(rows, 3).count() == 2
     with pytest.raises(ValueError):
         streaming.from_offset(rows, -1)
+
+
+PAGE = "<article>" + "축제 안내 글 " * 40 + "</article>"
+
+
+def fake_get(url):
+    if url.endswith("robots.txt") or "dead" in url:
+        raise OSError("404")
+    return PAGE.encode(), "utf-8"
+
+
+def fake_provider(prompt):
+    if "candidates" in prompt:
+        if "'C'" in prompt:
+            raise provider.ProviderError("no answer")
+        return '{"candidates": [{"url": "https://youtube.com/x"}, {"url": "https://found/1"}]}'
+    name = "B" if "'B'" in prompt else "A"
+    return json.dumps({"found": True, "university_name": name, "year": 2026, "start_date": "2026-05-01", "lineup": [{"artist_raw": "X & Y", "day": 1}]})
+
+
+def test_a_whole_run(spark, tmp_path):
+    base = write_seed(tmp_path, ["A,c,r,2026,https://site/a,1,2", "B,c,r,2026,https://dead/b,1,2", "C,c,r,2026,,1,2", "D,c,r,2026,https://dead/d,1,2"])
+    save = mapping.save_mapping
+    save(str(tmp_path / "artist_mapping.json"), {"Y": "와이"})
+    maps = spark.createDataFrame([(0, "<loc>https://map/entry/B-2026</loc>")], "source_pos int, xml string")
+    counts = crawl.run(spark, base, 2026, fake_provider, fake_get, maps)
+    assert counts == {"ok": 2, "no_source": 1, "fetch_failed": 1}
+    festivals_csv = (tmp_path / "2026" / "festivals.csv").read_text("utf-8-sig").splitlines()
+    flags = [line.split(",")[-2] for line in festivals_csv[1:]]
+    assert flags == ["OK", "OK", "NO_SOURCE", "FETCH_FAILED"] and "SITEMAP" in festivals_csv[2]
+    acts = (tmp_path / "2026" / "lineup.csv").read_text("utf-8-sig").splitlines()
+    assert acts[1:] == ["A-c-2026-05,1,1,X,X,true", "A-c-2026-05,1,2,Y,와이,true", "B-c-2026-05,1,1,X,X,true", "B-c-2026-05,1,2,Y,와이,true"]
+    cached = spark.read.parquet(str(tmp_path / "records"))
+    assert sorted(r.slug for r in cached.collect()) == ["A", "B"]
+    assert sorted((r.slug, tuple(r.candidates)) for r in spark.read.parquet(str(tmp_path / "discovered")).collect()) == [("D", ("https://found/1",))]
+
+    def silent(prompt):
+        raise provider.ProviderError("no call is needed for cached rows")
+
+    again = crawl.run(spark, base, 2026, silent, fake_get, maps, limit=2)
+    assert again == {"ok": 2}
+    shown = review.load_review(spark, base, 2026, seed.load_seed(spark, base, 2026))
+    assert shown["festivals"].count() == 2 and shown["lineup"].count() == 4 and shown["artists"].count() == 0
+    (tmp_path / "raw").mkdir()
+    with pytest.raises(crawl.OldLayout):
+        crawl.run(spark, base, 2026, silent, fake_get)
+
+
+def test_jobs():
+    import sys
+
+    from millrace import jobs
+
+    j = jobs.Job()
+    assert j.start([sys.executable, "-c", "import time; print('a'); print('b'); time.sleep(1)"]) and not j.start(["true"])
+    j.process.wait()
+    j.pump.join()
+    assert j.snapshot(1) == {"lines": ["b"], "next": 2, "running": False, "returncode": 0}
+    assert [jobs.offset(x) for x in ("3", "-1", "x", None, "")] == [3, 0, 0, 0, 0]
+    cleared = []
+    ask = lambda job, u=None, running=False, ok=True: jobs.handle_run(job, u, ["A"], running, lambda: ok, cleared.append)[0]
+    assert [ask("x"), ask("enrich", "A"), ask("crawl", "../B"), ask("crawl", "A", True), ask("crawl", "A", False, False), ask("crawl", "A"), ask("enrich")] == [400, 400, 400, 409, 409, 200, 200]
+    assert cleared == ["A", "A"]
