@@ -89,13 +89,14 @@ class Library:
 _encoders: dict[tuple[str, str], Library] = {}
 
 
-def encoded(docs: DataFrame, path: str, pattern: str, end_id: int) -> DataFrame:
-    """doc_id, ids (binary: u8 width 2 or 4, then the ids) of every whole text, with end_id after each."""
-    out = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("ids", T.BinaryType())])
+def encoded(docs: DataFrame, path: str, pattern: str, end_id: int, cuts: list[int]) -> DataFrame:
+    """doc_id, part (the number of cuts at or below doc_id, 0 for null) and ids (binary: u8 width 2 or 4, then the ids) of every whole text, with end_id after each."""
+    out = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("part", T.IntegerType()), T.StructField("ids", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if (path, pattern) not in _encoders:
             _encoders[path, pattern] = Library(path, pattern)
+        least = np.iinfo(np.int64).min
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
                 flat, begin = _encoders[path, pattern].texts(part.column("text"))
@@ -103,7 +104,8 @@ def encoded(docs: DataFrame, path: str, pattern: str, end_id: int) -> DataFrame:
                 for a, b in zip(begin[:-1], begin[1:], strict=True):
                     ids = np.append(flat[a:b], np.uint32(end_id))
                     rows.append(b"\x02" + ids.astype("<u2").tobytes() if ids.max() < 1 << 16 else b"\x04" + ids.astype("<u4").tobytes())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(rows, pa.binary())], names=out.names)
+                of = np.searchsorted(cuts, part.column("doc_id").fill_null(least).to_numpy(zero_copy_only=False), "right").astype(np.int32)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(of), pa.array(rows, pa.binary())], names=out.names)
 
     return as_documents(docs.withColumn("doc_id", F.col("doc_id").cast("long")), "doc_id", "text").mapInArrow(run, out)
 
@@ -123,11 +125,7 @@ def write_token_files(docs: DataFrame, path: str, pattern: str, end_id: int = 0,
     spark = docs.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = ranges(docs, parts)
-    of = F.lit(0)
-    if cuts:
-        # binary search in a constant array would need a UDF; counting the boundaries at or below is as exact
-        of = F.coalesce(F.size(F.filter(F.lit(cuts), lambda c: c <= F.col("doc_id"))), F.lit(0))
-    rows = encoded(docs, path, pattern, end_id).withColumn("part", F.when(F.col("doc_id").isNull(), 0).otherwise(of).cast("int"))
+    rows = encoded(docs, path, pattern, end_id, cuts)
     rows = rows.repartitionById(len(cuts) + 1, "part").sortWithinPartitions("doc_id", "ids")
     folder = shared_dir(spark, "token-files")
 
