@@ -10,6 +10,8 @@ from pyspark.sql import SparkSession
 from millrace.operators import crawl, enrich
 from millrace.schemas import RECORD
 from millrace.sources.provider import CommandLine
+from millrace.sources.sitemap import read_sitemaps
+from millrace.sources.web import Fetcher
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -24,7 +26,7 @@ def main(argv: list[str] | None = None) -> None:
         p.error("crawl needs --year")
     spark = SparkSession.builder.appName(f"millrace-{a.job}").getOrCreate()
     if a.job == "crawl":
-        print(crawl.run(spark, a.base, a.year, CommandLine(tuple(a.provider)), limit=a.limit))
+        print(crawl.run(spark, a.base, a.year, CommandLine(tuple(a.provider)), sitemaps=read_sitemaps(spark, Fetcher().text), limit=a.limit))
     else:
         print(enrich.enrich(spark, a.base, spark.read.schema(RECORD).parquet(os.path.join(a.base, "records")), CommandLine(tuple(a.provider), timeout=900)))
 

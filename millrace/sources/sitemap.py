@@ -2,13 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.text import percent_decode, strip
 from millrace.functions.urls import is_blocked
 
 
+# The sitemaps that are read, in the order of their candidates.
+SITEMAP_SOURCES = (
+    "https://memogipost.tistory.com/sitemap.xml",
+    "https://news.comingmoney.com/sitemap.xml",
+    "https://schedule.comingmoney.com/sitemap.xml",
+    "https://jcks100.com/sitemap.xml",
+    "https://towbworld.tistory.com/sitemap.xml",
+)
+
+
+def read_sitemaps(spark: SparkSession, text: Callable[[str], str | None], sources: tuple[str, ...] = SITEMAP_SOURCES) -> DataFrame:
+    """source_pos and xml of the sources, each read once by `text` (such as Fetcher().text); null where it failed."""
+    return spark.createDataFrame([(i, text(url)) for i, url in enumerate(sources)], "source_pos int, xml string")
+
+
 def sitemap_entries(sitemaps: DataFrame) -> DataFrame:
     """url, source_pos and loc_pos of the <loc> elements that are entries, from (source_pos, xml). A failed source has null xml and gives none.
 
@@ -31,6 +48,4 @@ def sitemap_candidates(seed: DataFrame, entries: DataFrame) -> DataFrame:
 
 
 def ranked(df: DataFrame, key: str, *order: str) -> DataFrame:
-    from pyspark.sql import Window
-
     return df.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
