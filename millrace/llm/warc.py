@@ -9,6 +9,7 @@ and with its commit protocol.
 
 from __future__ import annotations
 
+import hashlib
 import struct
 from collections.abc import Iterator
 
@@ -46,12 +47,12 @@ def classified(pages: DataFrame, least: int = 1000) -> DataFrame:
     return p.join(twice, "payload_digest", "left").withColumn("refers_to", F.when(F.col("response_id") > F.col("page_id"), F.col("response_id"))).drop("response_id")
 
 
-def record(page_id: int | None, url: str | None, html: str | None, digest: str, size: int, refers_to: int | None) -> bytes:
+def record(page_id: int | None, url: str | None, html: str | None, digest: str, size: int, refers_to: int | None, date: str = "1970-01-01T00:00:00Z") -> bytes:
     """One WARC/1.1 record: an HTTP response with the payload, or a revisit with its headers alone."""
     payload = (html or "").encode() if refers_to is None else b""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     target = "".join(c for c in url or "" if c not in "\r\n")
-    head = f"WARC/1.1\r\nWARC-Type: {'response' if refers_to is None else 'revisit'}\r\nWARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>\r\nWARC-Target-URI: {target}\r\nWARC-Payload-Digest: sha1:{digest}\r\n"
+    head = f"WARC/1.1\r\nWARC-Type: {'response' if refers_to is None else 'revisit'}\r\nWARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>\r\nWARC-Date: {date}\r\nWARC-Target-URI: {target}\r\nWARC-Payload-Digest: sha1:{digest}\r\n"
     if refers_to is not None:
         head += f"WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\nWARC-Refers-To: <urn:page:{refers_to}>\r\n"
     head += f"Content-Type: application/http;msgtype=response\r\nContent-Length: {len(http) + len(payload)}\r\n\r\n"
@@ -67,8 +68,8 @@ def bundle(frames: list[bytes], sizes: list[int], index: list[tuple[int, int, in
     return b"".join([*frames, extra, struct.pack("<II", SKIPPABLE_SEEK_TABLE, len(table) + len(foot)), table, foot])
 
 
-def write_warc(pages: DataFrame, least: int = 1000, level: int = 3) -> str:
-    """Writes a record for every row and returns the folder of bundles. An empty table gives no bundle."""
+def write_warc(pages: DataFrame, least: int = 1000, level: int = 3, date: str = "1970-01-01T00:00:00Z") -> str:
+    """Writes a record for every row, dated alike (pages hold no date), and returns the folder of bundles. An empty table gives no bundle."""
     folder = shared_dir(pages.sparkSession, "warc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,7 +100,7 @@ def write_warc(pages: DataFrame, least: int = 1000, level: int = 3) -> str:
             for a in range(0, batch.num_rows, 256):
                 for row in zip(*(c.to_pylist() for c in batch.slice(a, 256).columns), strict=True):
                     index.append(((row[0] or 0) & (2**64 - 1), len(frames), held))
-                    open_.append(record(*row))
+                    open_.append(record(*row, date))
                     held += len(open_[-1])
                     if held >= FRAME_BYTES:
                         close()
@@ -176,6 +177,8 @@ def read_warc(spark, folder: str, with_payload: bool = True) -> DataFrame:
                     if number != now:
                         now, open_ = number, frame(data, number)
                     warc, http, payload = parsed(open_, at)
+                    if warc["WARC-Type"] == "response" and hashlib.sha1(payload).hexdigest() != warc["WARC-Payload-Digest"].removeprefix("sha1:"):
+                        raise ValueError(f"damaged record in {name}, frame {number}, at {at}")
                     row = (_id(warc["WARC-Record-ID"]), warc["WARC-Target-URI"], warc["WARC-Type"], warc["WARC-Payload-Digest"].removeprefix("sha1:"), int(http["Content-Length"]), _id(warc.get("WARC-Refers-To")), name, number, at, payload)
                     rows.append(row[: len(names)])
                     if len(rows) >= 512:
@@ -189,7 +192,7 @@ def read_warc(spark, folder: str, with_payload: bool = True) -> DataFrame:
 
 
 def write_index(spark, folder: str) -> str:
-    """Writes page_id, file, frame, at of every record as Parquet beside the bundles; returns its folder."""
+    """Reads all records back and writes a row of each but its payload (page_id, file, frame, at and what its headers say) as Parquet beside the bundles; returns its folder."""
     index = f"{folder}-index"
-    read_warc(spark, folder, with_payload=False).select("page_id", "file", "frame", "at").write.parquet(index)
+    read_warc(spark, folder, with_payload=False).write.parquet(index)
     return index
