@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Bytes of text handled at once by a Python worker; a longer single text is handled alone.
 SLICE_BYTES = 4 << 20
@@ -45,19 +46,51 @@ def bound(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
+#: Edges of a contracted graph that one task finishes.
+LOCAL_EDGES = 200_000
+
+
+def _local_components(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, to): the least node of each node's component, by union-find over all edges (src, dst) that come."""
+    parent: dict = {}
+
+    def find(x):
+        root = x
+        while (up := parent.setdefault(root, root)) != root:
+            root = up
+        while parent[x] != root:
+            parent[x], x = root, parent[x]
+        return root
+
+    kind = None
+    for batch in batches:
+        kind = batch.column(0).type
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            a, b = find(a), find(b)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+    nodes = list(parent)
+    for k in range(0, len(nodes), 10_000):
+        part = nodes[k : k + 10_000]
+        yield pa.RecordBatch.from_arrays([pa.array(part, kind), pa.array([find(x) for x in part], kind)], names=["node", "to"])
+
+
 def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, component): the least node reachable over edges (src, dst), for every node of an edge.
 
     Each round every node joins the neighbour (or itself) of least random priority and the graph
-    is contracted, so rounds grow with the logarithm of the nodes whatever the shape. Nulls and loops
-    are ignored. No row of the graph reaches the driver.
+    is contracted, so rounds grow with the logarithm of the nodes whatever the shape; what is left of at most LOCAL_EDGES edges one task
+    finishes. Nulls and loops are ignored. No row of the graph reaches the driver.
     """
     e = edges.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL")
     e = written(e.where("src <> dst").distinct(), name)
     kind = e.schema["src"].dataType
-    nodes = e.select(F.col("src").alias("node")).union(e.select("dst")).distinct()
     levels: list[DataFrame] = []
-    while not e.isEmpty():
+    while left := e.count():
+        if left <= LOCAL_EDGES:
+            out = T.StructType([T.StructField("node", kind), T.StructField("to", kind)])
+            levels.append(written(e.coalesce(1).mapInArrow(_local_components, out), name))
+            break
         seed = F.lit(len(levels))
         both = e.union(e.select("dst", "src")).union(e.select("src", "src")).union(e.select("dst", "dst"))
         best = both.groupBy(F.col("src").alias("node")).agg(
@@ -69,8 +102,10 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
         e = e.join(a, "src").join(b, "dst").select(F.col("src_to").alias("src"), F.col("dst_to").alias("dst"))
         e = written(e.where("src <> dst").distinct(), name)
     if not levels:
-        return nodes.select("node", F.col("node").alias("component"))
+        return e.select(F.col("src").alias("node"), F.col("src").alias("component"))
     out = levels[0].select("node", F.col("to").alias("root"))
+    if left and len(levels) == 1:  # one task has found the least nodes
+        return out.withColumnRenamed("root", "component")
     for step in levels[1:]:
         up = step.select(F.col("node").alias("root"), "to")
         out = out.join(up, "root", "left").select("node", F.coalesce("to", "root").alias("root"))

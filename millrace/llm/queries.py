@@ -77,8 +77,8 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = warc.write_warc(table(spark, sf_dir, "pages"), least=1000)
-    warc.write_index(spark, folder)
-    return warc.read_warc(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    index = warc.write_index(spark, folder)
+    return spark.read.parquet(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

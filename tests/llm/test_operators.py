@@ -14,7 +14,7 @@ import pytest
 P = pytest.importorskip("public_tokenizers")
 from pyspark.sql import functions as F  # noqa: E402
 
-from millrace.llm import ann, bpe, decontaminate, licenses, line_dedup, ngram_join, pieces, queries, token_files, toxicity, url_filter, warc  # noqa: E402
+from millrace.llm import ann, bpe, common, decontaminate, licenses, line_dedup, ngram_join, pieces, queries, token_files, toxicity, url_filter, warc  # noqa: E402
 from millrace.llm.common import connected_components, written  # noqa: E402
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -42,7 +42,9 @@ ODD = [(1, None), (2, ""), (3, "word"), (3, "word"), (None, "no id here at all")
 # --- components -----------------------------------------------------------------------------------------------------
 
 
-def test_components(spark):
+@pytest.mark.parametrize("local", [200_000, 20, 0])
+def test_components(spark, monkeypatch, local):
+    monkeypatch.setattr(common, "LOCAL_EDGES", local)
     rng = random.Random(3)
     edges = [(i, i + 1) for i in range(60)] + [(100, k) for k in range(101, 140)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)] + [(7, 7), (None, 1)]
     parent = {}
@@ -58,6 +60,8 @@ def test_components(spark):
             parent[y] = x
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()}
     assert got == {n: find(n) for n in list(parent)}
+    words_ = spark.createDataFrame([(str(a), str(b)) for a, b in edges if a is not None], "src string, dst string")
+    assert connected_components(words_).select("component").distinct().count() == len(set(got.values()))
     assert connected_components(spark.createDataFrame([], "src long, dst long")).count() == 0
 
 
