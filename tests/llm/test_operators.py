@@ -277,6 +277,9 @@ def test_toxicity_learns(spark):
     assert len(got) == len(rows) + 4 and all(0 <= r.score <= 1 for r in got.values())
     held = [i for i, _, _ in labels if zlib.crc32(str(i).encode()) % 5 == 0]
     assert sum((got[i].score >= 0.5) == bool(labels[i][2]) for i in held) / len(held) > 0.9
+    for i, t in rows[:40] + [(9002, LONG)]:  # a text's score doesn't depend on its neighbours
+        alone = model.scores(*toxicity.features(pa.array([t]), model.settings))[0]
+        assert abs(alone - got[i].score) < 1e-5
     left = toxicity.remove_toxic(d, model)
     assert left.columns == d.columns and {r.doc_id for r in left.select("doc_id").collect()} == {i for i, r in got.items() if not r.toxic}
     assert toxicity.score(documents(spark, []), model).count() == 0
@@ -372,6 +375,39 @@ def test_license_scan(spark):
     assert not re.search("Python|Pandas|Arrow", licenses.scan(documents(spark, ODD))._jdf.queryExecution().toString())
 
 
+def scan_brute(text):
+    """(n_words, base, detections, labels, score) by Python's re, rule by rule."""
+    words_ = WORD.findall(text or "")
+    low = f" {' '.join(words(text))} " if words_ else " "
+    found = []
+    for r in licenses.rules():
+        if f" {r.keyword}" in low:
+            for m in re.finditer(f" (?:{r.pattern})(?= )", low):
+                start = low[: m.start()].count(" ")
+                found.append((start, -(start + m[0].count(" ")), r.priority, r.label))
+    kept, far = [], -1
+    for start, end, priority, label in sorted(found):
+        if -end > far:
+            far = -end
+            kept.append((start, -end, priority, label))
+    w = words(text)
+    base = sorted((k, k + len(p.split()), label) for p, label in licenses.BASE.items() for k in range(len(w)) if w[k : k + len(p.split())] == p.split())
+    covered = {i for a, b, *_ in kept for i in range(a, b)} | {i for a, b, _ in base for i in range(a, b)}
+    labels = sorted({x[-1] for x in kept} | {x[-1] for x in base})
+    return len(w), [(a, label) for a, _, label in base], kept, labels, len(covered) / len(w) if w else 0.0
+
+
+def test_license_scan_against_brute_force(spark):
+    rng = random.Random(6)
+    parts = ["mit", "MIT License", "apache", "license", "Version 2.0", "general public license", "GNU", "v3", "or later", "only", "cc", "by", "sa", "4.0", "Creative Commons", "Attribution", "share alike", "bsd", "3", "clause", "lesser", "affero", "SPDX-License-Identifier:", "public domain", "all rights reserved", "word", "the", "mozilla public license", "2", "1", "0", "international"]
+    rows = [(i, rng.choice((" ", ", ", "\n")).join(rng.choice(parts) for _ in range(rng.randrange(40)))) for i in range(400)]
+    got = {r.doc_id: r for r in licenses.scan(documents(spark, rows)).collect()}
+    for i, t in rows:
+        r, want = got[i], scan_brute(t)
+        assert (r.n_words, [(b.start, b.label) for b in r.base], [tuple(d) for d in r.detections], r.labels) == want[:4], t
+        assert abs(r.score - want[4]) < 1e-12
+
+
 # --- 8: WARC --------------------------------------------------------------------------------------------------------------------
 
 
