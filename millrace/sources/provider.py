@@ -9,6 +9,7 @@ import json
 import subprocess
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -61,8 +62,9 @@ class CommandLine:
             raise ProviderError(f"no result in the answer: {e}") from e
 
 
+@cache
 def models() -> dict:
-    """Models of strict parsing. Kept in a function as pydantic is needed only where answers are parsed."""
+    """Models of strict parsing, built once a process. Kept in a function as pydantic is needed only where answers are parsed."""
     from typing import Literal
 
     from pydantic import BaseModel, Field
