@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.operators.attempts import known_names_block
 from millrace.operators.lineup import refreshed
-from millrace.operators.names import merge_artists, new_names, raw_names
-from millrace.schemas import ARTIST_COLUMNS, LINEUP_COLUMNS
+from millrace.operators.names import merge_artists, migrate_artists, new_names, raw_names
+from millrace.schemas import ARTIST_COLUMNS, LEGACY_ARTIST_COLUMNS, LINEUP_COLUMNS
 from millrace.sources.mapping import load_mapping, mapping_frame, save_mapping
 from millrace.sources.provider import Provider, ask, parse_answer
 from millrace.sources.tables import CsvUnreadable, export_csv, read_table, year_dirs
@@ -31,6 +31,17 @@ def classify_genres(provider: Provider, names: list[str]) -> dict[str, str | Non
     return parse_answer(provider(prompt), "genres")["genres"]
 
 
+def load_artists(spark: SparkSession, path: str, provider: Provider) -> DataFrame:
+    """The artists table; one with exactly the legacy header is migrated, with genres from one call."""
+    try:
+        return read_table(spark, path, ARTIST_COLUMNS)
+    except CsvUnreadable:
+        legacy = read_table(spark, path, LEGACY_ARTIST_COLUMNS)
+    names = [r[0] for r in legacy.select("name_canonical").orderBy("pos").collect()]  # a table that people review
+    genres = spark.createDataFrame(list(classify_genres(provider, names).items()), "name string, genre string")
+    return migrate_artists(legacy, genres)
+
+
 def enrich(spark: SparkSession, base: str, records: DataFrame, provider: Provider) -> dict[str, int]:
     """Returns counts. Every lineup's header is checked before any call is paid for; the mapping only takes names that were asked for."""
     names = raw_names(records)
@@ -40,10 +51,7 @@ def enrich(spark: SparkSession, base: str, records: DataFrame, provider: Provide
     for path in lineups.values():
         read_table(spark, path, LINEUP_COLUMNS)
     artists_path = os.path.join(base, "artists.csv")
-    try:
-        artists = read_table(spark, artists_path, ARTIST_COLUMNS)
-    except CsvUnreadable:
-        raise
+    artists = load_artists(spark, artists_path, provider)
     path = os.path.join(base, "artist_mapping.json")
     mapping = load_mapping(path)
     fresh = sorted(r[0] for r in new_names(names, mapping_frame(spark, mapping)).collect())  # names of performers, a bounded human list
@@ -60,4 +68,4 @@ def enrich(spark: SparkSession, base: str, records: DataFrame, provider: Provide
     rows = [(a["name"], "|".join(a["other_names"]), a["genre"] or "", "", json.dumps(a["needs_review"]), k) for k, a in enumerate(answer["artists"])]
     found = spark.createDataFrame(rows, "name string, other_names string, genre string, image_url string, needs_review string, pos int")
     export_csv(merge_artists(artists, found), artists_path, ARTIST_COLUMNS, ["pos"])
-    return {"names": names.count(), "new": len(fresh), "to_review": sum(a["needs_review"] for a in answer["artists"])}
+    return {"names": names.count(), "new": len(fresh), "to_review": sum(a["needs_review"] for a in answer["artists"]), "with_genre": sum(a["genre"] is not None for a in answer["artists"])}

@@ -293,7 +293,7 @@ def test_enrich(spark, tmp_path):
     tables.export_csv(acts, str(year / "lineup.csv"), LINEUP_COLUMNS, ["pos"])
     recs = spark.createDataFrame([("ok", extraction(items=[("IU", 1, False), ("secret", 1, True)])), ("mismatch", extraction(items=[("no", 1, False)]))], "flag string, " + [x for x in RECORD.split(", ") if x.startswith("extraction ")][0])
     p = provider.Recorded({"IU": ['{"mapping": {"IU": "아이유", "other": "x"}, "artists": [{"name": "아이유", "other_names": ["IU"], "genre": null, "needs_review": true}]}']})
-    assert enrich.enrich(spark, str(tmp_path), recs, p) == {"names": 1, "new": 1, "to_review": 1}
+    assert enrich.enrich(spark, str(tmp_path), recs, p) == {"names": 1, "new": 1, "to_review": 1, "with_genre": 0}
     assert mapping.load_mapping(str(tmp_path / "artist_mapping.json")) == {"IU": "아이유"}
     assert "아이유" in (year / "lineup.csv").read_text("utf-8-sig") and "아이유,IU,,,true" in (tmp_path / "artists.csv").read_text("utf-8-sig")
     assert enrich.enrich(spark, str(tmp_path), recs, p)["new"] == 0 and len(p.asked) == 1
@@ -304,6 +304,21 @@ def test_enrich(spark, tmp_path):
     assert enrich.classify_genres(p, []) == {}
 
 
+def test_legacy_artists_are_migrated(spark, tmp_path):
+    from millrace.schemas import LEGACY_ARTIST_COLUMNS
+
+    path = str(tmp_path / "artists.csv")
+    old = spark.createDataFrame([("십센치", "10CM", "", "band", "a;b", "false", 0), ("N", "", "", "", "", "true", 1)], ", ".join(f"{c} string" for c in LEGACY_ARTIST_COLUMNS) + ", pos int")
+    tables.export_csv(old, path, LEGACY_ARTIST_COLUMNS, ["pos"])
+    p = provider.Recorded({"십센치": ['{"genres": {"십센치": "BAND", "N": null}}']})
+    got = enrich.load_artists(spark, path, p).orderBy("pos").collect()
+    assert [(r.name, r.other_names, r.genre, r.image_url, r.needs_review) for r in got] == [("십센치", "10CM|a|b", "BAND", "", "false"), ("N", "", "", "", "true")]
+    assert len(p.asked) == 1
+    (tmp_path / "artists.csv").write_text("name,genre\n")
+    with pytest.raises(tables.CsvUnreadable):
+        enrich.load_artists(spark, path, p)
+
+
 def test_offset(spark):
     rows = spark.createDataFrame([(i, "x") for i in range(5)], "pos int, line string")
     assert streaming.from_offset(rows, 3).count() == 2
