@@ -1,10 +1,13 @@
 """N-gram Jaccard join: a MinHash LSH forest finds candidates, shingle sets verify them exactly.
 
-Texts of equal shingle sets form one class, so copies cost one row each. A class has a label in each tree, its MinHash values in order;
-classes that share a prefix of a label are candidates. The matched prefix starts at the label's full depth and is
-shortened until a pair at the threshold shares one in some tree with the target recall. Candidates are gathered in groups closed under shared prefixes;
-a group is cut into blocks of bounded size, and each pair of blocks is compared by counting common shingles in one task that
-gives a row per class: its number of linked documents and the least class it is connected with. No pair is ever a row.
+Texts of equal shingle sets form one class, so copies cost one row each. A class has a label in each tree: MinHash values in
+order. The labels of all trees are sorted together by range partitioning, which is the forest's prefix tries laid out in
+leaf order: labels that share a prefix are neighbours, those that share most nearest, and a much shared prefix spreads over
+as many tasks as it fills. The prefix that has to match starts at the label's full length and is shortened until
+a pair at the threshold, the worst case, shares one in some tree with the target recall. Neighbours with that prefix in common
+are linked to chains, chains of all trees close to groups; a group is cut into blocks of bounded size, and each pair of blocks is
+compared exactly by counting common shingles, in one task that gives a row per class: its number of linked documents and
+the least class it is connected with. No pair is ever a row.
 """
 
 from __future__ import annotations
@@ -14,7 +17,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,23 +40,27 @@ def prefix_depth(threshold: float, trees: int = TREES, label: int = LABEL, recal
     return depth
 
 
-def prefix_keys(shingles: np.ndarray, begin: np.ndarray, depth: int) -> np.ndarray:
-    """64-bit keys of the depth-long prefixes in every tree, of sets between begin (n + 1), each with a shingle at least."""
+def leaf_keys(shingles: np.ndarray, begin: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """In every tree, of sets between begin (n + 1) with a shingle at least: a 64-bit key of the label's first depth values, and the next two values, which order labels below the prefix."""
     n = len(begin) - 1
     s = (shingles >> np.uint64(32)).astype(np.uint32)
-    keys = np.zeros((n, TREES), np.uint64)
+    keys, rest = np.zeros((n, TREES), np.uint64), np.zeros((n, TREES), np.uint64)
     at = 0
     while at < n:  # as many sets at once as stay in the processor's cache
         to = max(at + 1, int(np.searchsorted(begin, begin[at] + (1 << 16), "right")) - 1)
         part, first = s[begin[at] : begin[to]], begin[at:to] - begin[at]
         for t in range(TREES):
             key = np.full(to - at, t + 1, np.uint64)
-            for k in range(t * LABEL, t * LABEL + depth):
-                low = np.minimum.reduceat((part ^ _SEEDS[0, k]) * (_SEEDS[1, k] | np.uint32(1)), first)
-                key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + low)
+            for k in range(min(LABEL, depth + 2)):
+                seed = _SEEDS[:, t * LABEL + k]
+                low = np.minimum.reduceat((part ^ seed[0]) * (seed[1] | np.uint32(1)), first)
+                if k < depth:
+                    key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + low)
+                else:
+                    rest[at:to, t] = (rest[at:to, t] << np.uint64(32)) | low
             keys[at:to, t] = key
         at = to
-    return keys
+    return keys, rest
 
 
 def sets(column: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -67,9 +75,10 @@ def fingerprint(s: np.ndarray) -> bytes:
 
 
 def signatures(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, text_hash, n (distinct shingles), fp (null without words) and keys of every row."""
+    """doc_id, text_hash, n (distinct shingles), fp (null without words), keys and rests (of labels, a tree each) of every row."""
     depth = prefix_depth(threshold)
-    out = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("text_hash", T.LongType()), T.StructField("n", T.LongType()), T.StructField("fp", T.BinaryType()), T.StructField("keys", T.ArrayType(T.LongType()))])
+    longs = T.ArrayType(T.LongType())
+    out = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("text_hash", T.LongType()), T.StructField("n", T.LongType()), T.StructField("fp", T.BinaryType()), T.StructField("keys", longs), T.StructField("rests", longs)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -77,17 +86,52 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRES
                 found = list(sets(part.column("text"), shingle))
                 size = np.array([len(s) for s in found], np.int64)
                 some = np.flatnonzero(size)
-                begin = np.concatenate([[0], np.cumsum(size[some])])
-                keys: list = [None] * len(found)
+                lists: tuple[list, list] = ([None] * len(found), [None] * len(found))
                 if len(some):
-                    for i, row in zip(some.tolist(), prefix_keys(np.concatenate([found[i] for i in some]), begin, depth).view(np.int64), strict=True):
-                        keys[i] = row
+                    begin = np.concatenate([[0], np.cumsum(size[some])])
+                    for values, rows in zip(lists, leaf_keys(np.concatenate([found[i] for i in some]), begin, depth), strict=True):
+                        for i, row in zip(some.tolist(), rows.view(np.int64), strict=True):
+                            values[i] = row
                 fp = [fingerprint(s) if len(s) else None for s in found]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_hash"), pa.array(size), pa.array(fp, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=out.names)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_hash"), pa.array(size), pa.array(fp, pa.binary()), *(pa.array(x, pa.list_(pa.int64())) for x in lists)], names=out.names)
 
     return as_documents(docs, "doc_id", "text").select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, out)
 
 
+def candidates(classes: DataFrame) -> DataFrame:
+    """Edges (src, dst) between neighbours in the sorted forest that share a prefix, from classes (id, keys, rests)."""
+    leaves = classes.select("id", F.explode(F.arrays_zip("keys", "rests")).alias("l")).select(F.col("l.keys").alias("key"), F.col("l.rests").alias("rest"), "id")
+    leaves = leaves.repartitionByRange(int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key", "rest", "id").sortWithinPartitions("key", "rest", "id")
+    names = ["src", "dst", "part", "side", "key"]
+
+    def rows(src, dst, part=None, side=None, key=None) -> pa.RecordBatch:
+        n = len(src)
+        fill = lambda x, kind: pa.nulls(n, kind) if x is None else pa.array([x] * n, kind)
+        return pa.RecordBatch.from_arrays([pa.array(src, pa.int64()), pa.nulls(n, pa.int64()) if dst is None else pa.array(dst, pa.int64()), fill(part, pa.int32()), fill(side, pa.int32()), fill(key, pa.int64())], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Neighbours of a partition, and its first and last leaf, which may have neighbours in the next partitions."""
+        part, last = TaskContext.get().partitionId(), None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, leaf = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+            if last is None:
+                yield rows(leaf[:1], None, part, 0, int(key[0]))
+            else:
+                key, leaf = np.append(last[0], key), np.append(last[1], leaf)
+            same = np.flatnonzero((key[1:] == key[:-1]) & (leaf[1:] != leaf[:-1]))
+            yield rows(leaf[same + 1], leaf[same])
+            last = key[-1], leaf[-1]
+        if last is not None:
+            yield rows(last[1:], None, part, 1, int(last[0]))
+
+    found = written(leaves.mapInArrow(run, "src long, dst long, part int, side int, key long"), "neighbours")
+    ends = Window.orderBy("part", "side")  # two rows a partition
+    across = found.where("part IS NOT NULL").withColumn("dst", F.lag("src").over(ends)).withColumn("before", F.lag("key").over(ends)).where("side = 0 AND before = key")
+    return found.where("part IS NULL").select("src", "dst").unionByName(across.select("src", "dst"))
+
+
 def common_counts(found: list[np.ndarray]) -> np.ndarray:
     """Numbers of common elements of all pairs of sets: elements in two sets are counted singly, others by products of 0-1 matrices."""
     m = len(found)
@@ -171,17 +215,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: float =
     """
     rows = written(signatures(docs, shingle, threshold), "signatures")
     keyed = rows.where("fp IS NOT NULL")
-    classes = keyed.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+    classes = keyed.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("n", "keys", "rests")))
     classes = written(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
-    # Candidates: a star around the least class of each prefix.
-    nodes = classes.select("id", F.explode("keys").alias("key"))
-    stars = nodes.groupBy("key").agg(F.min("id").alias("dst"), F.count("*").alias("n")).where("n > 1").select("key", "dst")
-    edges = nodes.join(stars, "key").where("id <> dst").select(F.col("id").alias("src"), "dst")
-    groups = connected_components(edges, "candidates")
+    groups = connected_components(candidates(classes), "candidates")
     members = groups.join(classes.select("id", "fp", "doc_id", "copies", "n"), F.col("node") == F.col("id")).withColumnRenamed("component", "grp")
     load = members.groupBy("grp").agg(F.sum("n").alias("s"), F.count("*").alias("m"))
     load = load.select("grp", F.greatest(F.ceil(F.col("s") / BLOCK_SHINGLES), F.ceil(F.col("m") / BLOCK_CLASSES)).cast("long").alias("blocks"))
-    members = written(members.join(load, "grp").select("grp", "id", "fp", F.col("doc_id").alias("rep"), "copies", "blocks", F.expr("pmod(xxhash64(id), blocks)").alias("block")), "members")
+    members = members.join(load, "grp").select("grp", "id", "fp", F.col("doc_id").alias("rep"), "copies", "blocks", F.expr("pmod(xxhash64(id), blocks)").alias("block"))
     blocks = _with_shingles(docs, members, shingle)
     pairs = blocks.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     pairs = pairs.withColumn("a", F.least("block", "other")).withColumn("b", F.greatest("block", "other")).drop("other", "blocks")
@@ -218,7 +258,7 @@ def _with_shingles(docs: DataFrame, members: DataFrame, shingle: int) -> DataFra
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
     """One row of each class, of its least doc_id, with all columns; of equal rows (id and text) one stays. Texts without words all stay."""
-    found = written(near_duplicates(docs, shingle, threshold), "near-duplicates")
+    found = written(near_duplicates(docs, shingle, threshold), "near-duplicates", narrow=True)
     keyed = found.where("component IS NOT NULL")
     gone = keyed.where(~F.col("doc_id").eqNullSafe(F.col("class_id")))
     # Of a class's rows with its id, that of least text hash stays: other texts may have the same id.
@@ -226,7 +266,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHO
     best = heads.groupBy("component").agg(F.min("text_hash").alias("best"), F.count("*").alias("n")).where("n > 1")
     more = heads.join(best, "component")
     gone = gone.select("doc_id", "text_hash").unionByName(more.where("text_hash <> best").select("doc_id", "text_hash")).distinct()
-    repeated = written(more.where("text_hash = best").groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where("n > 1").select("doc_id", "text_hash"), "repeated")
+    repeated = more.where("text_hash = best").groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where("n > 1").select("doc_id", "text_hash")
     on = lambda t: docs["doc_id"].eqNullSafe(t["__id"]) & (F.xxhash64(docs["text"]) == t["__hash"])
     named = lambda t: t.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).hint("merge")
     if repeated.isEmpty():

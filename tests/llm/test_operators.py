@@ -149,6 +149,37 @@ def test_common_counts():
     assert all(got[i][j] == want[i][j] for i in range(10) for j in range(10) if i != j)
 
 
+@pytest.mark.parametrize("parts", ["1", "7"])
+def test_candidates_link_all_that_share_a_prefix(spark, parts):
+    """Chains of neighbours, across partitions too, close to the components of shared keys."""
+    rng = random.Random(4)
+    rows = [(i, [rng.randrange(30) if rng.random() < 0.5 else rng.randrange(10**6) for _ in range(3)], [rng.randrange(4) for _ in range(3)]) for i in range(200)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        edges = ngram_join.candidates(spark.createDataFrame(rows, "id long, keys array<long>, rests array<long>"))
+        got = {r.node: r.component for r in connected_components(edges).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    parent = list(range(200))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    owners = {}
+    for i, keys, _ in rows:
+        for k in keys:
+            owners.setdefault(k, []).append(i)
+    for own in owners.values():
+        for i in own[1:]:
+            a, b = sorted((find(i), find(own[0])))
+            parent[b] = a
+    linked = {i for own in owners.values() if len(set(own)) > 1 for i in own}
+    assert got == {i: find(i) for i in linked}
+
+
 def test_prefix_depth_reaches_recall():
     d = ngram_join.prefix_depth(0.8)
     assert 1 - (1 - 0.8**d) ** ngram_join.TREES >= ngram_join.RECALL > 1 - (1 - 0.8 ** (d + 1)) ** ngram_join.TREES
