@@ -29,11 +29,17 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/millrace/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cuts lineage: writes df as Parquet to the shared folder and reads it back."""
-    path = shared_dir(df.sparkSession, name)
+def written(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
+    """Cuts lineage: writes df as Parquet to the shared folder and reads it back.
+
+    narrow: rows of a few numbers, which an eighth of the shuffle partitions hold in files of a fair size.
+    """
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    if narrow:
+        df = df.coalesce(max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8))
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def as_documents(df: DataFrame, *columns: str) -> DataFrame:
@@ -83,24 +89,24 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     finishes. Nulls and loops are ignored. No row of the graph reaches the driver.
     """
     e = edges.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL")
-    e = written(e.where("src <> dst").distinct(), name)
+    e = written(e.where("src <> dst").distinct(), name, narrow=True)
     kind = e.schema["src"].dataType
     levels: list[DataFrame] = []
     while left := e.count():
         if left <= LOCAL_EDGES:
             out = T.StructType([T.StructField("node", kind), T.StructField("to", kind)])
-            levels.append(written(e.coalesce(1).mapInArrow(_local_components, out), name))
+            levels.append(e.coalesce(1).mapInArrow(_local_components, out))
             break
         seed = F.lit(len(levels))
         both = e.union(e.select("dst", "src")).union(e.select("src", "src")).union(e.select("dst", "dst"))
         best = both.groupBy(F.col("src").alias("node")).agg(
             F.min(F.struct(F.xxhash64(seed, "dst").alias("h"), F.col("dst").alias("to"))).alias("m")
         )
-        step = written(best.select("node", F.col("m.to").cast(kind).alias("to")), name)
+        step = written(best.select("node", F.col("m.to").cast(kind).alias("to")), name, narrow=True)
         levels.append(step)
         a, b = (step.select(F.col("node").alias(c), F.col("to").alias(f"{c}_to")) for c in ("src", "dst"))
         e = e.join(a, "src").join(b, "dst").select(F.col("src_to").alias("src"), F.col("dst_to").alias("dst"))
-        e = written(e.where("src <> dst").distinct(), name)
+        e = written(e.where("src <> dst").distinct(), name, narrow=True)
     if not levels:
         return e.select(F.col("src").alias("node"), F.col("src").alias("component"))
     out = levels[0].select("node", F.col("to").alias("root"))
@@ -109,7 +115,7 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     for step in levels[1:]:
         up = step.select(F.col("node").alias("root"), "to")
         out = out.join(up, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
-    out = written(out, name)
+    out = written(out, name, narrow=True)
     least = out.groupBy("root").agg(F.min("node").alias("component"))
     return out.join(least, "root").select("node", "component")
 

@@ -35,8 +35,8 @@ def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_chars: int = MI
     every = lines(docs, min_chars)
     estimate = F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LOG_REGISTERS)))
     spread = every.groupBy("hash").agg(estimate.alias("sites")).where(F.col("sites") >= min_sites * (1 - NEAR))
-    spread = written(spread, "line-spread")  # so that the join meets shuffled lines, whose hot hashes can be split
-    found = written(every.join(spread, "hash"), "line-occurrences")
+    spread = written(spread, "line-spread", narrow=True)  # so that the join meets shuffled lines, whose hot hashes can be split
+    found = written(every.join(spread, "hash"), "line-occurrences", narrow=True)
     near = found.where(F.col("sites") < min_sites * (1 + NEAR))
     exact = near.groupBy("hash", "site").agg(F.lit(1).alias("one")).groupBy("hash").agg(F.count("site").alias("n")).where(F.col("n") >= min_sites)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "text_hash", "pos")).alias("first")
