@@ -48,7 +48,7 @@ def signed_axes(x: np.ndarray) -> np.ndarray:
 
 
 class Shard:
-    """Distinct vectors of a shard, each with the least k + 1 of its ids, and their tables."""
+    """Distinct vectors of a shard, each with the least k + 1 of its distinct ids, and their tables."""
 
     def __init__(self, ids: np.ndarray, x: np.ndarray, k: int):
         order = np.argsort(ids, kind="stable")
@@ -56,8 +56,10 @@ class Shard:
         _, first, back = np.unique(np.ascontiguousarray(x).view(np.dtype((np.void, x.dtype.itemsize * x.shape[1]))).ravel(), return_index=True, return_inverse=True)
         self.x = x[first].astype(np.float64)
         by = np.argsort(back, kind="stable")
+        again = (back[by[1:]] == back[by[:-1]]) & (ids[by[1:]] == ids[by[:-1]])  # rows of equal id and vector are one
+        by = by[np.concatenate([[True], ~again])]
         begin = np.searchsorted(back[by], np.arange(len(first) + 1))
-        # More copies than k + 1 of least id never reach the k nearest of a query, itself left out.
+        # More ids of a vector than the k + 1 least never reach the k nearest of a query, itself left out.
         self.ids = [ids[by[a : min(b, a + k + 1)]] for a, b in zip(begin[:-1], begin[1:], strict=True)]
         unit = self.x / np.linalg.norm(self.x, axis=1, keepdims=True)
         self.tables = []
@@ -83,18 +85,29 @@ class Shard:
             yield np.flatnonzero(seen)
 
 
+def least_of_ids(shard: Shard, q_id: int, v: np.ndarray, found: np.ndarray, k: int) -> list[tuple[float, int]]:
+    """(distance, id) of the k nearest distinct ids but q_id of the found rows, each with its nearest vector; fewer if they have fewer."""
+    d = np.sqrt(((shard.x[found] - v) ** 2).sum(1))
+    most = k + 1
+    while True:
+        near = np.flatnonzero(d <= np.partition(d, most - 1)[most - 1]) if len(d) > most else np.arange(len(d))
+        best: dict[int, float] = {}
+        for x, r in zip(d[near].tolist(), found[near].tolist(), strict=True):
+            for i in shard.ids[r].tolist():
+                if i != q_id and (i not in best or x < best[i]):
+                    best[i] = x
+        if len(best) >= k or len(near) == len(d):
+            return sorted((x, i) for i, x in best.items())[:k]
+        most *= 2  # the nearest vectors share ids
+
+
 def nearest(shard: Shard, q_ids: np.ndarray, q: np.ndarray, k: int) -> Iterator[tuple[int, int, float]]:
-    """(query id, vector id, distance) of the k nearest found in the shard; all its rows are ranked for a query that collects fewer than k."""
+    """(query id, vector id, distance) of the k nearest distinct ids found in the shard; all its rows are ranked for a query that collects fewer than k."""
     for q_id, v, rows in zip(q_ids.tolist(), q, shard.probe(q), strict=True):
-        for found in (rows, np.arange(len(shard.x))):
-            if len(found) < k + 1 and found is rows and len(rows) < len(shard.x):
-                continue  # too few: rank the whole shard
-            d = np.sqrt(((shard.x[found] - v) ** 2).sum(1))
-            cut = found[d <= np.partition(d, k)[k]] if len(d) > k + 1 else found
-            d = np.sqrt(((shard.x[cut] - v) ** 2).sum(1))
-            every = [(x, i) for x, r in zip(d.tolist(), cut.tolist(), strict=True) for i in shard.ids[r].tolist() if i != q_id]
-            yield from ((q_id, i, x) for x, i in sorted(every)[:k])
-            break
+        best = least_of_ids(shard, q_id, v, rows, k) if len(rows) > k else []
+        if len(best) < k:  # too few: rank the whole shard
+            best = least_of_ids(shard, q_id, v, np.arange(len(shard.x)), k)
+        yield from ((q_id, i, x) for x, i in best)
 
 
 def usable(table: DataFrame, id_col: str, vec_col: str) -> DataFrame:

@@ -240,6 +240,46 @@ def test_search_small_table_is_exact(spark):
     assert ann.search(few.where("false"), few.where("false"), "vec_id", "embedding").count() == 0
 
 
+def nearest_brute(rows, q, k=10):
+    """[(distance, id)] of the k nearest ids but q, each with the nearest of its vectors to any of q's."""
+    best = {}
+    for _, v in (r for r in rows if r[0] == q):
+        for i, x in rows:
+            if i != q:
+                d = float(np.sqrt(((np.array(x) - np.array(v)) ** 2).sum()))
+                best[i] = min(best.get(i, d), d)
+    return sorted((d, i) for i, d in best.items())[:k]
+
+
+def test_search_repeated_ids(spark):
+    """Rows of one id, equal or not, take one place of a shard's k; ids under the query's own vector aren't crowded out by its repeats."""
+    x = np.random.default_rng(7).normal(size=(12, 8)).round(3)
+    equal = [(i, x[i].tolist()) for i in range(12) for _ in range(11)] + [(50 + i, x[3].tolist()) for i in range(6)]
+    unlike = [(i, (x[i] + j / 1024).tolist()) for i in range(12) for j in range(11)]
+    hot = unlike + [(99, (x[5] + j / 4096).tolist()) for j in range(300)]
+    for rows in (equal, unlike, hot):
+        t = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        for parts in (1, 3):
+            got = ann.search(t.where("vec_id in (0, 3, 5)"), t.repartition(parts), "vec_id", "embedding", k=10).collect()
+            for q in (0, 3, 5):
+                have = sorted((r["rank"], r.vec_id, r.score) for r in got if r.query_id == q)
+                want = nearest_brute(rows, q)
+                assert [r for r, _, _ in have] == list(range(1, 11))
+                assert [i for _, i, _ in have] == [i for _, i in want] and np.allclose([d for _, _, d in have], [d for d, _ in want])
+
+
+def test_nearest_ranks_the_shard_for_few_distinct_ids():
+    """Many collected vectors of a few ids aren't enough."""
+    rng = np.random.default_rng(3)
+    axis = np.zeros(64)
+    axis[0] = 1
+    x = np.concatenate([axis + rng.normal(size=(400, 64)) / 1000, rng.normal(size=(8, 64))])
+    ids = np.concatenate([np.arange(400) % 3, np.arange(100, 108)])  # with 1 and 2, ten ids but the query's own
+    got = list(ann.nearest(ann.Shard(ids, x, 10), np.array([0]), axis[None], 10))
+    want = nearest_brute([(0, axis.tolist())] + [(i, v) for i, v in zip(ids.tolist(), x.tolist()) if i], 0)
+    assert [i for _, i, _ in got] == [i for _, i in want]
+
+
 def test_search_recall(spark):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(4000, 64)).astype(np.float32)
