@@ -29,8 +29,14 @@ class Rule:
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
 
+def _number(version: str) -> str:
+    """Words of a version: 2 and 2.0 are one, and 2 before another minor version (as in 2.1) is no version 2.0."""
+    major, minor = version.split(".")
+    return f"{major}( 0|(?! [1-9][a-c]? ))" if minor == "0" else f"{major} {minor}"
+
+
 def rules() -> list[Rule]:
-    """The signature rules, more exact ones first; families of licenses make hundreds of them.
+    """The signature rules, more exact ones first; families of licenses, by the versions that exist, make hundreds of them.
 
     A pattern sees words joined by single blanks; a dotted version such as 2.0 is two words there.
     """
@@ -47,22 +53,33 @@ def rules() -> list[Rule]:
     add("all rights reserved", "all rights reserved", "all-rights-reserved")
     add("dedicated to the public domain", "dedicated to the public domain", "public-domain")
     add("do what the fuck", "do what the fuck you want to public license", "wtfpl")
-    # Copyleft families: names and short names, by version, with and without later versions.
-    gnu = {"gpl": ("general public license", "gnu gpl"), "lgpl": ("lesser general public license", "gnu lgpl"), "agpl": ("affero general public license", "gnu agpl"), "fdl": ("free documentation license", "gnu fdl")}
-    for (label, names), (version, words) in product(gnu.items(), (("1.0", "1( 0)?"), ("1.1", "1 1"), ("1.2", "1 2"), ("1.3", "1 3"), ("2.0", "2( 0)?"), ("2.1", "2 1"), ("3.0", "3( 0)?"))):
-        for name in names:
-            number = f"(gnu )?{name}( as published by the free software foundation)?( either)? ?(version |v )?{words}"
+    # Copyleft families: names and short names, by version that exists, with and without later versions.
+    gnu = {
+        "gpl": (("general public license", "gpl"), "1.0 2.0 3.0"), "lgpl": (("lesser general public license", "lgpl"), "2.0 2.1 3.0"),
+        "agpl": (("affero general public license", "agpl"), "1.0 2.0 3.0"), "fdl": (("free documentation license", "fdl"), "1.1 1.2 1.3"),
+    }
+    for label, (names, versions) in gnu.items():
+        for version, name in product(versions.split(), names):
+            number = f"(gnu )?{name}( license)?( as published by the free software foundation)?( either)? ?(version |v ?)?{_number(version)}"
             add(name, f"{number} (or (at your option )?any later version|or later|only or later)", f"{label}-{version}-or-later")
             add(name, f"{number} only", f"{label}-{version}-only")
             add(name, number, f"{label}-{version}")
-        add(label, f"spdx license identifier {label} {words}( (only|or later))?", f"{label}-{version}")
+        for version in versions.split():
+            add(label, f"spdx license identifier {label} {_number(version)}( (only|or later))?", f"{label}-{version}")
+        add(f"gnu {label}", f"gnu {label}( license)?", label)
     # Versioned permissive and weak copyleft families.
-    families = {"apache": ("apache license", "apache software license"), "mpl": ("mozilla public license",), "epl": ("eclipse public license",), "cddl": ("common development and distribution license",), "eupl": ("european union public licen[cs]e",), "artistic": ("artistic license",), "osl": ("open software license",), "afl": ("academic free license",), "cpl": ("common public license",), "ms-pl": ("microsoft public license",), "python": ("python software foundation license",), "zpl": ("zope public license",), "lppl": ("latex project public license",), "ofl": ("sil open font license",)}
-    for (label, names), (version, words) in product(families.items(), (("1.0", "1( 0)?"), ("1.1", "1 1"), ("1.2", "1 2"), ("2.0", "2( 0)?"), ("2.1", "2 1"), ("3.0", "3( 0)?"))):
-        for name in names:
-            add(name.split("[")[0], f"{name} ?(version |v )?{words}", f"{label}-{version}")
-        add(label.split("-")[0], f"spdx license identifier {label.replace('-', ' ')} {words}", f"{label}-{version}")
-    for label, names in families.items():
+    families = {
+        "apache": (("apache license", "apache software license"), "1.0 1.1 2.0"), "mpl": (("mozilla public license",), "1.0 1.1 2.0"), "epl": (("eclipse public license",), "1.0 2.0"),
+        "cddl": (("common development and distribution license",), "1.0 1.1"), "eupl": (("european union public licen[cs]e",), "1.0 1.1 1.2"), "artistic": (("artistic license",), "1.0 2.0"),
+        "osl": (("open software license",), "1.0 1.1 2.0 2.1 3.0"), "afl": (("academic free license",), "1.0 1.1 1.2 2.0 2.1 3.0"), "cpl": (("common public license",), "1.0"), "ms-pl": (("microsoft public license",), ""),
+        "python": (("python software foundation license",), "2.0"), "zpl": (("zope public license",), "1.0 1.1 2.0 2.1"), "lppl": (("latex project public license",), "1.0 1.1 1.2 1.3 1.3a 1.3b 1.3c"), "ofl": (("sil open font license",), "1.0 1.1"),
+    }
+    for label, (names, versions) in families.items():
+        for version in versions.split():
+            for name in names:
+                add(name.split("[")[0], f"{name} ?(version |v ?)?{_number(version)}", f"{label}-{version}")
+            add(label.split("-")[0], f"spdx license identifier {label.replace('-', ' ')} {_number(version)}", f"{label}-{version}")
+    for label, (names, _) in families.items():
         for name in names:
             add(name.split("[")[0], name, label)
     # Creative Commons: elements by version.

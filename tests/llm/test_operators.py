@@ -446,6 +446,20 @@ def test_license_scan(spark):
     assert not re.search("Python|Pandas|Arrow", licenses.scan(documents(spark, ODD))._jdf.queryExecution().toString())
 
 
+def test_license_spellings(spark):
+    """Versions glued to their v, short GNU names, and versions that don't exist."""
+    want = {
+        "GPLv3": ["gpl-3.0"], "GPLv2": ["gpl-2.0"], "GNU GPL v3": ["gpl-3.0"], "GNU GPLv2 or later": ["gpl-2.0-or-later"], "LGPLv2.1": ["lgpl-2.1"], "GNU LGPL v3 only": ["lgpl-3.0-only"], "the AGPL-3.0": ["agpl-3.0"],
+        "GNU GPL": ["gpl"], "GNU LGPL license": ["lgpl"], "gnu agpl": ["agpl"], "GNU General Public License v2.0": ["gpl-2.0"], "GNU Lesser General Public License v2.1": ["lgpl-2.1"], "GPL license, version 3": ["gpl-3.0"],
+        "Apache License v2.0": ["apache-2.0"], "Apache License, v 2": ["apache-2.0"], "Mozilla Public License v1.1": ["mpl-1.1"], "LaTeX Project Public License 1.3c": ["lppl-1.3c"],
+        "General Public License version 2.1": ["gpl"], "Apache License 1.2": ["apache"], "xGPLv3": [], "GPLv3x": [],
+    }
+    got = licenses.scan(documents(spark, [(i, t) for i, t in enumerate(want)])).collect()
+    assert {t: [d.label for d in r.detections] for t, r in zip(want, sorted(got, key=lambda r: r.doc_id))} == want  # labels also has the base phrases'
+    labels = {r.label for r in licenses.rules()}
+    assert {"gpl-3.0", "lgpl-2.1", "agpl-3.0", "fdl-1.3", "osl-2.1"} <= labels and not {"gpl-1.2", "gpl-2.1", "agpl-1.3", "lgpl-1.1", "fdl-3.0", "apache-3.0", "ms-pl-2.1"} & labels
+
+
 def scan_brute(text):
     """(n_words, base, detections, labels, score) by Python's re, rule by rule."""
     words_ = WORD.findall(text or "")
