@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,17 +31,11 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/millrace/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
-    """Cuts lineage: writes df as Parquet to the shared folder and reads it back.
-
-    narrow: rows of a few numbers, which an eighth of the shuffle partitions hold in files of a fair size.
-    """
-    spark = df.sparkSession
-    path = shared_dir(spark, name)
-    if narrow:
-        df = df.coalesce(max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8))
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Cuts lineage: writes df as Parquet to the shared folder and reads it back."""
+    path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def as_documents(df: DataFrame, *columns: str) -> DataFrame:
@@ -52,48 +48,48 @@ def bound(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-#: Edges of a contracted graph that one task finishes.
-LOCAL_EDGES = 200_000
-
-
 def _local_components(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, to): the least node of each node's component, by union-find over all edges (src, dst) that come."""
-    parent: dict = {}
-
-    def find(x):
-        root = x
-        while (up := parent.setdefault(root, root)) != root:
-            root = up
-        while parent[x] != root:
-            parent[x], x = root, parent[x]
-        return root
-
-    kind = None
-    for batch in batches:
-        kind = batch.column(0).type
-        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            a, b = find(a), find(b)
-            if a != b:
-                parent[max(a, b)] = min(a, b)
-    nodes = list(parent)
+    """(node, to): the least node of each node's component, over all edges (src, dst) that come: labels sink along edges and jump to their own labels."""
+    parts = list(batches)
+    if not parts:
+        return
+    src, dst = (pa.chunked_array([p.column(k) for p in parts]) for k in (0, 1))
+    nodes = pc.unique(pa.chunked_array([*src.chunks, *dst.chunks])).sort()
+    a, b = (pc.index_in(c, nodes).to_numpy().astype(np.int64) for c in (src, dst))
+    label = np.arange(len(nodes))
+    while len(a):
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        for ends in (a, b):
+            np.minimum.at(new, label[ends], low)  # only roots are hooked, so that nodes of one root stay together
+        while not (jumped := new[new] == new).all():
+            new[~jumped] = new[new[~jumped]]
+        label = new
+        open_ = label[a] != label[b]
+        a, b = a[open_], b[open_]
     for k in range(0, len(nodes), 10_000):
-        part = nodes[k : k + 10_000]
-        yield pa.RecordBatch.from_arrays([pa.array(part, kind), pa.array([find(x) for x in part], kind)], names=["node", "to"])
+        yield pa.RecordBatch.from_arrays([nodes[k : k + 10_000], nodes.take(pa.array(label[k : k + 10_000]))], names=["node", "to"])
 
 
-def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
+#: Edges of a contracted graph that one task finishes, unless a caller says otherwise.
+LOCAL_EDGES = 200_000
+
+
+def connected_components(edges: DataFrame, name: str = "components", local_edges: int | None = None) -> DataFrame:
     """(node, component): the least node reachable over edges (src, dst), for every node of an edge.
 
     Each round every node joins the neighbour (or itself) of least random priority and the graph
-    is contracted, so rounds grow with the logarithm of the nodes whatever the shape; what is left of at most LOCAL_EDGES edges one task
-    finishes. Nulls and loops are ignored. No row of the graph reaches the driver.
+    is contracted, so rounds grow with the logarithm of the nodes whatever the shape. Once at most local_edges edges are left, one
+    task finishes; this parameter bounds that task and never the result, and with 0 the rounds go on to the end.
+    Nulls and loops are ignored. No row of the graph reaches the driver.
     """
+    local_edges = LOCAL_EDGES if local_edges is None else local_edges
     e = edges.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL")
-    e = written(e.where("src <> dst").distinct(), name, narrow=True)
+    e = written(e.where("src <> dst").distinct(), name)
     kind = e.schema["src"].dataType
     levels: list[DataFrame] = []
     while left := e.count():
-        if left <= LOCAL_EDGES:
+        if left <= local_edges:
             out = T.StructType([T.StructField("node", kind), T.StructField("to", kind)])
             levels.append(e.coalesce(1).mapInArrow(_local_components, out))
             break
@@ -102,20 +98,20 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
         best = both.groupBy(F.col("src").alias("node")).agg(
             F.min(F.struct(F.xxhash64(seed, "dst").alias("h"), F.col("dst").alias("to"))).alias("m")
         )
-        step = written(best.select("node", F.col("m.to").cast(kind).alias("to")), name, narrow=True)
+        step = written(best.select("node", F.col("m.to").cast(kind).alias("to")), name)
         levels.append(step)
         a, b = (step.select(F.col("node").alias(c), F.col("to").alias(f"{c}_to")) for c in ("src", "dst"))
         e = e.join(a, "src").join(b, "dst").select(F.col("src_to").alias("src"), F.col("dst_to").alias("dst"))
-        e = written(e.where("src <> dst").distinct(), name, narrow=True)
+        e = written(e.where("src <> dst").distinct(), name)
     if not levels:
         return e.select(F.col("src").alias("node"), F.col("src").alias("component"))
     out = levels[0].select("node", F.col("to").alias("root"))
     if left and len(levels) == 1:  # one task has found the least nodes
-        return out.withColumnRenamed("root", "component")
+        return written(out.withColumnRenamed("root", "component"), name)
     for step in levels[1:]:
         up = step.select(F.col("node").alias("root"), "to")
         out = out.join(up, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
-    out = written(out, name, narrow=True)
+    out = written(out, name)
     least = out.groupBy("root").agg(F.min("node").alias("component"))
     return out.join(least, "root").select("node", "component")
 
@@ -126,21 +122,6 @@ _LOWER[65:91] += 32
 _WORD = np.zeros(256, bool)
 _WORD[48:58] = _WORD[97:123] = _WORD[128:] = True
 _IS_WORD = _WORD[_LOWER]
-_P = np.uint64(0x9E3779B97F4A7C15)
-_P_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_BYTE = np.random.default_rng(20240601).integers(1, 2**64, 256, dtype=np.uint64)[_LOWER]
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """0th to at least nth powers of the hash's base and of its inverse, modulo 2 ** 64."""
-    if len(_powers[0]) < n + 1:
-        m = max(n + 1, 2 * len(_powers[0]))
-        for k, p in enumerate((_P, _P_INV)):
-            x = np.full(m, p, np.uint64)
-            x[0] = 1
-            _powers[k] = np.cumprod(x, dtype=np.uint64)
-    return _powers[0], _powers[1]
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -153,6 +134,58 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h
 
 
+#: The bytes of an eight that belong to a span of which so many are left.
+_KEEP = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
+#: Spans of more bytes go one by one.
+_ALONE = 4096
+
+
+class Spans:
+    """A byte buffer whose parts [start, end) are hashed and compared by whole arrays, eight bytes of each at a time."""
+
+    def __init__(self, data: np.ndarray):
+        self.data = np.zeros(len(data) + 8, np.uint8)
+        self.data[: len(data)] = data
+
+    def eights(self) -> np.ndarray:
+        """The eight bytes from each position on, as numbers; a view."""
+        return np.ndarray((len(self.data) - 7,), "<u8", self.data, 0, (1,))
+
+    def bytes_at(self, start: int, end: int) -> bytes:
+        return self.data[start:end].tobytes()
+
+    def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """64-bit hashes. They only tell spans apart; equal ones are compared where it matters (`same`)."""
+        every, size = self.eights(), end - start
+        h = mixed(size.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+        h = mixed(h ^ (every[start] & _KEEP[np.minimum(size, 8)]))
+        live = np.flatnonzero((size > 8) & (size <= _ALONE))
+        at, left = start[live] + 8, size[live] - 8
+        while len(live):
+            h[live] = mixed(h[live] ^ (every[at] & _KEEP[np.minimum(left, 8)]))
+            on = left > 8
+            live, at, left = live[on], at[on] + 8, left[on] - 8
+        for k in np.flatnonzero(size > _ALONE).tolist():
+            h[k] = int.from_bytes(hashlib.blake2b(self.data[start[k] : end[k]], digest_size=8).digest(), "little")
+        return h
+
+    def same(self, start: np.ndarray, end: np.ndarray, other: Spans, other_start: np.ndarray, other_end: np.ndarray) -> np.ndarray:
+        """Whether spans hold the same bytes as those of another buffer, one by one."""
+        size = end - start
+        out = size == other_end - other_start
+        a, b = self.eights(), other.eights()
+        live = np.flatnonzero(out & (size <= _ALONE))
+        x, y, left = start[live], other_start[live], size[live]
+        while len(live):
+            unlike = ((a[x] ^ b[y]) & _KEEP[np.minimum(left, 8)]) != 0
+            out[live[unlike]] = False
+            on = ~unlike & (left > 8)
+            live, x, y, left = live[on], x[on] + 8, y[on] + 8, left[on] - 8
+        for k in np.flatnonzero(out & (size > _ALONE)).tolist():
+            out[k] = np.array_equal(self.data[start[k] : end[k]], other.data[other_start[k] : other_end[k]])
+        return out
+
+
 class Words:
     """The words of consecutive texts in one byte buffer: start, end, hash and text number of each."""
 
@@ -162,6 +195,7 @@ class Words:
         base = int(offsets[0])
         data, offsets = data[base : int(offsets[-1])], offsets - base
         n = len(data)
+        self.spans = Spans(_LOWER[data])
         is_word = np.zeros(n + 1, bool)
         is_word[:n] = _IS_WORD[data]
         first = np.empty(n + 1, bool)
@@ -173,37 +207,88 @@ class Words:
         self.text = np.searchsorted(offsets, self.start, "right") - 1
         self.counts = np.bincount(self.text, minlength=len(offsets) - 1)
         self.first = np.concatenate([[0], np.cumsum(self.counts)])
-        self.data, self.offsets = data, offsets
-        p, inv = powers(n)
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[data] * p[:n], out=sums[1:])
-        span = lambda end: mixed((sums[end] - sums[self.start]) * inv[self.start])
-        self.hash = span(self.end)
+        self.hash = self.spans.hashes(self.start, self.end)
         if prefix:
-            self.prefix_hash = span(np.minimum(self.end, self.start + prefix))
+            self.prefix_hash = self.spans.hashes(self.start, np.minimum(self.end, self.start + prefix))
 
     def word(self, k: int) -> bytes:
-        return _LOWER[self.data[self.start[k] : self.end[k]]].tobytes()
-
-
-def grams(w: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the n-word shingles of each text, and where each text's begin (n_texts + 1 positions).
-
-    A text of fewer than n words, but not none, has one shingle of all its words.
-    """
+        return self.spans.bytes_at(self.start[k], self.end[k])
+
+    def joined(self) -> list[bytes]:
+        """The words of each text with a blank after each."""
+        size = self.end - self.start + 1
+        stop = np.cumsum(size)
+        out = np.full(int(stop[-1]) if len(stop) else 0, 32, np.uint8)
+        place = np.arange(len(out)) + np.repeat(self.start - (stop - size), size)
+        np.copyto(out, self.spans.data[place])  # what follows a word is taken too,
+        out[stop - 1] = 32  # and is overwritten here
+        cut = np.concatenate([[0], stop])[self.first].tolist()
+        data = out.tobytes()
+        return [data[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
+
+
+class Lexicon:
+    """Numbers from 1 of the distinct words of consecutive texts. Words are grouped by hash and then compared; words of one hash but other bytes get numbers of their own."""
+
+    def __init__(self, w: Words):
+        self.w = w
+        self.hash, back = np.unique(w.hash, return_inverse=True)
+        self.one = np.zeros(len(self.hash), np.int64)  # a word of each hash
+        self.one[back[::-1]] = np.arange(len(back))[::-1]
+        self.of = back + 1
+        self.others: dict[bytes, int] = {}
+        like = self.one[back]
+        for k in np.flatnonzero(~w.spans.same(w.start, w.end, w.spans, w.start[like], w.end[like])).tolist():
+            self.of[k] = self.others.setdefault(w.word(k), len(self.hash) + 1 + len(self.others))
+
+    def find(self, other: Words) -> np.ndarray:
+        """The numbers of other words, -1 for those that aren't here."""
+        out = np.full(len(other.hash), -1, np.int64)
+        if not len(self.hash):
+            return out
+        at = np.minimum(np.searchsorted(self.hash, other.hash), len(self.hash) - 1)
+        some = np.flatnonzero(self.hash[at] == other.hash)
+        like = self.one[at[some]]
+        same = other.spans.same(other.start[some], other.end[some], self.w.spans, self.w.start[like], self.w.end[like])
+        out[some[same]] = at[some[same]] + 1
+        for k in some[~same].tolist():
+            out[k] = self.others.get(other.word(k), -1)
+        return out
+
+
+def _places(w: Words, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word of each n-word shingle, the words' end of its text, and where each text's shingles begin. A text of fewer than n words, but not none, has one of all its words."""
     size = np.where(w.counts >= n, w.counts - n + 1, (w.counts > 0).astype(np.int64))
     begin = np.concatenate([[0], np.cumsum(size)])
-    total = int(begin[-1])
     text = np.repeat(np.arange(len(size)), size)
-    at = np.arange(total) - begin[text] + w.first[text]
-    last = w.first[text + 1]
-    h = np.zeros(total, np.uint64)
-    for k in range(n):
+    return np.arange(int(begin[-1])) - begin[text] + w.first[text], w.first[text + 1], begin
+
+
+def grams(w: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the n-word shingles of each text, and where each text's begin (n_texts + 1 positions)."""
+    at, last, begin = _places(w, n)
+    h = np.zeros(len(at), np.uint64)
+    for k in range(n if len(at) else 0):
         inside = at + k < last
-        h = h * np.uint64(0xD6E8FEB86659FD93) + np.where(inside, w.hash[np.minimum(at + k, max(0, len(w.hash) - 1))], np.uint64(0x5851F42D4C957F2D)) if len(w.hash) else h
+        h = h * np.uint64(0xD6E8FEB86659FD93) + np.where(inside, w.hash[np.minimum(at + k, len(w.hash) - 1)], np.uint64(0x5851F42D4C957F2D))
     return mixed(h), begin
 
 
+def gram_numbers(w: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """As grams, with numbers that are equal just for shingles of the same words."""
+    at, last, begin = _places(w, n)
+    of = Lexicon(w).of
+    width = int(of.max(initial=0)) + 1
+    number, top = np.zeros(len(at), np.int64), 1
+    for k in range(n if len(at) else 0):
+        if top * width >= 1 << 63:
+            number = np.unique(number, return_inverse=True)[1]
+            top = int(number.max()) + 1
+        number = number * width + np.where(at + k < last, of[np.minimum(at + k, len(of) - 1)], 0)
+        top *= width
+    return number, begin
+
+
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets (n + 1) of a string or binary column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

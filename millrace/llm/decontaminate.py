@@ -3,11 +3,13 @@
 A shard holds whole documents of about SLICE_BYTES bytes (a longer document is its own shard). Its word suffixes are
 sorted by prefix doubling; each suffix of each test item narrows its interval of the array word by word with
 binary search, which gives its longest verbatim match, the places of it and of its first words. Shards
-live and die within a task, so a lost executor costs only its tasks. Words are compared by 64-bit hashes.
+live and die within a task, so a lost executor costs only its tasks. Words are numbered by their bytes, so that matches are verbatim.
 """
 
 from __future__ import annotations
 
+import pickle
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SLICE_BYTES, Words, as_documents, slices, text_buffers
+from .common import SLICE_BYTES, Lexicon, Words, as_documents, slices, text_buffers
 
 #: Bytes of test texts in one broadcast; a larger benchmark is broadcast in several blocks, one of them in memory at a time.
 BLOCK_BYTES = 8 << 20
@@ -28,34 +30,44 @@ class Items:
     def __init__(self, ids: list, texts: list[str], window: int):
         data, offsets = text_buffers(pa.array(texts, pa.large_string()))
         w = Words(data, offsets)
-        self.ids, self.hash, self.item = ids, w.hash, w.text
-        self.pos = np.arange(len(w.hash)) - w.first[w.text]
+        self.ids, self.words, self.item = ids, w, w.text
+        self.pos = np.arange(len(w.start)) - w.first[w.text]
         self.left = w.counts[w.text] - self.pos
         self.window = np.minimum(window, w.counts)[w.text]
         self.longest = int(w.counts.max(initial=0))
 
 
-def blocks(benchmark: DataFrame, window: int) -> list:
-    """Broadcasts of the test items, each of at most BLOCK_BYTES of text or one item."""
-    sc = benchmark.sparkSession.sparkContext
-    out, ids, texts, size = [], [], [], 0
-    for row in benchmark.select("item_id", "text").where("text IS NOT NULL").toLocalIterator():
-        if texts and size + len(row[1]) > BLOCK_BYTES:
-            out.append(sc.broadcast(Items(ids, texts, window)))
-            ids, texts, size = [], [], 0
-        ids.append("" if row[0] is None else str(row[0]))
-        texts.append(row[1])
-        size += len(row[1])
-    return [*out, sc.broadcast(Items(ids, texts, window))]
+class Blocks:
+    """The test items in broadcasts of packed texts, each of at most BLOCK_BYTES of text or one item; a worker unpacks one at a time and keeps it only if there is no other."""
+
+    def __init__(self, benchmark: DataFrame, window: int):
+        sc = benchmark.sparkSession.sparkContext
+        pack = lambda ids, texts: sc.broadcast(zlib.compress(pickle.dumps((ids, texts)), 1))
+        self.window, self.only, self.packed = window, None, []
+        ids, texts, size = [], [], 0
+        for row in benchmark.select("item_id", "text").where("text IS NOT NULL").toLocalIterator():
+            if texts and size + len(row[1]) > BLOCK_BYTES:
+                self.packed.append(pack(ids, texts))
+                ids, texts, size = [], [], 0
+            ids.append("" if row[0] is None else str(row[0]))
+            texts.append(row[1])
+            size += len(row[1])
+        self.packed.append(pack(ids, texts))
+
+    def __iter__(self) -> Iterator[Items]:
+        for p in self.packed:
+            items = self.only or Items(*pickle.loads(zlib.decompress(p.value)), self.window)
+            self.only = items if len(self.packed) == 1 else None
+            yield items
 
 
 class SuffixArray:
     """Word suffixes of consecutive texts in sorted order, exact to `depth` words; a suffix ends with its text."""
 
     def __init__(self, w: Words, depth: int):
-        self.words, first = np.unique(w.hash, return_inverse=True)
+        self.lexicon = Lexicon(w)
         n = len(w.hash)
-        self.rank = np.concatenate([first + 1, [0]])  # 0: past the text's end
+        self.rank = np.concatenate([self.lexicon.of, [0]])  # 0: past the text's end
         stop = w.first[w.text + 1] if n else np.zeros(0, np.int64)
         self.stop = np.append(stop, n)
         at, rank, size = np.arange(n), self.rank, 1
@@ -92,12 +104,11 @@ class SuffixArray:
 
     def search(self, items: Items) -> dict[str, np.ndarray]:
         """Of every test suffix: longest match, one place of it, and the interval of those matching its window."""
-        m = len(items.hash)
+        m = len(items.item)
         out = {k: np.zeros(m, np.int64) for k in ("longest", "place", "lo", "hi")}
         if not m or not len(self.order):
             return out
-        got = np.minimum(np.searchsorted(self.words, items.hash), len(self.words) - 1)
-        want = np.append(np.where(self.words[got] == items.hash, got + 1, -1), -1)
+        want = np.append(self.lexicon.find(items.words), -1)
         live = np.flatnonzero(want[:m] > 0)
         lo, hi = np.zeros(len(live), np.int64), np.full(len(live), len(self.order))
         step = 0
@@ -142,13 +153,6 @@ def _hits(w: Words, sa: SuffixArray, items: Items, found: dict[str, np.ndarray],
     return np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
 
 
-def _values(held: list) -> Iterator[Items]:
-    for b in held:
-        yield b.value
-        if len(held) > 1 and hasattr(b, "_value"):
-            del b._value  # the next block takes its place
-
-
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """Per document: n_words, n_hit (words inside a window's occurrence), spans [start, end) of hit words, items and the longest match.
 
@@ -156,7 +160,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10)
     the distinct item_ids as sorted strings (null as ''). Null and empty texts have no words; null or repeated ids pass row
     by row; other columns are ignored; with an empty benchmark nothing is hit.
     """
-    held = blocks(benchmark, window)
+    held = Blocks(benchmark, window)
     out = T.StructType([
         T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
         T.StructField("longest", T.LongType()), T.StructField("items", T.ArrayType(T.StringType())),
@@ -170,7 +174,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10)
                 n = part.num_rows
                 cover, longest, names = np.zeros(len(w.hash) + 1, np.int64), np.zeros(n, np.int64), [set() for _ in range(n)]
                 sa = None
-                for items in _values(held):
+                for items in held:
                     if sa is None or depth < items.longest:  # noqa: F821
                         depth = items.longest
                         sa = SuffixArray(w, depth)
@@ -200,7 +204,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = 10) ->
 
     Of equally long matches the least doc_id's first one counts.
     """
-    held = blocks(benchmark, window)
+    held = Blocks(benchmark, window)
     kind = docs.schema["doc_id"].dataType
     out = T.StructType([T.StructField("item_id", T.StringType()), T.StructField("item_pos", T.LongType()), T.StructField("length", T.LongType()), T.StructField("doc_id", kind), T.StructField("doc_pos", T.LongType())])
 
@@ -208,7 +212,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = 10) ->
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
                 w = Words(*text_buffers(part.column("text")))
-                for items in _values(held):
+                for items in held:
                     sa = SuffixArray(w, items.longest)
                     found = sa.search(items)
                     k = np.flatnonzero(found["longest"] >= window)
@@ -225,7 +229,7 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10)
 
     Column types and order stay; null texts stay.
     """
-    held = blocks(benchmark, window)
+    held = Blocks(benchmark, window)
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,7 +238,7 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10)
             for part in slices(batch.rename_columns([str(i) for i in range(batch.num_columns)]), str(k), SLICE_BYTES):
                 w = Words(*text_buffers(part.column(k)))
                 bad, sa, depth = np.zeros(part.num_rows, bool), None, -1
-                for items in _values(held):
+                for items in held:
                     if sa is None or depth < items.longest:
                         depth = items.longest
                         sa = SuffixArray(w, depth)

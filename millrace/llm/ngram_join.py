@@ -1,13 +1,17 @@
-"""N-gram Jaccard join: a MinHash LSH forest finds candidates, shingle sets verify them exactly.
+"""N-gram Jaccard join: a MinHash LSH forest finds candidates, the words themselves verify them exactly.
 
-Texts of equal shingle sets form one class, so copies cost one row each. A class has a label in each tree: MinHash values in
+Texts of the same words form one class, so copies cost one row each. A class has a label in each tree: MinHash values in
 order. The labels of all trees are sorted together by range partitioning, which is the forest's prefix tries laid out in
-leaf order: labels that share a prefix are neighbours, those that share most nearest, and a much shared prefix spreads over
-as many tasks as it fills. The prefix that has to match starts at the label's full length and is shortened until
-a pair at the threshold, the worst case, shares one in some tree with the target recall. Neighbours with that prefix in common
-are linked to chains, chains of all trees close to groups; a group is cut into blocks of bounded size, and each pair of blocks is
-compared exactly by counting common shingles, in one task that gives a row per class: its number of linked documents and
-the least class it is connected with. No pair is ever a row.
+leaf order: labels that share a prefix are neighbours, and a much shared prefix spreads over as many tasks as it fills.
+Chains of neighbours that share the shortest prefix of use (`prefix_depth`) only say which classes have to lie together: a
+group is cut into blocks of bounded size, and two blocks meet in one task if classes of both share such a prefix.
+
+There each class starts with its whole labels. Pairs that share them in some tree are verified by counting common shingles. From
+the exact similarities found the class estimates its recall at this length, a partner at the threshold that wasn't met always
+counted in; a class below the target shortens its prefix by a value and verifies the pairs that it meets
+in addition, until the target is reached. So a class with many close copies stops at long prefixes and
+one without any goes down to the shortest. A task gives a row per class: its number of linked documents and the least class
+it is connected with. No pair is ever a row.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Words, as_documents, connected_components, grams, mixed, slices, text_buffers, written
+from .common import Words, as_documents, connected_components, gram_numbers, grams, mixed, slices, text_buffers, written
 
 SHINGLE, THRESHOLD = 5, 0.8
 #: Trees of the forest, length of a label, and the recall that a pair at the threshold is to have.
@@ -32,10 +36,15 @@ BLOCK_SHINGLES, BLOCK_CLASSES = 200_000, 256
 _SEEDS = np.random.default_rng(97).integers(0, 2**32, (2, TREES * LABEL), dtype=np.uint32)
 
 
+def recall_at(similarity, depth, trees: int = TREES):
+    """The probability that a pair shares a prefix of so many values in some tree."""
+    return 1 - (1 - similarity**depth) ** trees
+
+
 def prefix_depth(threshold: float, trees: int = TREES, label: int = LABEL, recall: float = RECALL) -> int:
     """The longest prefix at which a pair of similarity `threshold` shares one in some tree with probability `recall`."""
     depth = label
-    while depth > 1 and 1 - (1 - threshold**depth) ** trees < recall:
+    while depth > 1 and recall_at(threshold, depth, trees) < recall:
         depth -= 1
     return depth
 
@@ -63,41 +72,42 @@ def leaf_keys(shingles: np.ndarray, begin: np.ndarray, depth: int) -> tuple[np.n
     return keys, rest
 
 
-def sets(column: pa.Array, n: int) -> Iterator[np.ndarray]:
-    """The sorted distinct shingle hashes of each text."""
-    h, begin = grams(Words(*text_buffers(column)), n)
-    for a, b in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True):
-        yield np.unique(h[a:b])
-
-
-def fingerprint(s: np.ndarray) -> bytes:
-    return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+def fingerprint(words: bytes) -> bytes:
+    return hashlib.blake2b(words, digest_size=16).digest()
 
 
 def signatures(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, text_hash, n (distinct shingles), fp (null without words), keys and rests (of labels, a tree each) of every row."""
+    """doc_id, text_hash, n (distinct shingles), fp (of the words; null without any), keys and rests (of labels, a tree each) of every row."""
     depth = prefix_depth(threshold)
     longs = T.ArrayType(T.LongType())
     out = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("text_hash", T.LongType()), T.StructField("n", T.LongType()), T.StructField("fp", T.BinaryType()), T.StructField("keys", longs), T.StructField("rests", longs)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
-                found = list(sets(part.column("text"), shingle))
-                size = np.array([len(s) for s in found], np.int64)
-                some = np.flatnonzero(size)
-                lists: tuple[list, list] = ([None] * len(found), [None] * len(found))
-                if len(some):
-                    begin = np.concatenate([[0], np.cumsum(size[some])])
-                    for values, rows in zip(lists, leaf_keys(np.concatenate([found[i] for i in some]), begin, depth), strict=True):
-                        for i, row in zip(some.tolist(), rows.view(np.int64), strict=True):
-                            values[i] = row
-                fp = [fingerprint(s) if len(s) else None for s in found]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_hash"), pa.array(size), pa.array(fp, pa.binary()), *(pa.array(x, pa.list_(pa.int64())) for x in lists)], names=out.names)
+            for part in slices(batch, "text", 1 << 20):
+                w = Words(*text_buffers(part.column("text")))
+                found, begin = distinct(*grams(w, shingle))
+                size = np.diff(begin)
+                some = size > 0
+                ends = pa.array(np.concatenate([[0], np.cumsum(some * TREES)]).astype(np.int32))
+                values = leaf_keys(found, np.append(begin[:-1][some], begin[-1]), depth)
+                labels = [pa.ListArray.from_arrays(ends, pa.array(v.view(np.int64).ravel())) for v in values]
+                fp = [fingerprint(x) if x else None for x in w.joined()]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_hash"), pa.array(size), pa.array(fp, pa.binary()), *labels], names=out.names)
 
     return as_documents(docs, "doc_id", "text").select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, out)
 
 
+def distinct(values: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values of each set between begin (n + 1), and where these begin."""
+    owner = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
+    order = np.lexsort((values, owner))
+    values = values[order]
+    keep = np.ones(len(values), bool)
+    keep[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
+    return values[keep], np.concatenate([[0], np.cumsum(np.bincount(owner[keep], minlength=len(begin) - 1))])
+
+
 def candidates(classes: DataFrame) -> DataFrame:
     """Edges (src, dst) between neighbours in the sorted forest that share a prefix, from classes (id, keys, rests)."""
     leaves = classes.select("id", F.explode(F.arrays_zip("keys", "rests")).alias("l")).select(F.col("l.keys").alias("key"), F.col("l.rests").alias("rest"), "id")
@@ -157,17 +167,65 @@ def common_counts(found: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def compare(ids: np.ndarray, copies: np.ndarray, side: np.ndarray, found: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Of each class: linked documents, and the least class it is connected with over links. side: -1 if all pairs count, else those of unlike sides."""
+def shared_prefixes(keys: np.ndarray, rests: np.ndarray, depth: int) -> np.ndarray:
+    """Of all pairs: the longest prefix that they share in a tree, 0 below `depth`."""
+    out = np.zeros((len(keys), len(keys)), np.int8)
+    high = rests >> np.uint64(32)
+    for t in range(keys.shape[1]):
+        same = keys[:, t][:, None] == keys[:, t][None]
+        longer = same & (high[:, t][:, None] == high[:, t][None])
+        both = longer & (rests[:, t][:, None] == rests[:, t][None])
+        np.maximum(out, same * np.int8(depth) + longer + both, out=out)
+    return out
+
+
+def counted(found: list[np.ndarray], pairs: np.ndarray) -> np.ndarray:
+    """Common elements of the pairs (a symmetric matrix says which); one by one if they are few."""
+    out = np.zeros(pairs.shape)
+    own = np.flatnonzero(pairs.any(1))
+    if pairs.sum() <= 8 * len(own):
+        for i, j in zip(*np.nonzero(np.triu(pairs)), strict=True):
+            out[i, j] = out[j, i] = len(np.intersect1d(found[i], found[j], assume_unique=True))
+    else:
+        out[np.ix_(own, own)] = common_counts([found[i] for i in own])
+    return out
+
+
+def forest_links(found: list[np.ndarray], shared: np.ndarray, allowed: np.ndarray, threshold: float, shortest: int, longest: int, recall: float = RECALL) -> tuple[np.ndarray, np.ndarray]:
+    """Links among sets, and the prefix length that each has come to. shared: the longest shared prefix of each pair; allowed: pairs that count.
+
+    Pairs meet where the shorter prefix of both is shared. The recall of a set at its length is estimated from its links, each standing for
+    1 / p links of its similarity where p is its chance to be met, and from one more at the threshold.
+    """
     n = np.array([len(s) for s in found], np.float64)
-    common = common_counts(found)
-    link = common >= threshold * (n[:, None] + n[None] - common)
-    near = np.flatnonzero(np.abs(common - threshold * (n[:, None] + n[None] - common)).ravel() < 1e-6)
-    a, b = np.divmod(near, len(n))  # at the threshold the quotient itself decides
-    link[a, b] = common[a, b] / (n[a] + n[b] - common[a, b]) >= threshold
-    np.fill_diagonal(link, False)
+    depth = np.full(len(n), longest)
+    seen, like = np.zeros(allowed.shape, bool), np.zeros(allowed.shape)
+    while True:
+        new = allowed & ~seen & (shared >= np.minimum(depth[:, None], depth[None]))
+        if new.any():
+            common = counted(found, new)
+            like[new] = (common / np.maximum(n[:, None] + n[None] - common, 1))[new]
+            seen |= new
+        link = like >= threshold
+        least = recall_at(threshold, depth)
+        stands = np.where(link, 1 / recall_at(np.where(link, like, 1.0), depth[:, None]), 0).sum(1)
+        estimate = (link.sum(1) + 1) / (stands + 1 / least)
+        short = (estimate < recall) & (depth > shortest)
+        if not short.any():
+            return link, depth
+        depth[short] -= 1
+
+
+def compare(ids: np.ndarray, copies: np.ndarray, side: np.ndarray, words: list[bytes], keys: np.ndarray, rests: np.ndarray, shingle: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of each class: linked documents, and the least class it is connected with over links. side: -1 if all pairs count, else those of unlike sides."""
+    w = Words(*text_buffers(pa.array(words, pa.large_binary())))
+    numbers, begin = distinct(*gram_numbers(w, shingle))
+    found = [numbers[a:b] for a, b in zip(begin[:-1], begin[1:], strict=True)]
+    allowed = ~np.eye(len(ids), dtype=bool)
     if side[0] >= 0:
-        link &= side[:, None] != side[None]
+        allowed &= side[:, None] != side[None]
+    shortest = prefix_depth(threshold)
+    link, _ = forest_links(found, shared_prefixes(keys, rests, shortest), allowed, threshold, shortest, min(LABEL, shortest + 2))
     links = link @ copies
     root = ids.copy()
     while True:
@@ -177,36 +235,59 @@ def compare(ids: np.ndarray, copies: np.ndarray, side: np.ndarray, found: list[n
         root = low
 
 
-def verified(blocks: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """id, links and root of every class with links, from rows (grp, a, b, block, id, copies, shingles) that lie together by (grp, a, b)."""
+def verified(blocks: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
+    """id, links and root of every class with links, from rows (grp, a, b, block, id, copies, words, keys, rests) that lie together by (grp, a, b)."""
 
     def done(rows: list[tuple], a: int, b: int) -> pa.RecordBatch:
         rows = list({r[1]: r for r in rows}.values())
         ids, copies = (np.array([r[k] for r in rows], np.int64) for k in (1, 2))
         side = np.array([r[0] if a != b else -1 for r in rows])
-        links, root = compare(ids, copies, side, [np.frombuffer(r[3], np.uint64) for r in rows], threshold)
+        keys, rests = (np.array([r[k] for r in rows]).view(np.uint64) for k in (4, 5))
+        links, root = compare(ids, copies, side, [r[3] for r in rows], keys, rests, shingle, threshold)
         k = links > 0
         return pa.RecordBatch.from_arrays([pa.array(ids[k]), pa.array(links[k]), pa.array(root[k])], names=["id", "links", "root"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
         for batch in batches:
-            columns = {n: batch.column(n) for n in ("grp", "a", "b", "block", "id", "copies", "shingles")}
-            plain = [columns[n].to_pylist() for n in ("grp", "a", "b", "block", "id", "copies")]
+            c = {n: batch.column(n) for n in ("grp", "a", "b", "block", "id", "copies", "words", "keys", "rests")}
+            plain = [c[n].to_pylist() for n in ("grp", "a", "b", "block", "id", "copies")]
             for i, (grp, a, b, *row) in enumerate(zip(*plain, strict=True)):
                 if (grp, a, b) != now:
                     if len(rows) > 1:
                         yield done(rows, *now[1:])
                     now, rows = (grp, a, b), []
-                rows.append((*row, columns["shingles"][i].as_py()))
+                rows.append((*row, c["words"][i].as_py(), *(c[n][i].values.to_numpy().copy() for n in ("keys", "rests"))))
         if len(rows) > 1:
             yield done(rows, *now[1:])
 
     return blocks.mapInArrow(run, "id long, links long, root long")
 
 
+def in_blocks(members: DataFrame) -> DataFrame:
+    """members (grp, id, n, keys) with blocks, the number of blocks of their group, and their own.
+
+    Classes that share their first tree's prefix share a block, unless they are too many for one.
+    """
+    load = members.groupBy("grp").agg(F.sum("n").alias("s"), F.count("*").alias("m"))
+    load = load.select("grp", F.greatest(F.ceil(F.col("s") / BLOCK_SHINGLES), F.ceil(F.col("m") / BLOCK_CLASSES)).cast("long").alias("blocks"))
+    node = F.get("keys", 0)
+    out = members.join(load, "grp")
+    size = out.where("blocks > 1").groupBy(node.alias("node")).agg(F.sum("n").alias("s"), F.count("*").alias("m"))
+    wide = size.where((F.col("s") > BLOCK_SHINGLES / 4) | (F.col("m") > BLOCK_CLASSES / 4)).select("node", F.lit(True).alias("wide"))
+    out = out.withColumn("node", node).join(wide, "node", "left")
+    return out.withColumn("block", F.expr("pmod(xxhash64(if(wide, id, node)), blocks)")).drop("node", "wide")
+
+
+def meetings(members: DataFrame) -> DataFrame:
+    """grp, a, b (a <= b): the pairs of blocks of which classes share a prefix, from members (grp, block, keys)."""
+    at = members.select("grp", "block", F.explode("keys").alias("key")).distinct()
+    pairs = at.select("key", "grp", F.col("block").alias("a")).join(at.select("key", F.col("block").alias("b")), "key")
+    return pairs.where("a <= b").select("grp", "a", "b").distinct()
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, text_hash, class_id and n_links of every row, and same: rows of this very id and text.
+    """doc_id, text_hash, class_id, n_links and component (null without words) of every row.
 
     Links join documents whose sets of `shingle`-word shingles have a Jaccard similarity of `threshold` or more; words are
     A-Z lower-cased; a text of fewer words is one shingle, one without words (or null) links to none and is its own class. A class is a
@@ -218,15 +299,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: float =
     classes = keyed.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("n", "keys", "rests")))
     classes = written(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
     groups = connected_components(candidates(classes), "candidates")
-    members = groups.join(classes.select("id", "fp", "doc_id", "copies", "n"), F.col("node") == F.col("id")).withColumnRenamed("component", "grp")
-    load = members.groupBy("grp").agg(F.sum("n").alias("s"), F.count("*").alias("m"))
-    load = load.select("grp", F.greatest(F.ceil(F.col("s") / BLOCK_SHINGLES), F.ceil(F.col("m") / BLOCK_CLASSES)).cast("long").alias("blocks"))
-    members = members.join(load, "grp").select("grp", "id", "fp", F.col("doc_id").alias("rep"), "copies", "blocks", F.expr("pmod(xxhash64(id), blocks)").alias("block"))
-    blocks = _with_shingles(docs, members, shingle)
-    pairs = blocks.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    pairs = pairs.withColumn("a", F.least("block", "other")).withColumn("b", F.greatest("block", "other")).drop("other", "blocks")
-    together = pairs.repartition("grp", "a", "b").sortWithinPartitions("grp", "a", "b", "id")
-    found = written(verified(together, threshold), "links")
+    members = groups.join(classes.withColumnRenamed("doc_id", "rep"), F.col("node") == F.col("id")).withColumnRenamed("component", "grp").drop("node")
+    members = _with_words(docs, written(in_blocks(members), "members"))
+    some = members.drop("blocks", "n")
+    one = some.where(members["blocks"] == 1).withColumn("a", F.lit(0).cast("long")).withColumn("b", F.lit(0).cast("long"))
+    many = some.where(members["blocks"] > 1)
+    ends = meetings(many.select("grp", "block", "keys")).withColumn("block", F.explode(F.array_distinct(F.array("a", "b"))))
+    together = one.unionByName(many.join(ends, ["grp", "block"])).repartition("grp", "a", "b").sortWithinPartitions("grp", "a", "b", "id")
+    found = written(verified(together, shingle, threshold), "links")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     joined = connected_components(found.select(F.col("id").alias("src"), F.col("root").alias("dst")), "duplicates")
     whole = classes.select("id", "fp", "doc_id", "copies").join(links, "id", "left").join(joined.select(F.col("node").alias("id"), "component"), "id", "left")
@@ -238,27 +318,27 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: float =
     return out.select("doc_id", "text_hash", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "component")
 
 
-def _with_shingles(docs: DataFrame, members: DataFrame, shingle: int) -> DataFrame:
-    """members with the shingles of one of their texts each; the texts come from docs by doc_id and are known by fingerprint."""
+def _with_words(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """members with the words of one of their texts each, written; the texts come from docs by doc_id and are known by fingerprint."""
     d = as_documents(docs, "doc_id", "text")
+    names = ["grp", "id", "copies", "n", "blocks", "block", "keys", "rests"]
     # A merge join at every size: members grow with the documents, so that a broadcast would fit small inputs only.
-    text = d.join(members.hint("merge"), F.col("doc_id").eqNullSafe(F.col("rep"))).select("text", "grp", "id", "fp", "copies", "blocks", "block")
-    names = ["grp", "id", "copies", "blocks", "block", "shingles"]
+    text = d.join(members.hint("merge"), F.col("doc_id").eqNullSafe(F.col("rep"))).select("text", "fp", *names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
-                found = list(sets(part.column("text"), shingle))
-                keep = [i for i, (s, fp) in enumerate(zip(found, part.column("fp").to_pylist(), strict=True)) if fingerprint(s) == fp]
-                own = part.take(pa.array(keep, pa.int64()))
-                yield pa.RecordBatch.from_arrays([own.column(n) for n in names[:-1]] + [pa.array([found[i].tobytes() for i in keep], pa.binary())], names=names)
+            for part in slices(batch, "text", 1 << 20):
+                words = Words(*text_buffers(part.column("text"))).joined()
+                keep = pa.array([i for i, (x, fp) in enumerate(zip(words, part.column("fp").to_pylist(), strict=True)) if fingerprint(x) == fp], pa.int64())
+                yield pa.RecordBatch.from_arrays([*(part.column(n).take(keep) for n in names), pa.array(words, pa.binary()).take(keep)], names=[*names, "words"])
 
-    return text.mapInArrow(run, "grp long, id long, copies long, blocks long, block long, shingles binary")
+    schema = T.StructType([*(text.schema[n] for n in names), T.StructField("words", T.BinaryType())])
+    return written(text.mapInArrow(run, schema), "member-words")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
     """One row of each class, of its least doc_id, with all columns; of equal rows (id and text) one stays. Texts without words all stay."""
-    found = written(near_duplicates(docs, shingle, threshold), "near-duplicates", narrow=True)
+    found = written(near_duplicates(docs, shingle, threshold), "near-duplicates")
     keyed = found.where("component IS NOT NULL")
     gone = keyed.where(~F.col("doc_id").eqNullSafe(F.col("class_id")))
     # Of a class's rows with its id, that of least text hash stays: other texts may have the same id.

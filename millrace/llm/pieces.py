@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 
-from .common import mixed, powers, text_buffers
+from .common import Spans, text_buffers
 
 #: The split pattern that is done by whole arrays; any other goes through the regex module.
 COMMON = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -25,7 +25,6 @@ def _classes() -> np.ndarray:
             for m in regex.finditer(pattern, every):
                 table[m.start() : m.end()] = kind
         _tables["classes"] = table
-        _tables["values"] = mixed(np.arange(1, 0x110001, dtype=np.uint64))
     return _tables["classes"]
 
 
@@ -77,8 +76,8 @@ def split_common(points: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 class PieceIds:
     """Ids of texts from ids of pieces. encode gives the ids of new pieces as u32 bytes.
 
-    Pieces are told apart by 96 bits of hashes and their size. Known ones lie in sorted arrays of at most `most` entries,
-    some twenty bytes each; when these are full the memory starts anew.
+    Known pieces are found by hash and then compared byte by byte, in a text as in memory, so that a hash never decides. A piece that
+    shares its hash with another one is encoded anew in every slice. When `most` pieces are known the memory starts anew.
     """
 
     def __init__(self, pattern: str, encode: Callable[[list[str]], Iterable[bytes]], most: int = 1_500_000):
@@ -87,64 +86,85 @@ class PieceIds:
         self.forget()
 
     def forget(self) -> None:
-        self.hash, self.check = np.zeros(0, np.uint64), np.zeros(0, np.uint32)
-        self.begin, self.size = np.zeros(0, np.int32), np.zeros(0, np.int32)
-        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
-
-    def known(self, h: np.ndarray, check: np.ndarray, text: str, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Places in memory of distinct pieces, given in order of hash; new ones are encoded and taken up first."""
+        self.hash, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # of indexed pieces, in order of hash
+        self.bounds, self.text_bounds = np.zeros(1 << 10, np.int32), np.zeros(1 << 10, np.int32)  # of each slot's ids and bytes
+        self.pool, self.text, self.slots = np.zeros(1 << 16, np.uint32), Spans(np.zeros(1 << 16, np.uint8)), 0
+
+    def take_up(self, pieces: list[str], data: list[bytes]) -> np.ndarray:
+        """New slots with the ids and bytes of pieces."""
+        ids = list(self.encode(pieces))
+        first = self.slots
+        self.slots += len(pieces)
+
+        def put(values: np.ndarray, ends: np.ndarray, sizes: list[int], new: np.ndarray, spare: int) -> tuple[np.ndarray, np.ndarray]:
+            ends = room(ends, first + 1, len(sizes))
+            at = int(ends[first])
+            values = room(values, at, len(new) + spare)
+            values[at : at + len(new)] = new
+            ends[first + 1 : self.slots + 1] = at + np.cumsum(sizes)
+            return values, ends
+
+        self.pool, self.bounds = put(self.pool, self.bounds, [len(x) >> 2 for x in ids], np.frombuffer(b"".join(ids), np.uint32), 0)
+        self.text.data, self.text_bounds = put(self.text.data, self.text_bounds, [len(x) for x in data], np.frombuffer(b"".join(data), np.uint8), 8)
+        return np.arange(first, self.slots, dtype=np.int32)
+
+    def known(self, h: np.ndarray, spans: Spans, start: np.ndarray, end: np.ndarray, part: Callable[[int], str]) -> np.ndarray:
+        """Slots of pieces of distinct hashes, given in order of hash. part(k): piece k."""
         at = np.searchsorted(self.hash, h)
-        old = at < len(self.hash)
-        old[old] = (self.hash[at[old]] == h[old]) & (self.check[at[old]] == check[old])
-        new = np.flatnonzero(~old)
+        there = np.flatnonzero(at < len(self.hash))
+        there = there[self.hash[at[there]] == h[there]]
+        slot = np.full(len(h), -1, np.int32)
+        own = self.slot[at[there]]
+        same = spans.same(start[there], end[there], self.text, self.text_bounds[own].astype(np.int64), self.text_bounds[own + 1].astype(np.int64))
+        slot[there[same]] = own[same]
+        new = np.flatnonzero(slot < 0)
         if len(new):
-            if len(self.hash) + len(new) > self.most and len(self.hash):
-                self.forget()
-                return self.known(h, check, text, start, end)
-            ids = list(self.encode([text[a:b] for a, b in zip(start[new].tolist(), end[new].tolist(), strict=True)]))
-            size = np.array([len(x) >> 2 for x in ids], np.int32)
-            flat = np.frombuffer(b"".join(ids), np.uint32)
-            if self.used + len(flat) > len(self.pool):
-                self.pool = np.concatenate([self.pool[: self.used], np.zeros(max(len(self.pool), len(flat)), np.uint32)])
-            self.pool[self.used : self.used + len(flat)] = flat
-            begin = (np.cumsum(size) - size + self.used).astype(np.int32)
-            self.used += len(flat)
-            place = at[new]
-            self.hash, self.check = np.insert(self.hash, place, h[new]), np.insert(self.check, place, check[new])
-            self.begin, self.size = np.insert(self.begin, place, begin), np.insert(self.size, place, size)
-            at += np.cumsum(~old) - ~old  # each new piece moves those behind it
-        return at
+            slot[new] = self.take_up([part(k) for k in new.tolist()], [spans.bytes_at(a, b) for a, b in zip(start[new].tolist(), end[new].tolist(), strict=True)])
+            index = np.setdiff1d(new, there, assume_unique=True)  # a hash that is taken stays with the piece that has it
+            self.hash, self.slot = np.insert(self.hash, at[index], h[index]), np.insert(self.slot, at[index], slot[index])
+        return slot
 
     def texts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a column, one after another, and where each text's begin (n + 1). Null counts as empty."""
         data, offsets = text_buffers(column)
-        data = data[offsets[0] : offsets[-1]]
+        data, offsets = data[offsets[0] : offsets[-1]], offsets - offsets[0]
         whole = data.tobytes().decode()
-        chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets - offsets[0]]  # bounds of texts in characters
-        points = np.frombuffer(whole.encode("utf-32-le"), "<u4")
-        _classes()
+        lead = np.flatnonzero((data & 0xC0) != 0x80)  # where characters begin
+        chars = np.searchsorted(lead, offsets)  # bounds of texts in characters
         if self.common:
-            start = split_common(points, chars)
+            start = split_common(np.frombuffer(whole.encode("utf-32-le"), "<u4"), chars)
         else:
             sizes = [len(p) for a, b in zip(chars[:-1], chars[1:], strict=True) for p in self.find(whole[a:b])]
             start = np.cumsum([0, *sizes])[:-1]
         if not len(start):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
-        end = np.append(start[1:], len(points))
-        power, inverse_power = powers(len(points))
-        value = _tables["values"][points]
-        sums, small = np.zeros(len(points) + 1, np.uint64), np.zeros(len(points) + 1, np.uint32)
-        np.cumsum(value * power[: len(points)], out=sums[1:])
-        value >>= np.uint64(29)
-        np.cumsum(value.astype(np.uint32) * power[: len(points)].astype(np.uint32), out=small[1:], dtype=np.uint32)
-        h = mixed((sums[end] - sums[start]) * inverse_power[start])
-        h += (end - start).astype(np.uint64)
-        h, first, back = np.unique(h, return_index=True, return_inverse=True)
-        a, b = start[first], end[first]
-        at = self.known(h, (small[b] - small[a]) * inverse_power[a].astype(np.uint32), whole, a, b)
-        size, begin = self.size[at][back], self.begin[at][back]
-        stop = np.zeros(len(size) + 1, np.int32)
+        if self.slots >= self.most:
+            self.forget()
+        spans, bounds = Spans(data), np.append(lead[start], len(data))
+        a, b = bounds[:-1], bounds[1:]
+        ends = np.append(start, len(lead)).tolist()
+        part = lambda k: whole[ends[k] : ends[k + 1]]
+        h, back = np.unique(spans.hashes(a, b), return_inverse=True)
+        one = np.zeros(len(h), np.int64)  # a piece of each hash
+        one[back] = np.arange(len(back))
+        slot = self.known(h, spans, a[one], b[one], lambda k: part(one[k]))[back]
+        like = one[back]
+        odd = np.flatnonzero(~spans.same(a, b, spans, a[like], b[like]))
+        if len(odd):
+            slot[odd] = self.take_up([part(k) for k in odd.tolist()], [spans.bytes_at(a[k], b[k]) for k in odd.tolist()])
+        begin = self.bounds[slot]
+        size = self.bounds[slot + 1] - begin
+        stop = np.zeros(len(size) + 1, np.int64)
         np.cumsum(size, out=stop[1:])
         place = np.repeat(begin - stop[:-1], size)
-        place += np.arange(len(place), dtype=np.int32)
-        return self.pool[place], stop[np.searchsorted(start, chars)].astype(np.int64)
+        place += np.arange(len(place))
+        return self.pool[place], stop[np.searchsorted(start, chars)]
+
+
+def room(values: np.ndarray, used: int, more: int) -> np.ndarray:
+    """The array, at twice the size or more if so many entries don't fit behind the used ones."""
+    if used + more <= len(values):
+        return values
+    out = np.zeros(max(2 * len(values), used + more), values.dtype)
+    out[:used] = values[:used]
+    return out
