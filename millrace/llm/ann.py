@@ -1,24 +1,26 @@
 """Approximate nearest neighbours by cross-polytope hashing.
 
 A pseudo-rotation (three rounds of random signs and a fast Hadamard transform) of a unit vector is hashed to its nearest signed axis. Each
-shard of vectors has its own tables; the stated queries, broadcast in blocks of bounded size, probe in every table of every
-shard the axes nearest to them, best first over all tables, and what they collect is ranked by exact distances
-of the original vectors. A shard gives each query its k best, so what is shuffled is k rows a query and shard.
+shard of vectors has its own tables; the stated queries, broadcast a block of bounded size at a time, probe in every table of every
+shard the axes nearest to them, best first over all tables. What they collect is ordered by the sum, over all tables, of the query's
+coordinate along the row's axis; the best share of that is ranked by exact distances of the original vectors. A shard gives
+each query its k best, so what is shuffled is k rows a query and shard.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_documents
+from .common import as_documents, written
 
-#: Tables, and the share of the axes of all tables that a query probes.
-TABLES, PROBES = 16, 0.05
+#: Tables, the share of the axes of all tables that a query probes, and the share of a shard, and the rows at least, that are ranked exactly.
+TABLES, PROBES, RANKED, RANKED_ROWS = 16, 0.05, 0.05, 1000
 #: Vectors of a shard and queries of a block, at most.
 SHARD_ROWS, BLOCK_ROWS = 65_536, 8_192
 
@@ -27,17 +29,21 @@ def rotated(x: np.ndarray, seed: int) -> np.ndarray:
     """A pseudo-random rotation of rows, padded with zeros to a power of two."""
     n, d = x.shape
     size = 1 << max(0, (d - 1)).bit_length()
-    out = np.zeros((n, size), np.float32)
-    out[:, :d] = x
-    signs = np.random.default_rng(seed).choice(np.array([-1, 1], np.float32), (3, size))
-    for s in signs:
-        out *= s
-        h = 1
-        while h < size:
-            y = out.reshape(n, size // (2 * h), 2, h)
-            out = np.stack([y[:, :, 0] + y[:, :, 1], y[:, :, 0] - y[:, :, 1]], axis=2).reshape(n, size)
-            h *= 2
-        out *= np.float32(size**-0.5)
+    signs = np.random.default_rng(seed).choice(np.array([-1, 1], np.float32), (3, size, 1)) * np.float32(size**-0.5)
+    out = np.empty((n, size), np.float32)
+    for k in range(0, n, 1024):  # vectors as columns, so many that they stay in the processor's cache
+        part = np.zeros((size, min(1024, n - k)), np.float32)
+        part[:d] = x[k : k + 1024].T
+        for s in signs:
+            part *= s
+            h = 1
+            while h < size:
+                y = part.reshape(size // (2 * h), 2, h, -1)
+                low = y[:, 0] - y[:, 1]
+                y[:, 0] += y[:, 1]
+                y[:, 1] = low
+                h *= 2
+        out[k : k + 1024] = part.T
     return out
 
 
@@ -63,26 +69,32 @@ class Shard:
         self.ids = [ids[by[a : min(b, a + k + 1)]] for a, b in zip(begin[:-1], begin[1:], strict=True)]
         unit = self.x / np.linalg.norm(self.x, axis=1, keepdims=True)
         self.tables = []
+        self.axes = np.zeros((len(self.x), TABLES), np.int32)  # numbered over all tables
         for t in range(TABLES):
             axis = signed_axes(rotated(unit, t))
             order = np.argsort(axis, kind="stable")
             width = 2 << max(0, (x.shape[1] - 1)).bit_length()
+            self.axes[:, t] = axis + t * width
             self.tables.append((order, np.searchsorted(axis[order], np.arange(width + 1))))
 
     def probe(self, q: np.ndarray) -> Iterator[np.ndarray]:
-        """For each query the rows that share a probed axis in some table."""
+        """For each query the rows to rank: the best of those that share a probed axis in some table."""
         unit = q / np.linalg.norm(q, axis=1, keepdims=True)
         turned = [rotated(unit, t) for t in range(TABLES)]
         scores = np.concatenate([np.concatenate([r, -r], axis=1) for r in turned], axis=1)
         width = scores.shape[1] // TABLES
-        most = max(1, round(PROBES * scores.shape[1]))
-        best = np.argpartition(-scores, most - 1, axis=1)[:, :most]
-        for row in best:
-            seen = np.zeros(len(self.x), bool)
+        probes, most = max(1, round(PROBES * scores.shape[1])), max(RANKED_ROWS, round(RANKED * len(self.x)))
+        best = np.argpartition(-scores, probes - 1, axis=1)[:, :probes]
+        for score, row in zip(scores, best, strict=True):
+            hit = np.zeros(len(self.x), bool)
             for t, axis in zip(*np.divmod(row, width), strict=True):
                 order, begin = self.tables[t]
-                seen[order[begin[axis] : begin[axis + 1]]] = True
-            yield np.flatnonzero(seen)
+                hit[order[begin[axis] : begin[axis + 1]]] = True
+            seen = np.flatnonzero(hit)
+            if len(seen) > most:
+                near = score[self.axes[seen]].sum(1)
+                seen = seen[np.argpartition(-near, most - 1)[:most]]
+            yield seen
 
 
 def least_of_ids(shard: Shard, q_id: int, v: np.ndarray, found: np.ndarray, k: int) -> list[tuple[float, int]]:
@@ -135,13 +147,6 @@ def search(queries: DataFrame, table: DataFrame, id_col: str, vec_col: str, k: i
     """
     spark = table.sparkSession
     vectors = usable(table, id_col, vec_col)
-    held, rows = [], []
-    for r in usable(queries, id_col, vec_col).toLocalIterator():
-        rows.append((r[0], r[1]))
-        if len(rows) == BLOCK_ROWS:
-            held.append(spark.sparkContext.broadcast(_block(rows)))
-            rows = []
-    held.append(spark.sparkContext.broadcast(_block(rows)))
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         open_: list = []
@@ -154,20 +159,32 @@ def search(queries: DataFrame, table: DataFrame, id_col: str, vec_col: str, k: i
         if open_:
             yield _block(open_)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in shards(batches):
-            for d, (ids, x) in part.items():
-                shard = Shard(ids, x, k)
-                for b in held:
-                    q_ids, q = b.value.get(d, (np.zeros(0, np.int64), None))
-                    for a in range(0, len(q_ids), 256):
+    def of_block(rows: list) -> DataFrame:
+        """The k nearest in each shard of the queries of one block, written; the block's broadcast then ends."""
+        held = spark.sparkContext.broadcast(_block(rows))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in shards(batches):
+                for d, (q_ids, q) in held.value.items():
+                    ids, x = part.get(d, (np.zeros(0, np.int64), None))
+                    shard = Shard(ids, x, k) if len(ids) else None
+                    for a in range(0, len(q_ids) if shard else 0, 256):
                         found = list(nearest(shard, q_ids[a : a + 256], q[a : a + 256], k))
                         columns = list(zip(*found, strict=True)) or [()] * 3
                         yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64())], names=["query_id", "vec_id", "score"])
-                    if len(held) > 1 and hasattr(b, "_value"):
-                        del b._value
 
-    found = vectors.mapInArrow(run, "query_id long, vec_id long, score double")
-    found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+        out = written(vectors.mapInArrow(run, "query_id long, vec_id long, score double"), "nearest")
+        held.destroy()
+        return out
+
+    found, rows = [], []
+    for r in usable(queries, id_col, vec_col).toLocalIterator():
+        rows.append((r[0], r[1]))
+        if len(rows) == BLOCK_ROWS:
+            found.append(of_block(rows))
+            rows = []
+    if rows or not found:
+        found.append(of_block(rows))
+    best = reduce(DataFrame.unionByName, found).groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
