@@ -27,14 +27,16 @@ SEEKABLE_MAGIC = 0x8F92EAB1
 LAST = b"\xea\x92\x8f".decode()
 #: Uncompressed bytes after which a frame ends, and compressed bytes after which a bundle ends.
 FRAME_BYTES, BUNDLE_BYTES = 256 << 10, 4 << 20
-ENTRY = "<QII"  # of the index: page id (as u64), frame, offset in the decompressed frame
+ENTRY = "<QII?"  # of the index: page id (as u64), frame, offset in the decompressed frame, whether the id is null
+#: Tasks over which the rows of any one payload are dealt.
+SALTS = 16
 
 
 def classified(pages: DataFrame, least: int = 1000) -> DataFrame:
     """page_id, url, html, payload_digest (hex SHA-1), payload_bytes, refers_to (null for responses).
 
     Among equal payloads of at least `least` bytes all but those of the largest page_id refer to it. Only digests that occur
-    twice are joined back, so no payload is gathered by its digest. Null html is an empty payload; rows with
+    twice are joined back; a common payload's rows meet that one row in SALTS tasks, not in one. Null html is an empty payload; rows with
     null ids stay responses.
     """
     body = F.coalesce("html", F.lit("")).cast("binary")
@@ -44,7 +46,10 @@ def classified(pages: DataFrame, least: int = 1000) -> DataFrame:
         p.where(F.col("payload_bytes") >= least).groupBy("payload_digest").agg(F.max("page_id").alias("response_id"), F.count("*").alias("n"))
         .where("n > 1").select("payload_digest", "response_id")
     )
-    return p.join(twice, "payload_digest", "left").withColumn("refers_to", F.when(F.col("response_id") > F.col("page_id"), F.col("response_id"))).drop("response_id")
+    twice = twice.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    p = p.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
+    refers_to = F.when(F.col("response_id") > F.col("page_id"), F.col("response_id"))
+    return p.join(twice, ["payload_digest", "salt"], "left").withColumn("refers_to", refers_to).drop("response_id", "salt")
 
 
 def record(page_id: int | None, url: str | None, html: str | None, digest: str, size: int, refers_to: int | None, date: str = "1970-01-01T00:00:00Z") -> bytes:
@@ -59,7 +64,7 @@ def record(page_id: int | None, url: str | None, html: str | None, digest: str,
     return head.encode() + http + payload + b"\r\n\r\n"
 
 
-def bundle(frames: list[bytes], sizes: list[int], index: list[tuple[int, int, int]]) -> bytes:
+def bundle(frames: list[bytes], sizes: list[int], index: list[tuple[int, int, int, bool]]) -> bytes:
     """The file of compressed frames with their decompressed sizes and the record index."""
     entries = b"".join(struct.pack(ENTRY, *e) for e in index)
     extra = struct.pack("<II", SKIPPABLE_INDEX, len(entries)) + entries
@@ -76,7 +81,7 @@ def write_warc(pages: DataFrame, least: int = 1000, level: int = 3, date: str =
         pack = zstandard.ZstdCompressor(level=level)
         frames: list[bytes] = []
         sizes: list[int] = []
-        index: list[tuple[int, int, int]] = []
+        index: list[tuple[int, int, int, bool]] = []
         open_: list[bytes] = []
         held = size = 0
 
@@ -99,7 +104,7 @@ def write_warc(pages: DataFrame, least: int = 1000, level: int = 3, date: str =
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 for row in zip(*(c.to_pylist() for c in batch.slice(a, 256).columns), strict=True):
-                    index.append(((row[0] or 0) & (2**64 - 1), len(frames), held))
+                    index.append(((row[0] or 0) & (2**64 - 1), len(frames), held, row[0] is None))
                     open_.append(record(*row, date))
                     held += len(open_[-1])
                     if held >= FRAME_BYTES:
@@ -128,12 +133,13 @@ def seek_table(data: bytes) -> list[tuple[int, int, int]]:
     return out
 
 
-def entries(data: bytes) -> list[tuple[int, int, int]]:
+def entries(data: bytes) -> list[tuple[int | None, int, int]]:
     """Page id, frame and offset in the frame of each record, from the bundle's index."""
     at, size, _ = seek_table(data)[-1]
     if struct.unpack_from("<I", data, at)[0] != SKIPPABLE_INDEX:
         raise ValueError("the bundle has no record index")
-    return list(struct.iter_unpack(ENTRY, data[at + 8 : at + size]))
+    signed = lambda i: i - (1 << 64) if i >> 63 else i
+    return [(None if null else signed(i), number, start) for i, number, start, null in struct.iter_unpack(ENTRY, data[at + 8 : at + size])]
 
 
 def frame(data: bytes, number: int) -> bytes:
