@@ -38,11 +38,31 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of a batch of rows on its way to a Python worker; batches would else be bounded by their number of rows alone.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds Arrow batches by BATCH_BYTES, unless the session has a bound of its own."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if name not in spark.conf.getAll:
+        spark.conf.set(name, BATCH_BYTES)
+
+
 def as_documents(df: DataFrame, *columns: str) -> DataFrame:
     """Only the named columns, so that extra columns can't clash with an operator's own."""
+    small_batches(df.sparkSession)
     return df.select(*(F.col(f"`{c}`") for c in columns))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name made from `name` that df doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def bound(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value) with value computed once: a lambda variable stands for it, where the optimizer would repeat the expression."""
     return F.get(F.transform(F.array(value), body), 0)
@@ -216,15 +236,14 @@ class Words:
 
     def joined(self) -> list[bytes]:
         """The words of each text with a blank after each."""
-        size = self.end - self.start + 1
-        stop = np.cumsum(size)
-        out = np.full(int(stop[-1]) if len(stop) else 0, 32, np.uint8)
-        place = np.arange(len(out)) + np.repeat(self.start - (stop - size), size)
-        np.copyto(out, self.spans.data[place])  # what follows a word is taken too,
-        out[stop - 1] = 32  # and is overwritten here
-        cut = np.concatenate([[0], stop])[self.first].tolist()
-        data = out.tobytes()
-        return [data[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
+        data = self.spans.data[:-8].copy()
+        keep = _WORD[data]
+        between = np.delete(self.start, self.first[:-1][self.counts > 0]) - 1  # the byte before a word that another one precedes
+        keep[between], data[between] = True, 32
+        size = np.bincount(self.text, self.end - self.start, len(self.counts)).astype(np.int64) + np.maximum(self.counts - 1, 0)
+        cut = np.concatenate([[0], np.cumsum(size)]).tolist()
+        data = data[keep].tobytes()
+        return [data[a:b] + b" " if a < b else b"" for a, b in zip(cut[:-1], cut[1:], strict=True)]
 
 
 class Lexicon:

@@ -10,12 +10,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_documents, bound, written
+from .common import as_documents, bound, unused, written
 
 #: Sites from which on a line is boilerplate, characters from which on a line can be, and the share around the threshold that is counted exactly.
 MIN_SITES, MIN_CHARS, NEAR = 8, 20, 0.25
 #: log2 of a sketch's registers: a relative error of about 2.5 %, a tenth of NEAR.
 LOG_REGISTERS = 11
+#: Tasks over which the occurrences of any one line are dealt in a join; the other side, a row a line, is repeated so often.
+SALTS = 16
 
 
 def _key() -> list[Column]:
@@ -30,38 +32,48 @@ def lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     return d.select("doc_id", "text_hash", "site", "pos", F.xxhash64("line").alias("hash"))
 
 
+def _with(occurrences: DataFrame, of_lines: DataFrame) -> DataFrame:
+    """Occurrences (with salt) with what is known of their lines: a common line's occurrences meet it in SALTS tasks, not in one."""
+    salted = of_lines.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return occurrences.join(salted, ["hash", "salt"])
+
+
 def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS) -> DataFrame:
     """Occurrences (doc_id, text_hash, pos, hash) of lines on at least min_sites sites, and whether each is the first. A null site counts for none."""
     every = lines(docs, min_chars)
     estimate = F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LOG_REGISTERS)))
     spread = every.groupBy("hash").agg(estimate.alias("sites")).where(F.col("sites") >= min_sites * (1 - NEAR))
-    spread = written(spread, "line-spread")  # so that the join meets shuffled lines, whose hot hashes can be split
-    found = written(every.join(spread, "hash"), "line-occurrences")
+    spread = written(spread, "line-spread")
+    salt = F.pmod(F.xxhash64("doc_id", "pos"), F.lit(SALTS)).cast("int")
+    found = written(_with(every.withColumn("salt", salt), spread), "line-occurrences")
     near = found.where(F.col("sites") < min_sites * (1 + NEAR))
     exact = near.groupBy("hash", "site").agg(F.lit(1).alias("one")).groupBy("hash").agg(F.count("site").alias("n")).where(F.col("n") >= min_sites)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "text_hash", "pos")).alias("first")
-    sure = found.where(F.col("sites") >= min_sites * (1 + NEAR)).groupBy("hash").agg(first)
-    chosen = sure.unionByName(near.join(exact, "hash", "left_semi").groupBy("hash").agg(first))
+    firsts = found.groupBy("hash").agg(first, F.max("sites").alias("sites"))
+    sure = firsts.where(F.col("sites") >= min_sites * (1 + NEAR))
+    chosen = sure.unionByName(firsts.join(exact.select("hash"), "hash", "left_semi")).select("hash", "first")
     is_first = F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.text_hash") == F.col("text_hash")) & (F.col("first.pos") == F.col("pos"))
-    return found.join(chosen, "hash").select("doc_id", "text_hash", "pos", "hash", is_first.alias("is_first"))
+    return _with(found.drop("sites"), chosen).select("doc_id", "text_hash", "pos", "hash", is_first.alias("is_first"))
 
 
-def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS) -> DataFrame:
-    """All rows and columns of docs with boilerplate lines taken from text, and __lines, __removed: its lines before, and those taken.
+def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS, lines_col: str = "__lines", removed_col: str = "__removed") -> DataFrame:
+    """All rows and columns of docs with boilerplate lines taken from text, and two more: a row's lines before, and those taken.
 
-    Rows without boilerplate keep their text unchanged; null texts stay null with no lines. Equal rows (id and text) fare alike.
+    Rows without boilerplate keep their text unchanged; null texts stay null with no lines. Equal rows (id and text) fare alike. Columns
+    of docs that have the name of lines_col or removed_col are replaced; any other names are free.
     """
+    id_, hash_, gone_ = (unused(docs, n) for n in ("id", "hash", "gone"))
     gone = boilerplate(docs, min_sites, min_chars).where(~F.col("is_first"))
-    gone = gone.groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).agg(F.collect_set("pos").alias("__gone"))
-    on = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
+    gone = gone.groupBy(F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_)).agg(F.collect_set("pos").alias(gone_))
+    on = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.xxhash64("text") == F.col(hash_))
 
     def rest(x: Column) -> Column:
         kept = F.array_except(F.sequence(F.lit(0), F.size(x["lines"]) - 1), x["gone"])
         return F.array_join(F.transform(kept, lambda i: F.get(x["lines"], i)), "\n")
 
-    cut = bound(F.struct(F.split("text", "\n", -1).alias("lines"), F.col("__gone").alias("gone")), rest)
-    n = F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0))
-    out = docs.join(gone, on, "left")
-    out = out.withColumn("__lines", F.when(F.col("text").isNull(), 0).otherwise(n).cast("long")).withColumn("__removed", F.coalesce(F.size("__gone"), F.lit(0)).cast("long"))
-    out = out.withColumn("__removed", F.when(F.col("__gone").isNull(), F.lit(0)).otherwise(F.col("__removed")).cast("long"))
-    return out.withColumn("text", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(cut)).drop("__id", "__hash", "__gone")
+    cut = bound(F.struct(F.split("text", "\n", -1).alias("lines"), F.col(gone_).alias("gone")), rest)
+    n = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(F.split("text", "\n", -1))).cast("long")
+    removed = F.when(F.col(gone_).isNull(), F.lit(0)).otherwise(F.size(gone_)).cast("long")
+    own = [c for c in docs.columns if c.lower() not in (lines_col.lower(), removed_col.lower())]
+    text = F.when(F.col(gone_).isNull(), F.col("text")).otherwise(cut).alias("text")
+    return docs.join(gone, on, "left").select(*(text if c == "text" else F.col(f"`{c}`") for c in own), n.alias(lines_col), removed.alias(removed_col))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Words, as_documents, connected_components, gram_numbers, grams, mixed, slices, text_buffers, written
+from .common import Words, as_documents, connected_components, gram_numbers, grams, mixed, slices, text_buffers, unused, written
 
 SHINGLE, THRESHOLD = 5, 0.8
 #: Trees of the forest, length of a label, and the recall that a pair at the threshold is to have.
@@ -100,18 +100,18 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRES
 
 def distinct(values: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct values of each set between begin (n + 1), and where these begin."""
-    owner = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
-    order = np.lexsort((values, owner))
-    values = values[order]
-    keep = np.ones(len(values), bool)
-    keep[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
-    return values[keep], np.concatenate([[0], np.cumsum(np.bincount(owner[keep], minlength=len(begin) - 1))])
+    values, first = values.copy(), np.zeros(len(values), bool)
+    for a, b in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True):
+        values[a:b].sort()
+    first[begin[:-1][np.diff(begin) > 0]] = True
+    first[1:] |= values[1:] != values[:-1]
+    return values[first], np.concatenate([[0], np.cumsum(first)])[begin]
 
 
 def candidates(classes: DataFrame) -> DataFrame:
     """Edges (src, dst) between neighbours in the sorted forest that share a prefix, from classes (id, keys, rests)."""
     leaves = classes.select("id", F.explode(F.arrays_zip("keys", "rests")).alias("l")).select(F.col("l.keys").alias("key"), F.col("l.rests").alias("rest"), "id")
-    leaves = leaves.repartitionByRange(int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key", "rest", "id").sortWithinPartitions("key", "rest", "id")
+    leaves = leaves.repartitionByRange("key", "rest", "id").sortWithinPartitions("key", "rest", "id")
     names = ["src", "dst", "part", "side", "key"]
 
     def rows(src, dst, part=None, side=None, key=None) -> pa.RecordBatch:
@@ -347,9 +347,10 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHO
     more = heads.join(best, "component")
     gone = gone.select("doc_id", "text_hash").unionByName(more.where("text_hash <> best").select("doc_id", "text_hash")).distinct()
     repeated = more.where("text_hash = best").groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where("n > 1").select("doc_id", "text_hash")
-    on = lambda t: docs["doc_id"].eqNullSafe(t["__id"]) & (F.xxhash64(docs["text"]) == t["__hash"])
-    named = lambda t: t.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).hint("merge")
+    id_, hash_ = unused(docs, "id"), unused(docs, "hash")
+    on = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.xxhash64("text") == F.col(hash_))
+    named = lambda t: t.select(F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_)).hint("merge")
     if repeated.isEmpty():
-        return docs.join(t := named(gone), on(t), "left_anti")
-    once = docs.join(t := named(repeated), on(t), "left_semi").dropDuplicates(["doc_id", "text"])
-    return docs.join(t := named(gone.unionByName(repeated)), on(t), "left_anti").unionByName(once)
+        return docs.join(named(gone), on, "left_anti")
+    once = docs.join(named(repeated), on, "left_semi").dropDuplicates(["doc_id", "text"])
+    return docs.join(named(gone.unionByName(repeated)), on, "left_anti").unionByName(once)
