@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SLICE_BYTES, Lexicon, Words, as_documents, slices, text_buffers
+from .common import SLICE_BYTES, Lexicon, Words, as_documents, slices, small_batches, text_buffers
 
 #: Bytes of test texts in one broadcast; a larger benchmark is broadcast in several blocks, one of them in memory at a time.
 BLOCK_BYTES = 8 << 20
@@ -230,6 +230,7 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10)
     Column types and order stay; null texts stay.
     """
     held = Blocks(benchmark, window)
+    small_batches(docs.sparkSession)
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
