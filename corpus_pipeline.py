@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import bpe, decontaminate, line_dedup, ngram_join, toxicity
-from millrace.llm.common import written
+from millrace.llm.common import unused, written
 from millrace.llm.queries import LEARN, table
 
 
@@ -18,13 +18,14 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without boilerplate lines but for the first occurrence of each; those of which nothing else was left go. n_chars follows the text."""
-    got = line_dedup.remove_boilerplate(docs)
-    emptied = (F.col("__removed") > 0) & (F.btrim("text", F.lit(" \t\r\n")) == "")
+    count, taken = unused(docs, "lines"), unused(docs, "removed")
+    got = line_dedup.remove_boilerplate(docs, lines_col=count, removed_col=taken)
+    emptied = (F.col(taken) > 0) & (F.btrim("text", F.lit(" \t\r\n")) == "")
     got = got.where(~F.coalesce(emptied, F.lit(False)))
     if "n_chars" in docs.columns:
         size = F.length("text").cast(docs.schema["n_chars"].dataType)
-        got = got.withColumn("n_chars", F.when(F.col("__removed") > 0, size).otherwise(F.col("n_chars")))
-    return got.select(*docs.columns)
+        got = got.withColumn("n_chars", F.when(F.col(taken) > 0, size).otherwise(F.col("n_chars")))
+    return got.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
