@@ -35,8 +35,9 @@ def json_slice(c: Column) -> Column:
 
 
 def percent_decode(c: Column) -> Column:
-    """Percent escapes decoded, + kept; text with a malformed escape stays as it is."""
-    return F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)
+    """Percent escapes decoded, + kept; a malformed escape stays as it is, and text around it is decoded. Escapes that don't make UTF-8 give replacement characters."""
+    sound = F.regexp_replace(c, "%(?![0-9A-Fa-f]{2})", "%25")
+    return F.coalesce(F.try_url_decode(F.replace(sound, F.lit("+"), F.lit("%2B"))), c)
 
 
 def season_word(season: Column) -> Column:

@@ -8,22 +8,22 @@ import uuid
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.keys import cache_slug
 from millrace.functions.urls import BLOCKED_HOSTS, is_blocked
 from millrace.operators.attempts import discovery_prompt, extracted, extraction_prompt, judged
-from millrace.operators.cache import keep_stale, probe, refreshed, to_write
+from millrace.operators.cache import SEED_COLUMNS, keep_stale, probe, refreshed, to_write
 from millrace.operators.candidates import MANUAL, SEARCH, SITEMAP, first_ok, live_waterfall, top_candidates, waterfall
 from millrace.operators.festivals import build_festivals
 from millrace.operators.lineup import build_lineup
-from millrace.schemas import FESTIVAL_COLUMNS, LINEUP_COLUMNS, RECORD, SCHEMA_VERSION
+from millrace.schemas import FESTIVAL_COLUMNS, LINEUP_COLUMNS, RECORD, SCHEMA_VERSION, SEARCHES
 from millrace.sources.mapping import load_mapping, mapping_frame
 from millrace.sources.provider import Provider, ProviderError, parse_answer
 from millrace.sources.seed import load_seed
 from millrace.sources.sitemap import sitemap_candidates, sitemap_entries
-from millrace.sources.tables import export_csv
+from millrace.sources.tables import export_csv, read_store, replace_store
 from millrace.sources.web import fetch_pages, http_get
 
 
@@ -42,6 +42,38 @@ def searched(seed: DataFrame, discovered: DataFrame) -> DataFrame:
     return rows.select("seed_pos", F.col("candidates").isNotNull().alias("answered"))
 
 
+def slugged(seed: DataFrame) -> DataFrame:
+    """seed rows with slug, and leader: the first row (least seed_pos) of the same slug, year and url. The others share its record."""
+    rows = seed.withColumn("slug", cache_slug(F.col("university"), F.col("season")))
+    return rows.withColumn("leader", F.min("seed_pos").over(Window.partitionBy("slug", "year", "url")))
+
+
+def to_search(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Of rows (with slug) whose slug and year have no known search, the first of each: a search is asked for once."""
+    missing = rows.join(known.select("slug", "year"), ["slug", "year"], "left_anti")
+    return missing.groupBy("slug", "year").agg(F.min_by(F.struct(*rows.columns), "seed_pos").alias("r")).select("r.*")
+
+
+def shared(rows: DataFrame, state: DataFrame) -> DataFrame:
+    """The state (by seed_pos) of every row of `slugged`: its leader's, with the row's own seed columns."""
+    own = rows.select("seed_pos", "leader", *(F.col(c).alias(f"__{c}") for c in SEED_COLUMNS))
+    got = own.join(state.withColumnRenamed("seed_pos", "leader"), "leader")
+    return got.select("seed_pos", *(F.col(f"__{c}").alias(c) if c in SEED_COLUMNS else F.col(c) for c in state.columns if c != "seed_pos"))
+
+
+def stored_records(state: DataFrame, cached: DataFrame) -> DataFrame:
+    """The record table after a run: of each slug and year the last row (by seed_pos) that may be cached and wasn't a hit, else the cached record."""
+    names = cached.columns
+    rows = to_write(state).where("NOT hit").select("seed_pos", *names)
+    fresh = rows.groupBy("slug", "year").agg(F.max_by(F.struct(*names), "seed_pos").alias("r")).select("r.*")
+    return cached.join(fresh.select("slug", "year"), ["slug", "year"], "left_anti").select(*names).unionByName(fresh)
+
+
+def stored_searches(known: DataFrame, found: DataFrame) -> DataFrame:
+    """The table of searches after a run: one a slug and year, known ones first; failed ones (null candidates) aren't kept."""
+    return known.unionByName(found.join(known.select("slug", "year"), ["slug", "year"], "left_anti")).where("candidates IS NOT NULL").dropDuplicates(["slug", "year"])
+
+
 def sitemap_as_candidates(found: DataFrame) -> DataFrame:
     return found.select("seed_pos", F.lit(SITEMAP).alias("source"), "rank", "url")
 
@@ -90,7 +122,7 @@ def discovered_now(rows: DataFrame, provider: Provider, blocked: tuple[str, ...]
             out["candidates"] = pd.Series(found, index=out.index, dtype=object)
             yield out
 
-    got = asked.mapInPandas(run, "slug string, year int, season string, candidates array<string>")
+    got = asked.mapInPandas(run, SEARCHES)
     return got.withColumn("candidates", F.filter("candidates", lambda u: ~is_blocked(u, blocked)))
 
 
@@ -104,14 +136,16 @@ def attempt(candidates: DataFrame, seed: DataFrame, get: Callable, provider: Pro
     return judged(extracted(rows, provider)).select("seed_pos", "source", "rank", "url", "flag", "poster_image_url", "image_urls", "extraction", "published_at", "date_warning")
 
 
-def run(spark: SparkSession, base: str, year: int, provider: Provider, get: Callable = http_get, sitemaps: DataFrame | None = None, limit: int | None = None, seed_dir: str | None = None) -> dict[str, int]:
+def run(spark: SparkSession, base: str, year: int, provider: Provider, get: Callable = http_get, sitemaps: DataFrame | None = None, limit: int | None = None, seed_dir: str | None = None, search: Provider | None = None) -> dict[str, int]:
     """One year from seed to festivals.csv and lineup.csv; returns flag counts.
 
-    Cached records answer for their rows; of the rest each round asks only what is unresolved and is written before it is used. Searches are
+    provider answers extractions, search the searches for addresses (provider too, if there is no other). Rows of the same slug, year and url
+    are one request, whose record they share. Cached records answer for their rows; of the rest each round asks only what is unresolved and is written before it is used. Searches are
     kept unless they failed. Records, searches and attempts are Parquet under base; the two CSV files are written at the end.
     """
-    if os.path.isdir(os.path.join(base, "raw")):
-        raise OldLayout(f"{base} holds raw/ of an older layout")
+    for old in ("raw", "festivals.csv"):
+        if os.path.exists(os.path.join(base, old)):
+            raise OldLayout(f"{base} holds {old} of an older layout; move what is of one year to {os.path.join(base, str(year))} first")
     seed = load_seed(spark, seed_dir or base, year, limit)
     names = mapping_frame(spark, load_mapping(os.path.join(base, "artist_mapping.json")))
     staging = os.path.join(base, ".staging", uuid.uuid4().hex)
@@ -122,15 +156,19 @@ def run(spark: SparkSession, base: str, year: int, provider: Provider, get: Call
         df.write.parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
-    seed = kept(seed)
+    try:
+        return _run(spark, base, year, provider, search or provider, get, sitemaps, kept(slugged(seed)), names, kept)
+    finally:
+        shutil.rmtree(staging, ignore_errors=True)
+
+
+def _run(spark, base, year, provider, search, get, sitemaps, rows, names, kept) -> dict[str, int]:
     record_path, search_path = os.path.join(base, "records"), os.path.join(base, "discovered")
-    cached = spark.read.schema(RECORD).parquet(record_path) if os.path.isdir(record_path) else spark.createDataFrame([], RECORD)
-    searches = "slug string, year int, season string, candidates array<string>"
-    known = spark.read.schema(searches).parquet(search_path) if os.path.isdir(search_path) else spark.createDataFrame([], searches)
-    known = kept(known)
-    slugged = seed.withColumn("slug", cache_slug(F.col("university"), F.col("season")))
-    todo = kept(probe(slugged, cached).where("NOT hit").select(*seed.columns))
-    new = {"searches": spark.createDataFrame([], searches)}
+    cached = kept(read_store(spark, record_path, RECORD).dropDuplicates(["slug", "year"]))
+    known = kept(read_store(spark, search_path, SEARCHES).dropDuplicates(["slug", "year"]))
+    seed = rows.where("seed_pos = leader")
+    todo = kept(probe(seed, cached).where("NOT hit").select(*seed.columns))
+    new = {"searches": spark.createDataFrame([], SEARCHES)}
 
     def by_sitemap(left: DataFrame) -> DataFrame:
         if sitemaps is None:
@@ -138,23 +176,28 @@ def run(spark: SparkSession, base: str, year: int, provider: Provider, get: Call
         return sitemap_as_candidates(sitemap_candidates(left, sitemap_entries(sitemaps)))
 
     def by_search(left: DataFrame) -> DataFrame:
-        missing = left.withColumn("slug", cache_slug(F.col("university"), F.col("season"))).join(known, ["slug", "year"], "left_anti")
-        new["searches"] = kept(discovered_now(missing, provider))
+        new["searches"] = kept(discovered_now(to_search(left, known), search))
         return search_candidates(left, known.unionByName(new["searches"]))
 
     attempts = live_waterfall(todo, [manual_candidates, by_sitemap, by_search], lambda c: attempt(c, seed, get, provider), kept)
-    everything = known.unionByName(new["searches"])
-    asked = todo.withColumn("slug", cache_slug(F.col("university"), F.col("season"))).join(everything, ["slug", "year"])
-    state = kept(records(seed, attempts, asked.select("seed_pos", F.col("candidates").isNotNull().alias("answered")), cached))
-    fresh = kept(to_write(state).where("NOT hit").select(*cached.columns))
-    old = cached.join(fresh.select("slug", "year"), ["slug", "year"], "left_anti").select(*cached.columns)
-    kept(old.unionByName(fresh)).write.mode("overwrite").parquet(record_path)
-    kept(everything.where("candidates IS NOT NULL")).write.mode("overwrite").parquet(search_path)
+    asked = todo.join(known.unionByName(new["searches"]).select("slug", "year", "candidates"), ["slug", "year"])
+    own = kept(records(seed, attempts, asked.select("seed_pos", F.col("candidates").isNotNull().alias("answered")), cached))
+    state = kept(shared(rows, own))
+    if (n := state.count()) != (wanted := rows.count()):
+        raise RuntimeError(f"{n} records for {wanted} seed rows")
+    replace_store(stored_records(own, cached), record_path)
+    replace_store(stored_searches(known, new["searches"]), search_path)
 
     out = os.path.join(base, str(year))
     rows = state.withColumn("rec_id", F.col("seed_pos"))
     export_csv(build_festivals(rows, "rec_id"), os.path.join(out, "festivals.csv"), FESTIVAL_COLUMNS, ["rec_id"])
     export_csv(build_lineup(rows, names).withColumn("revealed", F.col("revealed").cast("string")), os.path.join(out, "lineup.csv"), LINEUP_COLUMNS, ["rec_id", "item_pos", "split_pos"])
-    counts = {r[0]: r[1] for r in state.groupBy("flag").count().collect()}
-    shutil.rmtree(staging, ignore_errors=True)
-    return counts
+    return {r[0]: r[1] for r in state.groupBy("flag").count().collect()}
+
+
+def clear_cache(spark: SparkSession, base: str, year: int, slug: str, rediscover: bool = False) -> None:
+    """Takes a slug's record of a year, and with rediscover its search, out of the stores; the same again changes nothing."""
+    for name, schema in (("records", RECORD), ("discovered", SEARCHES))[: 1 + rediscover]:
+        path = os.path.join(base, name)
+        if os.path.isdir(path):
+            replace_store(read_store(spark, path, schema).where(~(F.col("slug").eqNullSafe(F.lit(slug)) & (F.col("year") == year))), path)

@@ -132,19 +132,24 @@ def sitemap_match(spark, sf_dir):
 def by_host(spark, sf_dir):
     """Candidates per host with a flag made from page_id."""
     p = pages(spark, sf_dir).select(urls.host(F.col("url")).alias("host"), "page_id", "url")
-    return sitemap.ranked(p, "host", "page_id").withColumn("flag", F.when(F.col("page_id") % 3 == 0, "ok").when(F.col("page_id") % 3 == 1, "mismatch").otherwise("fetch_failed"))
+    return p.withColumn("flag", F.when(F.col("page_id") % 3 == 0, "ok").when(F.col("page_id") % 3 == 1, "mismatch").otherwise("fetch_failed"))
 
 
 RANKED = """ranked AS (SELECT regexp_extract(lower(url), '^[a-z]+://([^/?#]*)', 1) AS host, page_id, url, CASE page_id % 3 WHEN 0 THEN 'ok' WHEN 1 THEN 'mismatch' ELSE 'fetch_failed' END AS flag,
     row_number() OVER (PARTITION BY regexp_extract(lower(url), '^[a-z]+://([^/?#]*)', 1) ORDER BY page_id) AS rank FROM pages)"""
 
 
+def first_of_host(spark, sf_dir):
+    """The first candidates of each host with their ranks: cut before they are numbered, so that the limit stands below the shuffle."""
+    return sitemap.ranked(candidates.top_candidates(by_host(spark, sf_dir), "host", order="page_id"), "host", "page_id")
+
+
 def candidates_top3(spark, sf_dir):
-    return candidates.top_candidates(by_host(spark, sf_dir), "host").select("host", "page_id", F.col("rank").cast("long").alias("rank"))
+    return first_of_host(spark, sf_dir).select("host", "page_id", F.col("rank").cast("long").alias("rank"))
 
 
 def first_ok_candidate(spark, sf_dir):
-    got = candidates.first_ok(candidates.top_candidates(by_host(spark, sf_dir), "host"), "host")
+    got = candidates.first_ok(first_of_host(spark, sf_dir), "host")
     return got.select("host", "page_id", F.col("rank").cast("long").alias("rank"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import tempfile
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,14 +37,14 @@ def mapping_frame(spark: SparkSession, mapping: dict[str, str]) -> DataFrame:
     return spark.createDataFrame(sorted(mapping.items()), "artist_raw string, artist_canonical string")
 
 
-def replace_file(path: str, data: bytes) -> None:
-    """Writes beside the target and renames; on failure nothing but the old file is left."""
+def replace_file(path: str, data: bytes | Iterable[bytes]) -> None:
+    """Writes data, or its parts one after another, beside the target and renames; on failure nothing but the old file is left."""
     folder = os.path.dirname(os.path.abspath(path))
     os.makedirs(folder, exist_ok=True)
     handle, temp = tempfile.mkstemp(dir=folder, prefix=".", suffix=".tmp")
     try:
         with os.fdopen(handle, "wb") as f:
-            f.write(data)
+            f.writelines([data] if isinstance(data, bytes) else data)
         os.replace(temp, path)
     except BaseException:
         if os.path.exists(temp):

@@ -15,7 +15,11 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from millrace.schemas import EXTRACTION, GENRES, POLICIES, TICKETS, VERIFICATIONS
+from millrace.schemas import DOMAINS, EXTRACTION, EXTRACTION_FIELDS, GENRES, REQUIRED_FIELDS
+
+
+#: Seconds that a search may take, and a naming run's call.
+SEARCH_TIMEOUT, NAMING_TIMEOUT = 300, 900
 
 
 class ProviderError(RuntimeError):
@@ -44,14 +48,22 @@ class Recorded:
 
 @dataclass
 class CommandLine:
-    """A command that takes the prompt as last argument and prints a JSON object with a `result`."""
+    """A command that takes the prompt as last argument and prints a JSON object with a `result`.
+
+    tools: arguments before the prompt that let it use tools, such as a web search; none for plain questions.
+    """
 
     command: tuple[str, ...]
     timeout: float = 120
+    tools: tuple[str, ...] = ()
+
+    def for_search(self, *tools: str) -> CommandLine:
+        """The same command for searches: with tools, and as long as these take."""
+        return CommandLine(self.command, SEARCH_TIMEOUT, tools)
 
     def __call__(self, prompt: str) -> str:
         try:
-            done = subprocess.run([*self.command, prompt], capture_output=True, text=True, timeout=self.timeout)
+            done = subprocess.run([*self.command, *self.tools, prompt], capture_output=True, text=True, timeout=self.timeout)
         except (FileNotFoundError, subprocess.TimeoutExpired) as e:
             raise ProviderError(str(e)) from e
         if done.returncode:
@@ -67,30 +79,25 @@ def models() -> dict:
     """Models of strict parsing, built once a process. Kept in a function as pydantic is needed only where answers are parsed."""
     from typing import Literal
 
-    from pydantic import BaseModel, Field
-
-    class LineupItem(BaseModel):
-        artist_raw: str
-        day: int | None = None
-        is_secret: bool = False
-
-    class Extraction(BaseModel):
-        found: bool
-        university_name: str
-        year: int | None = None
-        festival_name: str | None = None
-        start_date: str | None = None
-        end_date: str | None = None
-        venue_name: str | None = None
-        description: str | None = None
-        hashtags: list[str] = Field(default_factory=list)
-        external_visitor_policy: Literal[POLICIES] | None = None
-        verification_method: Literal[VERIFICATIONS] | None = None
-        ticket_type: Literal[TICKETS] | None = None
-        ticket_open_at: str | None = None
-        admission_raw: str | None = None
-        instagram_handle: str | None = None
-        lineup: list[LineupItem] = Field(default_factory=list)
+    from pydantic import BaseModel, Field, create_model
+
+    plain = {"boolean": bool, "int": int, "string": str}
+
+    def model(name: str, fields: tuple):
+        """A model of a schema's fields: required ones, lists (empty by default), flags (false by default), and others that may be null."""
+        made = {}
+        for field, kind in fields:
+            if field in REQUIRED_FIELDS:
+                made[field] = (plain[kind], ...)
+            elif kind == "boolean":
+                made[field] = (bool, False)
+            elif kind in plain:
+                made[field] = ((Literal[DOMAINS[field]] if field in DOMAINS else plain[kind]) | None, None)
+            else:
+                made[field] = (list[str if isinstance(kind, str) else model(field, kind)], Field(default_factory=list))
+        return create_model(name, **made)
+
+    extraction = model("extraction", EXTRACTION_FIELDS)
 
     class Artist(BaseModel):
         name: str
@@ -112,7 +119,7 @@ def models() -> dict:
     class Discovery(BaseModel):
         candidates: list[Candidate] = Field(default_factory=list)
 
-    return {"extraction": Extraction, "names": Names, "genres": Genres, "discovery": Discovery}
+    return {"extraction": extraction, "names": Names, "genres": Genres, "discovery": Discovery}
 
 
 def parse_answer(text: str | None, model: str) -> dict:
@@ -124,14 +131,14 @@ def parse_answer(text: str | None, model: str) -> dict:
 
 
 def ask(provider: Provider, prompt: str, model: str, tries: int = 2) -> dict:
-    """Asks again, with the error under the first prompt, if an answer doesn't parse. A failed call raises at once."""
-    error: Exception | None = None
+    """Asks again, with the errors so far under the prompt, if an answer doesn't parse. A failed call raises at once."""
+    errors: list[Exception] = []
     for _ in range(tries):
         try:
-            return parse_answer(provider(prompt if error is None else f"{prompt}\n\n{error}"), model)
+            return parse_answer(provider("\n\n".join([prompt, *map(str, errors)])), model)
         except ValueError as e:
-            error = e
-    raise error
+            errors.append(e)
+    raise errors[-1]
 
 
 def strict_json(raw: Column) -> Column:

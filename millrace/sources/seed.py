@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,8 +57,12 @@ def first_rows(seed: DataFrame, limit: int | None) -> DataFrame:
 
 
 def load_seed(spark: SparkSession, base: str, year: int, limit: int | None = None) -> DataFrame:
-    """The year's seed with its guards: unknown or partial seasons, repeated keys and other years stop the run."""
-    seed = read_seed(spark, seed_path(base, year))
+    """The year's seed with its guards: a missing file, unknown or partial seasons, repeated keys and other years stop the run."""
+    path = seed_path(base, year)
+    if "://" not in path and not os.path.exists(path):
+        there = sorted(f for f in (os.listdir(base) if os.path.isdir(base) else ()) if re.fullmatch(r"universities-\d+\.csv", f))
+        raise SeedError(f"{path} is missing; there are: {', '.join(there) or 'none'}")
+    seed = read_seed(spark, path)
     for rows, text in (
         (seed.where(~F.col("season").isin(*SEASON_MONTHS)).select("university", "season"), "unknown season"),
         (mixed_seasons(seed), "season declared for some rows only"),

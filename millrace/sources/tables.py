@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import csv
 import io
+import itertools
 import os
+import shutil
+import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,14 +41,39 @@ def read_table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
 def export_csv(df: DataFrame, path: str, columns: list[str], order: list[str]) -> None:
     """One CSV file for people: UTF-8 with byte order mark, header, CRLF, guarded cells, rows in `order`, replaced as a whole.
 
-    Rows stream through the driver a partition at a time. The canonical output is Parquet.
+    Rows stream through the driver to the file a partition at a time. The canonical output is Parquet.
     """
-    out = io.StringIO()
-    w = csv.writer(out, lineterminator="\r\n")
-    w.writerow(columns)
-    for row in df.orderBy(*order).select(*(sanitize_cell(F.col(f"`{c}`")).alias(c) for c in columns)).toLocalIterator(prefetchPartitions=True):
-        w.writerow(row)
-    replace_file(path, b"\xef\xbb\xbf" + out.getvalue().encode())
+    rows = df.orderBy(*order).select(*(sanitize_cell(F.col(f"`{c}`")).alias(c) for c in columns)).toLocalIterator(prefetchPartitions=True)
+
+    def lines() -> Iterator[bytes]:
+        yield b"\xef\xbb\xbf"
+        for row in itertools.chain([columns], rows):
+            line = io.StringIO()
+            csv.writer(line, lineterminator="\r\n").writerow(row)
+            yield line.getvalue().encode()
+
+    replace_file(path, lines())
+
+
+def read_store(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A stored table, empty if there is none. What an interrupted replacement has left is put right first."""
+    if not os.path.isdir(path) and os.path.isdir(f"{path}.old"):
+        os.rename(f"{path}.old", path)
+    return spark.read.schema(schema).parquet(path) if os.path.isdir(path) else spark.createDataFrame([], schema)
+
+
+def replace_store(df: DataFrame, path: str) -> None:
+    """Replaces a stored table, also where df reads it: the new one is written whole beside it, then the two are renamed. The old one is deleted last."""
+    new = f"{path}.{uuid.uuid4().hex}.new"
+    try:
+        df.write.parquet(new)
+        if os.path.isdir(path):
+            shutil.rmtree(f"{path}.old", ignore_errors=True)
+            os.rename(path, f"{path}.old")
+        os.rename(new, path)
+    finally:
+        shutil.rmtree(new, ignore_errors=True)
+    shutil.rmtree(f"{path}.old", ignore_errors=True)
 
 
 def year_dirs(base: str) -> list[int]:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import codecs
+import http.client
+import re
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from urllib import error, request, robotparser
+from urllib import request, robotparser
 from urllib.parse import urlparse
 
 import pandas as pd
@@ -16,6 +19,8 @@ from millrace.functions.pages import parse_page
 from millrace.functions.urls import host, readable_url
 
 AGENT = "millrace/0.1"
+#: What a request may raise: refusals, addresses that are none, broken answers.
+FAILURES = (OSError, ValueError, http.client.HTTPException)
 PAUSE, TIMEOUT, TRIES = 3.0, 10, 2
 FETCHED = "url string, status string, body string, poster_image_url string, image_urls array<string>, instagram_candidates array<string>, published_at string, error string"
 
@@ -27,13 +32,32 @@ def http_get(url: str) -> tuple[bytes, str | None]:
 
 
 def decode(data: bytes, charset: str | None) -> str:
-    """By the declared charset; without one as UTF-8, and as the likeliest Korean or Latin encoding where that fails."""
-    for name in (charset,) if charset else ("utf-8", "cp949"):
-        try:
-            return data.decode(name)
-        except (UnicodeDecodeError, LookupError):
-            continue
-    return data.decode(charset or "utf-8", "replace") if charset != "" else data.decode("latin-1")
+    """By the charset that the server declares, replacing what doesn't fit. Without one: by a byte order mark, as UTF-8, by what the document declares, as Korean; the first that fits."""
+    if charset and _known(charset):
+        return data.decode(charset, "replace")
+    marked = next((name for mark, name in MARKS if data.startswith(mark)), None)
+    said = DECLARED.search(data[:2048])
+    names = [marked, "utf-8", said and _WIDER.get(said[1].decode().lower(), said[1].decode()), "cp949"]
+    for name in names:
+        if name and _known(name):
+            try:
+                return data.decode(name)
+            except UnicodeDecodeError:
+                continue
+    return data.decode("utf-8", "replace")
+
+
+#: Byte order marks, what a document's head says of its charset, and supersets that browsers read in place of a declared one.
+MARKS = ((b"\xef\xbb\xbf", "utf-8-sig"), (b"\xff\xfe", "utf-16"), (b"\xfe\xff", "utf-16"))
+DECLARED = re.compile(rb"""(?i)(?:charset|encoding)\s*=\s*["']?([a-z0-9_-]+)""")
+_WIDER = {"euc-kr": "cp949", "ks_c_5601-1987": "cp949", "iso-8859-1": "cp1252", "shift_jis": "cp932", "gb2312": "gb18030"}
+
+
+def _known(charset: str) -> bool:
+    try:
+        return bool(codecs.lookup(charset))
+    except LookupError:
+        return False
 
 
 @dataclass
@@ -58,32 +82,36 @@ class Fetcher:
             try:
                 rules = robotparser.RobotFileParser()
                 rules.parse(decode(*self.get(f"https://{name}/robots.txt")).splitlines())
-            except (OSError, error.URLError):
+            except FAILURES:
                 rules = None
             self.robots[name] = rules
         return self.robots[name] is None or self.robots[name].can_fetch(AGENT, url)
 
     def text(self, url: str) -> str | None:
         """One try; None on any failure or refusal."""
-        if not self.allowed(url):
-            return None
-        self.wait(urlparse(url).netloc)
         try:
+            if not self.allowed(url):
+                return None
+            self.wait(urlparse(url).netloc)
             return decode(*self.get(url))
-        except OSError:
+        except FAILURES:
             return None
 
     def page(self, url: str, read: str) -> dict:
         """status ok, fetch_failed or empty_body, and what the page tells. `read` is the address that is opened."""
         row = dict.fromkeys(x.split()[0] for x in FETCHED.split(", ")) | {"url": url, "status": "fetch_failed", "image_urls": [], "instagram_candidates": []}
-        if not self.allowed(read):
-            return row | {"error": "robots"}
+        try:
+            name = urlparse(read).netloc
+            if not self.allowed(read):
+                return row | {"error": "robots"}
+        except ValueError as e:  # not an address at all
+            return row | {"error": str(e)}
         for _ in range(TRIES):
-            self.wait(urlparse(read).netloc)
+            self.wait(name)
             try:
                 html = decode(*self.get(read))
-            except OSError as e:
-                row["error"] = str(e)
+            except FAILURES as e:
+                row["error"] = str(e) or type(e).__name__
                 continue
             row |= parse_page(html, read)
             return row | {"status": "ok" if row["body"] else "empty_body", "error": None}
