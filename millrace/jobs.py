@@ -5,6 +5,7 @@ from __future__ import annotations
 import subprocess
 import threading
 from collections.abc import Callable, Iterable
+from urllib.parse import parse_qs
 
 JOBS = ("crawl", "enrich")
 
@@ -45,6 +46,17 @@ def offset(text: str | None) -> int:
     return int(text) if text and text.isdecimal() else 0
 
 
+def from_index(query: str) -> int | None:
+    """The position that a request's query asks for: 0 if it names none, null (a bad request) if that is no whole number."""
+    said = parse_qs(query, keep_blank_values=True).get("from", [""])[0]
+    if not said:
+        return 0
+    try:
+        return int(said)
+    except ValueError:
+        return None
+
+
 def handle_run(job: str, university: str | None, slugs: Iterable[str], running: bool, start: Callable[[], bool], clear: Callable[[str], None]) -> tuple[int, str]:
     """Status and text for a request to run: 400 for an unknown job, a university with the naming run or one that the seed lacks; 409 if something runs."""
     if job not in JOBS:
