@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -87,9 +88,10 @@ class Codec:
                 _, pos, choice = out.pop()
         return [t for t, _, _ in out]
 
-    def encode_pieces(self, pieces: list[str]) -> Iterator[bytes]:
-        """Ids of each piece, as u32 bytes."""
-        return (np.array(self.encode_bytes(p.encode()), np.uint32).tobytes() for p in pieces)
+    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces, one after another, and their numbers."""
+        ids = [self.encode_bytes(p.encode()) for p in pieces]
+        return np.fromiter(chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int64)
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of whole texts; null counts as empty."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -74,13 +74,13 @@ def split_common(points: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 class PieceIds:
-    """Ids of texts from ids of pieces. encode gives the ids of new pieces as u32 bytes.
+    """Ids of texts from ids of pieces. encode gives the ids of new pieces, one after another, and their numbers.
 
     Known pieces are found by hash and then compared byte by byte, in a text as in memory, so that a hash never decides. A piece that
     shares its hash with another one is encoded anew in every slice. When `most` pieces are known the memory starts anew.
     """
 
-    def __init__(self, pattern: str, encode: Callable[[list[str]], Iterable[bytes]], most: int = 1_500_000):
+    def __init__(self, pattern: str, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 1_500_000):
         self.find = regex.compile(pattern).findall
         self.common, self.encode, self.most = pattern == COMMON, encode, most
         self.forget()
@@ -90,13 +90,13 @@ class PieceIds:
         self.bounds, self.text_bounds = np.zeros(1 << 10, np.int32), np.zeros(1 << 10, np.int32)  # of each slot's ids and bytes
         self.pool, self.text, self.slots = np.zeros(1 << 16, np.uint32), Spans(np.zeros(1 << 16, np.uint8)), 0
 
-    def take_up(self, pieces: list[str], data: list[bytes]) -> np.ndarray:
+    def take_up(self, pieces: list[str], data: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """New slots with the ids and bytes of pieces."""
-        ids = list(self.encode(pieces))
+        ids = self.encode(pieces)
         first = self.slots
         self.slots += len(pieces)
 
-        def put(values: np.ndarray, ends: np.ndarray, sizes: list[int], new: np.ndarray, spare: int) -> tuple[np.ndarray, np.ndarray]:
+        def put(values: np.ndarray, ends: np.ndarray, new: np.ndarray, sizes: np.ndarray, spare: int) -> tuple[np.ndarray, np.ndarray]:
             ends = room(ends, first + 1, len(sizes))
             at = int(ends[first])
             values = room(values, at, len(new) + spare)
@@ -104,12 +104,12 @@ class PieceIds:
             ends[first + 1 : self.slots + 1] = at + np.cumsum(sizes)
             return values, ends
 
-        self.pool, self.bounds = put(self.pool, self.bounds, [len(x) >> 2 for x in ids], np.frombuffer(b"".join(ids), np.uint32), 0)
-        self.text.data, self.text_bounds = put(self.text.data, self.text_bounds, [len(x) for x in data], np.frombuffer(b"".join(data), np.uint8), 8)
+        self.pool, self.bounds = put(self.pool, self.bounds, *ids, 0)
+        self.text.data, self.text_bounds = put(self.text.data, self.text_bounds, data, sizes, 8)
         return np.arange(first, self.slots, dtype=np.int32)
 
-    def known(self, h: np.ndarray, spans: Spans, start: np.ndarray, end: np.ndarray, part: Callable[[int], str]) -> np.ndarray:
-        """Slots of pieces of distinct hashes, given in order of hash. part(k): piece k."""
+    def known(self, h: np.ndarray, spans: Spans, start: np.ndarray, end: np.ndarray, parts: Callable[[np.ndarray], tuple[list[str], np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Slots of pieces of distinct hashes, given in order of hash. parts: pieces by their numbers, as texts, and as joined bytes with sizes."""
         at = np.searchsorted(self.hash, h)
         there = np.flatnonzero(at < len(self.hash))
         there = there[self.hash[at[there]] == h[there]]
@@ -119,7 +119,7 @@ class PieceIds:
         slot[there[same]] = own[same]
         new = np.flatnonzero(slot < 0)
         if len(new):
-            slot[new] = self.take_up([part(k) for k in new.tolist()], [spans.bytes_at(a, b) for a, b in zip(start[new].tolist(), end[new].tolist(), strict=True)])
+            slot[new] = self.take_up(*parts(new))
             index = np.setdiff1d(new, there, assume_unique=True)  # a hash that is taken stays with the piece that has it
             self.hash, self.slot = np.insert(self.hash, at[index], h[index]), np.insert(self.slot, at[index], slot[index])
         return slot
@@ -142,23 +142,33 @@ class PieceIds:
             self.forget()
         spans, bounds = Spans(data), np.append(lead[start], len(data))
         a, b = bounds[:-1], bounds[1:]
-        ends = np.append(start, len(lead)).tolist()
-        part = lambda k: whole[ends[k] : ends[k + 1]]
+        ends = np.append(start, len(lead))
+
+        def parts(k: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+            size = b[k] - a[k]
+            return [whole[i:j] for i, j in zip(ends[k].tolist(), ends[k + 1].tolist(), strict=True)], data[runs(a[k], size)], size
+
         h, back = np.unique(spans.hashes(a, b), return_inverse=True)
         one = np.zeros(len(h), np.int64)  # a piece of each hash
         one[back] = np.arange(len(back))
-        slot = self.known(h, spans, a[one], b[one], lambda k: part(one[k]))[back]
+        slot = self.known(h, spans, a[one], b[one], lambda k: parts(one[k]))[back]
         like = one[back]
         odd = np.flatnonzero(~spans.same(a, b, spans, a[like], b[like]))
         if len(odd):
-            slot[odd] = self.take_up([part(k) for k in odd.tolist()], [spans.bytes_at(a[k], b[k]) for k in odd.tolist()])
+            slot[odd] = self.take_up(*parts(odd))
         begin = self.bounds[slot]
         size = self.bounds[slot + 1] - begin
         stop = np.zeros(len(size) + 1, np.int64)
         np.cumsum(size, out=stop[1:])
-        place = np.repeat(begin - stop[:-1], size)
-        place += np.arange(len(place))
-        return self.pool[place], stop[np.searchsorted(start, chars)]
+        return self.pool[runs(begin, size)], stop[np.searchsorted(start, chars)]
+
+
+def runs(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All places of runs that begin at `begin`, one run after another."""
+    stop = np.cumsum(size, dtype=np.int64)
+    out = np.repeat(begin - (stop - size), size)
+    out += np.arange(len(out))
+    return out
 
 
 def room(values: np.ndarray, used: int, more: int) -> np.ndarray:

@@ -16,6 +16,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from .common import as_documents, shared_dir, slices
-from .pieces import COMMON, PieceIds
+from .pieces import COMMON, PieceIds, runs
 
 MAGIC = b"MRTOKEN1"
 HEAD, BODY = "<QI", "<qBBQ"
@@ -60,23 +61,27 @@ class Library:
         self.common = pattern == COMMON
         self.ids = PieceIds(pattern, self.encode)
 
-    def encode(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces, as u32 bytes."""
-        joined = [p for p in pieces if p[0] == " " and p[1:].isalpha()] if self.common else []
-        known: dict[str, bytes] = {}
-        for a in range(0, len(joined), 4000):
-            part = joined[a : a + 4000]
-            text = "".join(part)
+    def encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces, one after another, and their numbers."""
+        whole = np.array([p[0] == " " and p[1:].isalpha() for p in pieces], bool) if self.common else np.zeros(len(pieces), bool)
+        joined, alone = np.flatnonzero(whole), np.flatnonzero(~whole)
+        size = np.zeros(len(pieces), np.int64)
+        found = []
+        for k in range(0, len(joined), 4000):
+            own = joined[k : k + 4000]
+            text = "".join([pieces[i] for i in own.tolist()])
             ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
             data = np.frombuffer(text.encode(), np.uint8)
             ends = np.append(np.flatnonzero(data == 32)[1:], len(data))  # a space begins each piece and is nowhere else
-            cut = (4 * (np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1)).tolist()
-            data = ids.tobytes()
-            known.update(zip(part, map(data.__getitem__, map(slice, [0, *cut], cut)), strict=False))
-        rest = [p for p in pieces if p not in known] if len(joined) < len(pieces) else []
-        for p, e in zip(rest, self.library.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            known[p] = np.array(e.ids, np.uint32).tobytes()
-        return list(map(known.__getitem__, pieces))
+            size[own] = np.diff(np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1, prepend=0)
+            found.append(ids)
+        each = [e.ids for e in self.library.encode_batch_fast([pieces[i] for i in alone.tolist()], add_special_tokens=False)]
+        size[alone] = [len(x) for x in each]
+        first = np.cumsum(size) - size
+        out = np.zeros(int(size.sum()), np.uint32)
+        for own, ids in ((joined, np.concatenate(found) if found else out[:0]), (alone, np.fromiter(chain.from_iterable(each), np.uint32))):
+            out[runs(first[own], size[own])] = ids
+        return out, size
 
     def texts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, and where each text's begin (n + 1). Null counts as empty."""
