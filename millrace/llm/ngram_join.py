@@ -300,7 +300,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: float =
     classes = written(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
     groups = connected_components(candidates(classes), "candidates")
     members = groups.join(classes.withColumnRenamed("doc_id", "rep"), F.col("node") == F.col("id")).withColumnRenamed("component", "grp").drop("node")
-    members = _with_words(docs, written(in_blocks(members), "members"))
+    members = _with_words(docs, in_blocks(members))
     some = members.drop("blocks", "n")
     one = some.where(members["blocks"] == 1).withColumn("a", F.lit(0).cast("long")).withColumn("b", F.lit(0).cast("long"))
     many = some.where(members["blocks"] > 1)
