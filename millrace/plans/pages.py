@@ -111,9 +111,9 @@ def html_parse_udf(spark, sf_dir):
 
 
 def maps(spark, sf_dir):
-    """Four sitemaps from the pages' urls, percent-escaped in part."""
+    """Four sitemaps from the pages' urls, percent-escaped in part; each comes in parts of at most 1,000 places, so that no row grows with the pages."""
     loc = F.concat(F.lit("<loc> "), F.replace("url", F.lit("example"), F.lit("/entry/%65xample+")), F.lit("\n</loc>"))
-    return pages(spark, sf_dir).groupBy((F.col("page_id") % 4).cast("int").alias("source_pos")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_id", loc.alias("x")))), lambda s: s["x"]), "").alias("xml"))
+    return pages(spark, sf_dir).groupBy((F.col("page_id") % 4).cast("int").alias("source_pos"), F.floor(F.col("page_id") / 4000).alias("part")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_id", loc.alias("x")))), lambda s: s["x"]), "").alias("xml"))
 
 
 def sitemap_locs(spark, sf_dir):

@@ -29,10 +29,18 @@ def read_sitemaps(spark: SparkSession, text: Callable[[str], str | None], source
 def sitemap_entries(sitemaps: DataFrame) -> DataFrame:
     """url, source_pos and loc_pos of the <loc> elements that are entries, from (source_pos, xml). A failed source has null xml and gives none.
 
-    Not made distinct: the order of sources and places is the order of candidates.
+    Not made distinct: the order of sources and places is the order of candidates. A sitemap may come in parts, one a row, ordered
+    by a column part: its places are counted through all of them. Only sizes of parts are put in order for that.
     """
-    locs = F.posexplode(F.regexp_extract_all("xml", F.lit(r"(?s)<loc>(.*?)</loc>"), F.lit(1)))
-    found = sitemaps.where(F.col("xml").isNotNull()).select("source_pos", locs.alias("loc_pos", "loc"))
+    locs = F.regexp_extract_all("xml", F.lit(r"(?s)<loc>(.*?)</loc>"), F.lit(1))
+    found = sitemaps.where(F.col("xml").isNotNull())
+    if "part" in sitemaps.columns:
+        before = Window.partitionBy("source_pos").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        sizes = found.select("source_pos", "part", F.regexp_count("xml", F.lit(r"(?s)<loc>(.*?)</loc>")).alias("n"))
+        starts = sizes.select("source_pos", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+        found = found.join(starts, ["source_pos", "part"]).select("source_pos", "start", F.posexplode(locs).alias("p", "loc")).withColumn("loc_pos", F.col("start") + F.col("p"))
+    else:
+        found = found.select("source_pos", F.posexplode(locs).alias("loc_pos", "loc"))
     return found.select("source_pos", "loc_pos", percent_decode(strip(F.col("loc"))).alias("url")).where(F.contains("url", F.lit("/entry/")))
 
 

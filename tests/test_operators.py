@@ -51,6 +51,14 @@ def test_sitemaps(spark):
     assert [(r.seed_pos, r["rank"], r.url) for r in got] == [(7, 1, "https://t/entry/2026-서울대+x"), (7, 2, "https://t/entry/2026-서울대"), (7, 3, "https://s/entry/서울대 2026")]
 
 
+def test_sitemap_in_parts(spark):
+    """Places are counted through the parts of a sitemap, also through one without entries; other sitemaps count their own."""
+    loc = lambda *names: "".join(f"<loc>{n}</loc>" for n in names)
+    parts = [(0, 20, loc("/entry/c", "/entry/d")), (0, 3, loc("/entry/a", "/x", "/entry/b")), (0, 7, ""), (0, 9, None), (1, 3, loc("/entry/e")), (2, 0, None)]
+    got = sitemap.sitemap_entries(spark.createDataFrame(parts, "source_pos int, part int, xml string")).select("source_pos", "loc_pos", "url").collect()
+    assert sorted(map(tuple, got)) == [(0, 0, "/entry/a"), (0, 2, "/entry/b"), (0, 3, "/entry/c"), (0, 4, "/entry/d"), (1, 0, "/entry/e")]
+
+
 def test_waterfall_truth_table(spark):
     """Every final state: (manual flag, sitemap ok rank, search answered, search ok rank) to (flag, discovery, url, cached)."""
     cases = [
