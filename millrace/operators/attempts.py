@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from millrace.functions.judge import date_warning, verify
 from millrace.functions.text import season_word
 from millrace.operators.candidates import attempts_flag
+from millrace.operators.names import canonical_names
 from millrace.schemas import DOMAINS, EXTRACTION, EXTRACTION_FIELDS, REQUIRED_FIELDS, struct
 from millrace.sources.provider import Provider, ProviderError, ask
 
@@ -75,7 +76,7 @@ def discovery_prompt(university: Column, year: Column, season: Column) -> Column
 
 def known_names_block(names: DataFrame) -> str:
     """The part of a naming prompt that lists canonical names already chosen; '' if there are none."""
-    rows = [r[0] for r in names.select("artist_canonical").distinct().orderBy("artist_canonical").collect()]
+    rows = [r[0] for r in canonical_names(names).orderBy("artist_canonical").collect()]
     return "\n이미 정한 표기입니다. 같은 사람이면 그대로 쓰세요:\n" + "\n".join(rows) + "\n" if rows else ""
 
 

@@ -17,6 +17,11 @@ def raw_names(records: DataFrame, split_names: bool = False) -> DataFrame:
     return names.distinct()
 
 
+def canonical_names(mapping: DataFrame) -> DataFrame:
+    """The distinct canonical names of a mapping."""
+    return mapping.select("artist_canonical").distinct()
+
+
 def new_names(names: DataFrame, mapping: DataFrame) -> DataFrame:
     return names.join(mapping.select("artist_raw"), "artist_raw", "left_anti")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.plans import pages, records, runs, tables
+from millrace.plans import naming, pages, records, runs, tables
 
-QUERIES = {**pages.QUERIES, **records.QUERIES, **runs.QUERIES, **tables.QUERIES}
-ORACLES = {**pages.ORACLES, **records.ORACLES, **runs.ORACLES, **tables.ORACLES}
+QUERIES = {**naming.QUERIES, **pages.QUERIES, **records.QUERIES, **runs.QUERIES, **tables.QUERIES}
+ORACLES = {**naming.ORACLES, **pages.ORACLES, **records.ORACLES, **runs.ORACLES, **tables.ORACLES}

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import functions as F
 
 from millrace import streaming
 from millrace.operators import candidates, lineup, names, review
+from millrace.plans.naming import shared_folder
 from millrace.plans.pages import table
 from millrace.sources import seed, tables
 
@@ -110,8 +110,8 @@ def unresolved(spark, sf_dir):
 
 
 def csv_roundtrip(spark, sf_dir):
-    """Nations through the CSV exporter and back. The exporter writes a file for people on the driver's disk; it is read here at once."""
-    path = os.path.join(tempfile.mkdtemp(), "nation.csv")
+    """Nations through the CSV exporter and back. The exporter writes a file for people to the shared folder."""
+    path = os.path.join(shared_folder(spark), "nation.csv")
     n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("key"), F.concat(F.lit("="), "n_name", F.lit('",\n')).alias("name"), F.lit(None).cast("string").alias("none"))
     tables.export_csv(n, path, ["key", "name", "none"], ["key"])
     rows = [tuple(r) for r in tables.read_table(spark, path, ["key", "name", "none"]).select("key", "name", "none").collect()]
@@ -151,5 +151,6 @@ SELECT n_nationkey, coalesce(slug, 'U' || (n_nationkey % 9)) AS cache_slug FROM
     "review_counts": "SELECT count(*) FILTER (p_size < 10) AS to_review, count(*) FILTER (p_brand = 'Brand#11') AS genre_11, count(*) AS n FROM part",
     "first_rows": "SELECT o_orderkey FROM orders ORDER BY 1 LIMIT 100",
     "offset_lines": "SELECT event_id AS pos, event_type AS line FROM events WHERE event_id >= 500",
+    "csv_roundtrip": "SELECT n_nationkey::VARCHAR AS key, '''=' || n_name || '\",' || chr(10) AS name, '' AS none FROM nation",
     "unresolved": "SELECT o_orderkey AS seed_pos FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 40)",
 }
