@@ -21,8 +21,10 @@ from .common import as_documents, written
 
 #: Tables, the share of the axes of all tables that a query probes, and the share of a shard, and the rows at least, that are ranked exactly.
 TABLES, PROBES, RANKED, RANKED_ROWS = 16, 0.05, 0.05, 1000
-#: Vectors of a shard and queries of a block, at most.
-SHARD_ROWS, BLOCK_ROWS = 65_536, 8_192
+#: Vectors of a shard and queries of a block, at most, and bytes of their doubles, so that neither grows with the dimension.
+SHARD_ROWS, SHARD_BYTES, BLOCK_ROWS, BLOCK_BYTES = 65_536, 64 << 20, 8_192, 8 << 20
+#: Components of the queries that are probed at once.
+PROBED = 1 << 14
 
 
 def rotated(x: np.ndarray, seed: int) -> np.ndarray:
@@ -139,25 +141,31 @@ def _block(rows: list) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     return {d: (np.array(ids, np.int64), np.array(vs, np.float64)) for d, (ids, vs) in out.items()}
 
 
+def cut(rows: Iterator[tuple], most: int, most_bytes: int) -> Iterator[list[tuple]]:
+    """Rows (id, vector) in consecutive lists of at most so many rows and bytes; a vector of more bytes is a list of its own."""
+    out, size = [], 0
+    for i, v in rows:
+        if out and (len(out) == most or size + 8 * len(v) > most_bytes):
+            yield out
+            out, size = [], 0
+        out.append((i, v))
+        size += 8 * len(v)
+    if out:
+        yield out
+
+
 def search(queries: DataFrame, table: DataFrame, id_col: str, vec_col: str, k: int = 10) -> DataFrame:
     """query_id, rank (from 1), vec_id, score (Euclidean distance) of the k nearest found of each query, its own id left out; ties to smaller ids.
 
     Vectors null, zero or with null or non-finite components take no part. Queries with fewer than k candidates get them all. Repeated
-    ids count once, with the nearest of their vectors. Queries go through the table BLOCK_ROWS at a time.
+    ids count once, with the nearest of their vectors. Queries go through the table in blocks of at most BLOCK_ROWS and BLOCK_BYTES.
     """
     spark = table.sparkSession
     vectors = usable(table, id_col, vec_col)
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        open_: list = []
-        for batch in batches:
-            for i, v in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                open_.append((i, np.asarray(v.values)))
-                if len(open_) == SHARD_ROWS:
-                    yield _block(open_)
-                    open_ = []
-        if open_:
-            yield _block(open_)
+        rows = ((i, np.asarray(v.values)) for batch in batches for i, v in zip(batch.column(0).to_pylist(), batch.column(1), strict=True))
+        yield from map(_block, cut(rows, SHARD_ROWS, SHARD_BYTES))
 
     def of_block(rows: list) -> DataFrame:
         """The k nearest in each shard of the queries of one block, written; the block's broadcast then ends."""
@@ -168,8 +176,9 @@ def search(queries: DataFrame, table: DataFrame, id_col: str, vec_col: str, k: i
                 for d, (q_ids, q) in held.value.items():
                     ids, x = part.get(d, (np.zeros(0, np.int64), None))
                     shard = Shard(ids, x, k) if len(ids) else None
-                    for a in range(0, len(q_ids) if shard else 0, 256):
-                        found = list(nearest(shard, q_ids[a : a + 256], q[a : a + 256], k))
+                    some = max(1, PROBED // d)
+                    for a in range(0, len(q_ids) if shard else 0, some):
+                        found = list(nearest(shard, q_ids[a : a + some], q[a : a + some], k))
                         columns = list(zip(*found, strict=True)) or [()] * 3
                         yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64())], names=["query_id", "vec_id", "score"])
 
@@ -177,14 +186,8 @@ def search(queries: DataFrame, table: DataFrame, id_col: str, vec_col: str, k: i
         held.destroy()
         return out
 
-    found, rows = [], []
-    for r in usable(queries, id_col, vec_col).toLocalIterator():
-        rows.append((r[0], r[1]))
-        if len(rows) == BLOCK_ROWS:
-            found.append(of_block(rows))
-            rows = []
-    if rows or not found:
-        found.append(of_block(rows))
+    asked = usable(queries, id_col, vec_col).toLocalIterator()
+    found = [of_block(rows) for rows in cut(((r[0], r[1]) for r in asked), BLOCK_ROWS, BLOCK_BYTES)] or [of_block([])]
     best = reduce(DataFrame.unionByName, found).groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -293,6 +293,21 @@ def test_search_recall(spark):
     assert found[True] / (found[True] + found[False]) >= 0.9
 
 
+def test_cut_by_rows_and_bytes():
+    """Every row lies in one list, in order; a vector over the bytes is alone."""
+    rows = [(i, [0.0] * n) for i, n in enumerate([2, 2, 2, 9, 1, 1, 1, 1])]
+    assert [[i for i, _ in part] for part in ann.cut(iter(rows), 3, 40)] == [[0, 1], [2], [3], [4, 5, 6], [7]]
+    assert list(ann.cut(iter([]), 3, 40)) == []
+
+
+def test_search_in_many_blocks(spark, monkeypatch):
+    x = np.random.default_rng(6).normal(size=(30, 8))
+    t = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    whole = sorted(map(tuple, ann.search(t.where("vec_id % 5 = 0"), t, "vec_id", "embedding", k=4).collect()))
+    monkeypatch.setattr(ann, "BLOCK_BYTES", 130)  # two vectors
+    assert sorted(map(tuple, ann.search(t.where("vec_id % 5 = 0"), t, "vec_id", "embedding", k=4).collect())) == whole and len(whole) == 24
+
+
 def test_rotation_keeps_lengths():
     x = np.random.default_rng(0).normal(size=(5, 48))
     assert np.allclose(np.linalg.norm(ann.rotated(x, 1), axis=1), np.linalg.norm(x, axis=1), rtol=1e-5)
