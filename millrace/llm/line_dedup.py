@@ -1,6 +1,6 @@
 """Line dedup by distinct-site spread, in built-in functions only.
 
-Lines are known by a 64-bit hash. One HyperLogLog sketch of sites per line merges by partial aggregation; a line whose estimate is
+Lines are known by two 64-bit hashes. One HyperLogLog sketch of sites per line merges by partial aggregation; a line whose estimate is
 clear of the threshold is decided by it, one near the threshold by its exact number of distinct sites. A line on enough
 sites is boilerplate: only its first occurrence (least doc_id, then position) stays.
 """
@@ -18,6 +18,8 @@ MIN_SITES, MIN_CHARS, NEAR = 8, 20, 0.25
 LOG_REGISTERS = 11
 #: Tasks over which the occurrences of any one line are dealt in a join; the other side, a row a line, is repeated so often.
 SALTS = 16
+#: What a line is known by: with one hash alone, some of a trillion lines would be taken for each other.
+LINE = ["hash", "hash2"]
 
 
 def _key() -> list[Column]:
@@ -26,34 +28,34 @@ def _key() -> list[Column]:
 
 
 def lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """doc_id, text_hash, site, pos (from 0) and hash of every line of min_chars characters or more, blanks at its ends aside."""
+    """doc_id, text_hash, site, pos (from 0), hash and hash2 of every line of min_chars characters or more, blanks at its ends aside."""
     d = as_documents(docs, "doc_id", "text", "source").select(*_key(), F.col("source").alias("site"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
     d = d.withColumn("line", F.btrim("line", F.lit(" \t\r"))).where(F.length("line") >= min_chars)
-    return d.select("doc_id", "text_hash", "site", "pos", F.xxhash64("line").alias("hash"))
+    return d.select("doc_id", "text_hash", "site", "pos", F.xxhash64("line").alias("hash"), F.xxhash64(F.lit(1), "line").alias("hash2"))
 
 
 def _with(occurrences: DataFrame, of_lines: DataFrame) -> DataFrame:
     """Occurrences (with salt) with what is known of their lines: a common line's occurrences meet it in SALTS tasks, not in one."""
     salted = of_lines.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return occurrences.join(salted, ["hash", "salt"])
+    return occurrences.join(salted, [*LINE, "salt"])
 
 
 def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS) -> DataFrame:
-    """Occurrences (doc_id, text_hash, pos, hash) of lines on at least min_sites sites, and whether each is the first. A null site counts for none."""
+    """Occurrences (doc_id, text_hash, pos, hash, hash2) of lines on at least min_sites sites, and whether each is the first. A null site counts for none."""
     every = lines(docs, min_chars)
     estimate = F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LOG_REGISTERS)))
-    spread = every.groupBy("hash").agg(estimate.alias("sites")).where(F.col("sites") >= min_sites * (1 - NEAR))
+    spread = every.groupBy(*LINE).agg(estimate.alias("sites")).where(F.col("sites") >= min_sites * (1 - NEAR))
     spread = written(spread, "line-spread")
     salt = F.pmod(F.xxhash64("doc_id", "pos"), F.lit(SALTS)).cast("int")
     found = written(_with(every.withColumn("salt", salt), spread), "line-occurrences")
     near = found.where(F.col("sites") < min_sites * (1 + NEAR))
-    exact = near.groupBy("hash", "site").agg(F.lit(1).alias("one")).groupBy("hash").agg(F.count("site").alias("n")).where(F.col("n") >= min_sites)
+    exact = near.groupBy(*LINE, "site").agg(F.lit(1).alias("one")).groupBy(*LINE).agg(F.count("site").alias("n")).where(F.col("n") >= min_sites)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "text_hash", "pos")).alias("first")
-    firsts = found.groupBy("hash").agg(first, F.max("sites").alias("sites"))
+    firsts = found.groupBy(*LINE).agg(first, F.max("sites").alias("sites"))
     sure = firsts.where(F.col("sites") >= min_sites * (1 + NEAR))
-    chosen = sure.unionByName(firsts.join(exact.select("hash"), "hash", "left_semi")).select("hash", "first")
+    chosen = sure.unionByName(firsts.join(exact.select(*LINE), LINE, "left_semi")).select(*LINE, "first")
     is_first = F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.text_hash") == F.col("text_hash")) & (F.col("first.pos") == F.col("pos"))
-    return _with(found.drop("sites"), chosen).select("doc_id", "text_hash", "pos", "hash", is_first.alias("is_first"))
+    return _with(found.drop("sites"), chosen).select("doc_id", "text_hash", "pos", *LINE, is_first.alias("is_first"))
 
 
 def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS, lines_col: str = "__lines", removed_col: str = "__removed") -> DataFrame:
