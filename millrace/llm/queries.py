@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, decontaminate, licenses, line_dedup, ngram_join, token_files, toxicity, url_filter, warc
+from . import ann, bpe, decontaminate, licenses, line_dedup, marked_words, ngram_join, token_files, toxicity, url_filter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -101,6 +101,15 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(docs, path, public_tokenizers.PATTERN, _bpe_digests, "ids_sha256 string, decoded_sha256 string", with_ids=False)
 
 
+def _piece_digests(ids: list[int], decoded: str) -> tuple[str, str]:
+    return hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+
+
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, docs = public_tokenizers.path("piece_bpe_32k.model"), table(spark, sf_dir, "documents")
+    return marked_words.encode_documents(docs, path, derive=_piece_digests, schema="ids_sha256 string, decoded_sha256 string", with_ids=False)
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_line_dedup": op2_line_dedup,
@@ -112,6 +121,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_decontaminate": op9_decontaminate,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_sentencepiece": op11_sentencepiece,
 }
 
 #: Words of a text in DuckDB, A-Z lower-cased.

@@ -1,0 +1,96 @@
+"""SentencePiece by marked words against the library."""
+
+import hashlib
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+P = pytest.importorskip("public_tokenizers")
+
+from millrace.llm import common, marked_words, queries  # noqa: E402
+
+MODEL = P.path("piece_bpe_32k.model")
+SF = "/root/testdata/sf0.001"
+
+ODD = [
+    "", None, " ", "  ", "   a", "a ", "a  ", " \n ", "\n", "▁", "▁▁", "a▁b", "a ▁ b", "▁ ▁", "a▁", "<s>", "</s> x", "<0x0A>", "<unk>", "⁇", "é\x00b", "\t q", "a\r\n b", "�", "ﬁ Å Å", "日本語のテキスト 漢字",
+    "한국어 문장", "😀 👩‍👩‍👧", "　x y", "x" * 5000, "ab " * 3000, " " * 3000 + "z", "▁" * 100, "▀▁▂", " \U0010ffff",
+]
+
+
+def library(text, end=True):
+    s = marked_words.segmenter(MODEL).model
+    ids = s.encode(text or "", add_eos=end)
+    return ids, s.decode(ids)
+
+
+def test_odd_texts():
+    s = marked_words.Segmenter(MODEL)
+    assert s.by_words
+    assert s.encode(pa.array(ODD)) == [library(t, False)[0] for t in ODD]
+    assert s.encode(pa.array(ODD)) == [library(t, False)[0] for t in ODD]  # from the table
+    assert s.encode(pa.array(ODD)[5:9]) == [library(t, False)[0] for t in ODD[5:9]]
+    assert s.encode(pa.array([], pa.string())) == [] and s.encode(pa.array([None, ""], pa.string())) == [[], []]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from(list(" ▁\nabehtxyZ0é日▁▀�<>")), max_size=40) | st.text(max_size=20), max_size=6))
+def test_any_texts(texts):
+    assert marked_words.segmenter(MODEL).encode(pa.array(texts, pa.string())) == [library(t, False)[0] for t in texts]
+
+
+@pytest.mark.parametrize("bits", [2**64 - 1, 7])
+def test_table_is_bounded_and_compares_bytes(monkeypatch, bits):
+    whole = common.Spans.hashes
+    monkeypatch.setattr(common.Spans, "hashes", lambda self, a, b: whole(self, a, b) & np.uint64(bits))
+    s = marked_words.Segmenter(MODEL)
+    s.table.most, s.table.most_bytes = 50, 400
+    rng = random.Random(1)
+    for _ in range(40):
+        texts = [" ".join("".join(rng.choices("abcdef", k=rng.randint(1, 4))) for _ in range(rng.randint(0, 30))) for _ in range(5)]
+        assert s.encode(pa.array(texts)) == [library(t, False)[0] for t in texts]
+        assert s.table.slots <= 50 + 5 * 30
+    seen = []
+    s.table.forget()
+    s.table.most, s.table.most_bytes, encode = 1_000_000, 1 << 20, s.table.encode
+    s.table.encode = lambda words: seen.extend(words) or encode(words)
+    for _ in range(3):
+        s.encode(pa.array(["one two one", "two one one three"]))
+    if bits > 7:
+        assert sorted(seen) == [b" one", b" three", b" two"]  # each distinct marked word once
+
+
+def test_models_that_cross_words_go_to_the_library(monkeypatch):
+    assert [marked_words.crosses(x) for x in ("▁▁a", "▁", "a", "", "a▁", "▁a▁b")] == [False, False, False, False, True, True]
+    monkeypatch.setattr(marked_words, "crosses", lambda piece: True)
+    s = marked_words.Segmenter(MODEL)
+    assert not s.by_words and s.encode(pa.array(ODD)) == [library(t, False)[0] for t in ODD]
+
+
+def test_documents(spark):
+    rows = [(i, t, "x", 1) for i, t in enumerate(ODD)] + [(None, "null id", "y", 2), (3, "again", "z", 3), (3, "again", "z", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, token_ids string, n_tokens int")
+    want = sorted(((i, library(t)[0]) for i, t, *_ in rows), key=repr)
+    got = marked_words.encode_documents(docs, MODEL)
+    assert sorted(((r.doc_id, list(r.token_ids)) for r in got.collect()), key=repr) == want
+    back = marked_words.decode_documents(got, MODEL).collect()
+    assert sorted(((r.doc_id, r.decoded) for r in back), key=repr) == sorted(((i, library(t)[1]) for i, t, *_ in rows), key=repr)
+    open_ = marked_words.encode_documents(docs, MODEL, end_id=False).where("doc_id IS NULL").collect()
+    assert list(open_[0].token_ids) == library("null id", False)[0] and open_[0].n_tokens == len(open_[0].token_ids)
+    assert marked_words.encode_documents(docs.limit(0), MODEL).collect() == []
+    odd = spark.createDataFrame([(1, None), (2, []), (3, [None, 264])], "doc_id int, token_ids array<int>")
+    assert {r.doc_id: r.decoded for r in marked_words.decode_documents(odd, MODEL).collect()} == {1: "", 2: "", 3: "a"}
+
+
+def test_op11_columns(spark):
+    docs = {r.doc_id: r.text for r in queries.table(spark, SF, "documents").collect()}
+    got = queries.op11_sentencepiece(spark, SF).collect()
+    assert len(got) == len(docs) == len({r.doc_id for r in got})
+    for r in got:
+        ids, text = library(docs[r.doc_id])
+        sha = [hashlib.sha256(x.encode()).hexdigest() for x in (" ".join(map(str, ids)), text)]
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), *sha) and ids[-1] == 2
