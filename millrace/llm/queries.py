@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, decontaminate, licenses, line_dedup, marked_words, ngram_join, token_files, toxicity, url_filter, warc
+from . import ann, bpe, decontaminate, hard_negatives, licenses, line_dedup, marked_words, ngram_join, token_files, toxicity, url_filter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -110,6 +110,12 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked_words.encode_documents(docs, path, derive=_piece_digests, schema="ids_sha256 string, decoded_sha256 string", with_ids=False)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.mine(vectors.where("vec_id % 100 = 0"), vectors, "vec_id", "embedding", "label")
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_line_dedup": op2_line_dedup,
@@ -122,6 +128,7 @@ QUERIES = {
     "op9_decontaminate": op9_decontaminate,
     "op10_byte_bpe": op10_byte_bpe,
     "op11_sentencepiece": op11_sentencepiece,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 
 #: Words of a text in DuckDB, A-Z lower-cased.
@@ -184,5 +191,19 @@ n AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + k
 item AS (SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM hit GROUP BY 1)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN n USING (r) LEFT JOIN item USING (r)
+""",
+    "op12_hard_negatives": """
+WITH e AS (
+    SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT a.r AS a, a.vec_id AS anchor_id, a.vec_id = b.vec_id AS own, a.label = b.label AS same, b.r, b.vec_id, coalesce(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])), 0)::BIGINT AS score
+    FROM e a JOIN e b ON a.vec_id % 100 = 0 AND len(a.v) = len(b.v)
+), pos AS (SELECT a, r AS p, vec_id AS positive_id, score AS positive_score FROM s WHERE same AND NOT own QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id, r) <= 5),
+neg AS (
+    SELECT s.anchor_id, positive_id, row_number() OVER (PARTITION BY s.a, p ORDER BY score DESC, vec_id) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+    FROM s JOIN pos ON s.a = pos.a AND NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+)
+SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 5
 """,
 }
