@@ -174,16 +174,27 @@ def best_threshold(scores: np.ndarray, y: np.ndarray) -> float:
     return float(np.median(grid[f1 >= f1.max() - 1e-12]))
 
 
+def fitting(sizes: list[tuple[int, int]], most: int) -> list[int]:
+    """The keys of (key, size) that fit into `most` one after another, those that don't fit passed over; the smallest if none fits."""
+    out, left = [], most
+    for key, size in sizes:
+        if size <= left:
+            out.append(key)
+            left -= size
+    return out or [key for key, _ in sorted(sizes, key=lambda x: x[1])[:1]]
+
+
 def train(docs: DataFrame, labels: DataFrame, learn: str = "true", settings: Settings | None = None) -> Model:
     """Learns from at most settings.sample texts of either label among the documents where the SQL condition `learn` on doc_id holds.
 
-    The sample is the texts of least hash of doc_id: the same however the table is laid out. It ends where settings.sample_bytes are reached, so
-    that what the driver holds is bounded whatever the length of texts. A fifth of it sets the thresholds.
-    Null labels and ids are left out; of labels that disagree on a document the larger counts. Without both
-    classes every score is 0.5 or less.
+    The sample is the texts of least hash of doc_id: the same however the table is laid out. An id whose texts don't fit into what is left of settings.sample_bytes
+    is passed over, so that what the driver holds is bounded and no long text ends the sample; if none of a class fits, its shortest is learned from.
+    A fifth of it sets the thresholds. Null labels and ids, and labels without a document, are left out; of labels that disagree on a document the larger counts.
+    If one of the classes has no labelled document at all, nothing can be learned: every score is 0.5 or less.
     """
     s = settings or Settings()
     marks = as_documents(labels, "doc_id", "toxic").where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(learn).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    marks = marks.join(as_documents(docs, "doc_id"), "doc_id", "left_semi")
     chosen = None
     for c in (0, 1):
         part = marks.where(F.col("toxic") == c).select("doc_id", "toxic", F.xxhash64("doc_id").alias("order")).orderBy("order", "doc_id").limit(s.sample)
@@ -201,13 +212,9 @@ def train(docs: DataFrame, labels: DataFrame, learn: str = "true", settings: Set
     found = rows.mapInArrow(run, "order long, toxic int, lang string, a binary, b binary, size long")
     found = written(found, "labelled")
     sizes = sorted(tuple(r) for r in found.groupBy("toxic", "order").agg(F.sum("size")).collect())  # three numbers of each of the sample's texts
-    within = F.lit(False)
-    for c in (0, 1):
-        own = [(order, size) for toxic, order, size in sizes if toxic == c]
-        n = int(np.searchsorted(np.cumsum([size for _, size in own]), s.sample_bytes, "right"))
-        if n:
-            within |= (F.col("toxic") == c) & (F.col("order") <= own[n - 1][0])
-    got = sorted(found.where(within).select("order", "toxic", "lang", "a", "b").collect(), key=lambda r: (r[0], r[3]))
+    fit = [(c, order) for c in (0, 1) for order in fitting([(order, size) for toxic, order, size in sizes if toxic == c], s.sample_bytes)]
+    fit = F.broadcast(found.sparkSession.createDataFrame(fit, "toxic int, order long"))  # at most 2 * s.sample rows
+    got = sorted(found.join(fit, ["toxic", "order"]).select("order", "toxic", "lang", "a", "b").collect(), key=lambda r: (r[0], r[3]))
     model = Model.new(s)
     texts = [(np.frombuffer(r[3], np.int32), np.frombuffer(r[4], np.int32)) for r in got]
     y = np.array([r[1] for r in got], np.int64)

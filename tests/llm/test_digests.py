@@ -166,6 +166,27 @@ def test_sample_is_bounded_by_bytes(spark, monkeypatch):
     assert seen[0] == 160 and 0 < seen[1] <= 2 * 10_000 / mean * 1.3
 
 
+def test_fitting():
+    assert toxicity.fitting([(1, 50), (2, 5), (3, 6), (4, 5)], 10) == [2, 4]
+    assert toxicity.fitting([(1, 50), (2, 30)], 10) == [2] and toxicity.fitting([], 10) == []
+
+
+def test_long_labelled_texts_do_not_stop_learning(spark):
+    """Texts beyond sample_bytes, alone or added up over one id, are passed over; labels without a document take no places."""
+    rows, labels = toxic_rows(400)
+    s = toxicity.Settings(sample_bytes=100_000, steps=300)
+    first = {c: min((spark.range(1).select(F.xxhash64(F.lit(i).cast("long"))).first()[0], i) for i, _, t in labels if t == c)[1] for c in (0, 1)}
+    text = dict(rows)
+    for c, i in first.items():  # the least hash of each class
+        text[i] = (text[i] + " ") * (200_000 // len(text[i]) + 1)
+    long = [*text.items()] + [(rows[7][0], rows[7][1] * 20)] * 100
+    d, l = documents(spark, long), spark.createDataFrame([*labels, *((10**9 + i, 0, 1) for i in range(8000))], "doc_id long, quality int, toxic int")  # noqa: E741
+    model = toxicity.train(d, l, "true", s)
+    got = {r.doc_id: r.score for r in toxicity.score(documents(spark, rows), model).collect()}
+    right = np.mean([(got[i] >= 0.5) == (t == 1) for i, _, t in labels])
+    assert right > 0.95
+
+
 # --- names that clash, and graphs ------------------------------------------------------------------------------------------
 
 
