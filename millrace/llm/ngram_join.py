@@ -296,7 +296,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: float =
     """
     rows = written(signatures(docs, shingle, threshold), "signatures")
     keyed = rows.where("fp IS NOT NULL")
-    classes = keyed.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("n", "keys", "rests")))
+    # A class's text is fetched by id and hash: many rows may share an id, or have none.
+    text_hash = F.min_by("text_hash", F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash"))
+    classes = keyed.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), text_hash.alias("rep_hash"), F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("n", "keys", "rests")))
     classes = written(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
     groups = connected_components(candidates(classes), "candidates")
     members = groups.join(classes.withColumnRenamed("doc_id", "rep"), F.col("node") == F.col("id")).withColumnRenamed("component", "grp").drop("node")
@@ -319,15 +321,19 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: float =
 
 
 def _with_words(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """members with the words of one of their texts each, written; the texts come from docs by doc_id and are known by fingerprint."""
-    d = as_documents(docs, "doc_id", "text")
+    """members with the words of one of their texts each, written; the texts come from docs by doc_id and hash and are known by fingerprint."""
+    d = as_documents(docs, "doc_id", "text").withColumn("hash", F.xxhash64("text"))
     names = ["grp", "id", "copies", "n", "blocks", "block", "keys", "rests"]
     # A merge join at every size: members grow with the documents, so that a broadcast would fit small inputs only.
-    text = d.join(members.hint("merge"), F.col("doc_id").eqNullSafe(F.col("rep"))).select("text", "fp", *names)
+    text = d.join(members.hint("merge"), (F.col("hash") == F.col("rep_hash")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("text", "fp", *names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
         for batch in batches:
-            for part in slices(batch, "text", 1 << 20):
+            ids = batch.column("id").to_pylist()
+            again = [a == b for a, b in zip(ids, [last, *ids[:-1]], strict=True)]  # repeated rows come one after another
+            last = ids[-1] if ids else last
+            for part in slices(batch.filter(pa.array([not x for x in again], pa.bool_())), "text", 1 << 20):
                 words = Words(*text_buffers(part.column("text"))).joined()
                 keep = pa.array([i for i, (x, fp) in enumerate(zip(words, part.column("fp").to_pylist(), strict=True)) if fingerprint(x) == fp], pa.int64())
                 yield pa.RecordBatch.from_arrays([*(part.column(n).take(keep) for n in names), pa.array(words, pa.binary()).take(keep)], names=[*names, "words"])

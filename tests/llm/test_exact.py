@@ -184,3 +184,23 @@ def test_meetings(spark):
     rows = [(1, 0, [1, 2]), (1, 1, [2, 3]), (1, 2, [3]), (1, 3, [9]), (2, 0, [20]), (2, 1, [20])]
     got = ngram_join.meetings(spark.createDataFrame(rows, "grp long, block long, keys array<long>")).collect()
     assert sorted(map(tuple, got)) == [(1, 0, 0), (1, 0, 1), (1, 1, 1), (1, 1, 2), (1, 2, 2), (1, 3, 3), (2, 0, 0), (2, 0, 1), (2, 1, 1)]
+
+
+# --- many rows of one id --------------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("kind", ["null", "repeated"])
+def test_near_duplicates_with_many_rows_of_one_id(spark, kind, monkeypatch):
+    """Texts are fetched by id and hash: none is compared with the others of its id, and results are those of distinct ids."""
+    rng = random.Random(9)
+    base = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(30)) for _ in range(1000)]
+    texts = [t for b in base for t in (b, b + " more", b)] + [base[0]] * 1000
+    seen = []
+    whole = ngram_join.written
+    monkeypatch.setattr(ngram_join, "written", lambda df, name: (out := whole(df, name), seen.append(out.count()) if name == "member-words" else None)[0])
+    own = ngram_join.near_duplicates(documents(spark, list(enumerate(texts)))).select("text_hash", "n_links").collect()
+    one = None if kind == "null" else 7
+    got = ngram_join.near_duplicates(documents(spark, [(one, t) for t in texts]))
+    got = got.select("text_hash", "n_links", "class_id").collect()
+    assert sorted((r.text_hash, r.n_links) for r in got) == sorted(map(tuple, own)) and {r.class_id for r in got} == {one}
+    assert len(seen) == 2 and seen[0] == seen[1] == 2000  # a text of each class, once
