@@ -1,7 +1,7 @@
 """Approximate nearest neighbours by cross-polytope hashing.
 
 A pseudo-rotation (three rounds of random signs and a fast Hadamard transform) of a unit vector is hashed to its nearest signed axis. Each
-shard of vectors has its own tables; the stated queries, broadcast a block of bounded size at a time, probe in every table of every
+shard of vectors has its own tables; the stated queries meet the shards in blocks and probe in every table of a
 shard the axes nearest to them, best first over all tables. What they collect is ordered by the sum, over all tables, of the query's
 coordinate along the row's axis; the best share of that is ranked by exact distances of the original vectors. A shard gives
 each query its k best, so what is shuffled is k rows a query and shard.
@@ -10,19 +10,32 @@ each query its k best, so what is shuffled is k rows a query and shard.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_documents, written
+from .common import as_documents
+from .grid import meet, packed
+
+
+
+@dataclass(frozen=True)
+class Settings:
+    """Parameters of a search. Bounds of what is ranked: with probes and ranked at 1.0 every row is, and the search is exact."""
+
+    tables: int = 16
+    #: The share of the axes of all tables that a query probes.
+    probes: float = 0.05
+    #: The share of a shard, and the rows at least, that are ranked by exact distances.
+    ranked: float = 0.05
+    ranked_rows: int = 1000
+
 
-#: Tables, the share of the axes of all tables that a query probes, and the share of a shard, and the rows at least, that are ranked exactly.
-TABLES, PROBES, RANKED, RANKED_ROWS = 16, 0.05, 0.05, 1000
 #: Vectors of a shard and queries of a block, at most, and bytes of their doubles, so that neither grows with the dimension.
-SHARD_ROWS, SHARD_BYTES, BLOCK_ROWS, BLOCK_BYTES = 65_536, 64 << 20, 8_192, 8 << 20
+SHARD_ROWS, SHARD_BYTES, BLOCK_ROWS, BLOCK_BYTES = 32_768, 32 << 20, 8_192, 8 << 20
 #: Components of the queries that are probed at once.
 PROBED = 1 << 14
 
@@ -58,7 +71,8 @@ def signed_axes(x: np.ndarray) -> np.ndarray:
 class Shard:
     """Distinct vectors of a shard, each with the least k + 1 of its distinct ids, and their tables."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray, k: int):
+    def __init__(self, ids: np.ndarray, x: np.ndarray, k: int, settings: Settings | None = None):
+        self.settings = s = settings or Settings()
         order = np.argsort(ids, kind="stable")
         ids, x = ids[order], x[order]
         _, first, back = np.unique(np.ascontiguousarray(x).view(np.dtype((np.void, x.dtype.itemsize * x.shape[1]))).ravel(), return_index=True, return_inverse=True)
@@ -71,8 +85,8 @@ class Shard:
         self.ids = [ids[by[a : min(b, a + k + 1)]] for a, b in zip(begin[:-1], begin[1:], strict=True)]
         unit = self.x / np.linalg.norm(self.x, axis=1, keepdims=True)
         self.tables = []
-        self.axes = np.zeros((len(self.x), TABLES), np.int32)  # numbered over all tables
-        for t in range(TABLES):
+        self.axes = np.zeros((len(self.x), s.tables), np.int32)  # numbered over all tables
+        for t in range(s.tables):
             axis = signed_axes(rotated(unit, t))
             order = np.argsort(axis, kind="stable")
             width = 2 << max(0, (x.shape[1] - 1)).bit_length()
@@ -81,11 +95,12 @@ class Shard:
 
     def probe(self, q: np.ndarray) -> Iterator[np.ndarray]:
         """For each query the rows to rank: the best of those that share a probed axis in some table."""
+        s = self.settings
         unit = q / np.linalg.norm(q, axis=1, keepdims=True)
-        turned = [rotated(unit, t) for t in range(TABLES)]
+        turned = [rotated(unit, t) for t in range(s.tables)]
         scores = np.concatenate([np.concatenate([r, -r], axis=1) for r in turned], axis=1)
-        width = scores.shape[1] // TABLES
-        probes, most = max(1, round(PROBES * scores.shape[1])), max(RANKED_ROWS, round(RANKED * len(self.x)))
+        width = scores.shape[1] // s.tables
+        probes, most = max(1, round(s.probes * scores.shape[1])), max(s.ranked_rows, round(s.ranked * len(self.x)))
         best = np.argpartition(-scores, probes - 1, axis=1)[:, :probes]
         for score, row in zip(scores, best, strict=True):
             hit = np.zeros(len(self.x), bool)
@@ -131,63 +146,32 @@ def usable(table: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return t.where(F.col("id").isNotNull() & (F.size("v") > 0) & finite & F.exists("v", lambda c: c != 0))
 
 
-def _block(rows: list) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Ids and vectors by dimension: vectors of unlike dimensions have no distance."""
-    out: dict[int, tuple[list, list]] = {}
-    for i, v in rows:
-        ids, vs = out.setdefault(len(v), ([], []))
-        ids.append(i)
-        vs.append(v)
-    return {d: (np.array(ids, np.int64), np.array(vs, np.float64)) for d, (ids, vs) in out.items()}
-
-
-def cut(rows: Iterator[tuple], most: int, most_bytes: int) -> Iterator[list[tuple]]:
-    """Rows (id, vector) in consecutive lists of at most so many rows and bytes; a vector of more bytes is a list of its own."""
-    out, size = [], 0
-    for i, v in rows:
-        if out and (len(out) == most or size + 8 * len(v) > most_bytes):
-            yield out
-            out, size = [], 0
-        out.append((i, v))
-        size += 8 * len(v)
-    if out:
-        yield out
-
-
-def search(queries: DataFrame, table: DataFrame, id_col: str, vec_col: str, k: int = 10) -> DataFrame:
+def search(queries: DataFrame, table: DataFrame, id_col: str, vec_col: str, k: int = 10, settings: Settings | None = None) -> DataFrame:
     """query_id, rank (from 1), vec_id, score (Euclidean distance) of the k nearest found of each query, its own id left out; ties to smaller ids.
 
     Vectors null, zero or with null or non-finite components take no part. Queries with fewer than k candidates get them all. Repeated
-    ids count once, with the nearest of their vectors. Queries go through the table in blocks of at most BLOCK_ROWS and BLOCK_BYTES.
+    ids count once, with the nearest of their vectors. Vectors meet only queries of their dimension. Settings(probes=1.0, ranked=1.0) is exact.
     """
-    spark = table.sparkSession
-    vectors = usable(table, id_col, vec_col)
-
-    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        rows = ((i, np.asarray(v.values)) for batch in batches for i, v in zip(batch.column(0).to_pylist(), batch.column(1), strict=True))
-        yield from map(_block, cut(rows, SHARD_ROWS, SHARD_BYTES))
-
-    def of_block(rows: list) -> DataFrame:
-        """The k nearest in each shard of the queries of one block, written; the block's broadcast then ends."""
-        held = spark.sparkContext.broadcast(_block(rows))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for part in shards(batches):
-                for d, (q_ids, q) in held.value.items():
-                    ids, x = part.get(d, (np.zeros(0, np.int64), None))
-                    shard = Shard(ids, x, k) if len(ids) else None
-                    some = max(1, PROBED // d)
-                    for a in range(0, len(q_ids) if shard else 0, some):
-                        found = list(nearest(shard, q_ids[a : a + some], q[a : a + some], k))
-                        columns = list(zip(*found, strict=True)) or [()] * 3
-                        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64())], names=["query_id", "vec_id", "score"])
-
-        out = written(vectors.mapInArrow(run, "query_id long, vec_id long, score double"), "nearest")
-        held.destroy()
-        return out
-
-    asked = usable(queries, id_col, vec_col).toLocalIterator()
-    found = [of_block(rows) for rows in cut(((r[0], r[1]) for r in asked), BLOCK_ROWS, BLOCK_BYTES)] or [of_block([])]
-    best = reduce(DataFrame.unionByName, found).groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    vectors, asked = usable(table, id_col, vec_col), usable(queries, id_col, vec_col)
+    shards = packed(vectors, SHARD_ROWS, SHARD_BYTES, "vectors")
+    n = max(1, asked.count())
+    blocks = packed(asked.repartition(-(-n // BLOCK_ROWS), "id", "v"), BLOCK_ROWS, BLOCK_BYTES, "queries")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, shard = None, None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                (ids, x), (q_ids, q) = ((np.frombuffer(row[f"{p}_id"], np.int64), np.frombuffer(row[f"{p}_v"], np.float64).reshape(row[f"{p}_n"], -1)) for p in "sb")
+                if row["s_part"] != held:
+                    held, shard = row["s_part"], Shard(ids, x, k, settings)
+                some = max(1, PROBED // row["s_dim"])
+                for a in range(0, len(q_ids), some):
+                    found = list(nearest(shard, q_ids[a : a + some], q[a : a + some], k))
+                    columns = list(zip(*found, strict=True)) or [()] * 3
+                    yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64())], names=["query_id", "vec_id", "score"])
+
+    found = meet(shards, blocks).mapInArrow(run, "query_id long, vec_id long, score double")
+    best = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -293,11 +293,18 @@ def test_search_recall(spark):
     assert found[True] / (found[True] + found[False]) >= 0.9
 
 
-def test_cut_by_rows_and_bytes():
-    """Every row lies in one list, in order; a vector over the bytes is alone."""
-    rows = [(i, [0.0] * n) for i, n in enumerate([2, 2, 2, 9, 1, 1, 1, 1])]
-    assert [[i for i, _ in part] for part in ann.cut(iter(rows), 3, 40)] == [[0, 1], [2], [3], [4, 5, 6], [7]]
-    assert list(ann.cut(iter([]), 3, 40)) == []
+def test_search_can_be_exact(spark, monkeypatch):
+    monkeypatch.setattr(ann, "SHARD_ROWS", 700)
+    x = np.random.default_rng(8).normal(size=(3000, 16)).astype(np.float32)
+    t = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    asked = t.where("vec_id % 100 = 0")
+    got = ann.search(asked, t, "vec_id", "embedding", 10, ann.Settings(probes=1.0, ranked=1.0)).collect()
+    d = np.sqrt(((x[::100, None].astype(float) - x[None].astype(float)) ** 2).sum(-1))
+    truth = {100 * i: [int(j) for j in np.argsort(r, kind="stable") if j != 100 * i][:10] for i, r in enumerate(d)}
+    have = {q: [r.vec_id for r in sorted((r for r in got if r.query_id == q), key=lambda r: r["rank"])] for q in truth}
+    assert have == truth
+    few = ann.search(asked, t, "vec_id", "embedding", 10, ann.Settings(tables=2, probes=0.01, ranked=0.01, ranked_rows=20)).collect()
+    assert len(few) == 300 and {(r.query_id, r.vec_id) for r in few} != {(r.query_id, r.vec_id) for r in got}
 
 
 def test_search_in_many_blocks(spark, monkeypatch):
