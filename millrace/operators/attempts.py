@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -61,12 +62,14 @@ def fields_block(fields: tuple = EXTRACTION_FIELDS, indent: str = "") -> str:
     return "\n".join(out)
 
 
+#: Texts of the extraction prompt with the names of the values between them.
+_TASK = re.split(r"\{(\w+)\}", EXTRACTION_TASK.replace("{fields}", fields_block()))
+
+
 def extraction_prompt(university: Column, year: Column, handles: Column, body: Column) -> Column:
-    """The prompt for one page. The season is no part of it: it only judges the answer."""
-    out = F.lit(EXTRACTION_TASK.replace("{fields}", fields_block()))
-    for name, value in (("university", university), ("year", year.cast("string")), ("handles", F.array_join(handles, ", "))):
-        out = F.replace(out, F.lit(f"{{{name}}}"), F.coalesce(value, F.lit("")))
-    return F.concat(F.substring_index(out, "{body}", 1), F.coalesce(body, F.lit("")))
+    """The prompt for one page: the template's texts and the values one after another, so that marks within a value stay as they are. The season is no part of it: it only judges the answer."""
+    values = {"university": university, "year": year.cast("string"), "handles": F.array_join(handles, ", "), "body": body}
+    return F.concat(*(F.coalesce(values[x], F.lit("")) if k % 2 else F.lit(x) for k, x in enumerate(_TASK)))
 
 
 def discovery_prompt(university: Column, year: Column, season: Column) -> Column:

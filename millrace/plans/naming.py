@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -47,6 +48,14 @@ def extraction_prompts(spark, sf_dir):
     return asked(spark, sf_dir).select("o_orderkey", F.md5(prompt.cast("binary")).alias("prompt_md5"))
 
 
+def prompt_marks(spark, sf_dir):
+    """Prompts whose values are themselves marks of the template."""
+    p = F.col("p_partkey")
+    university = F.when(p % 3 == 0, "{body}{year}").when(p % 3 == 1, F.concat(F.lit("{handles}"), "p_name")).otherwise(F.col("p_name"))
+    prompt = attempts.extraction_prompt(university, F.lit(2026), F.array(F.lit("{university}"), F.lit("{body}")), F.concat("p_name", F.lit("{fields}{year}")))
+    return table(spark, sf_dir, "part").select("p_partkey", F.length(prompt).cast("long").alias("n_chars"), F.md5(prompt.cast("binary")).alias("prompt_md5"))
+
+
 def attempt_flags(spark, sf_dir):
     k = F.col("o_orderkey")
     status = F.when(k % 11 == 0, "fetch_failed").when(k % 11 == 1, "empty_body").otherwise("ok")
@@ -113,7 +122,7 @@ def mapping_scan(spark, sf_dir):
     return mapping.mapping_frame(spark, mapping.load_mapping(path))
 
 
-QUERIES = {f.__name__: f for f in (stripped_text, discovery_prompts, extraction_prompts, attempt_flags, collected_names, collected_split_names, canonical_names, refreshed_lineup, legacy_artists, seed_scan, mapping_scan)}
+QUERIES = {f.__name__: f for f in (stripped_text, discovery_prompts, extraction_prompts, prompt_marks, attempt_flags, collected_names, collected_split_names, canonical_names, refreshed_lineup, legacy_artists, seed_scan, mapping_scan)}
 
 
 def _text(s: str) -> str:
@@ -123,6 +132,8 @@ def _text(s: str) -> str:
 
 _HEAD = attempts.EXTRACTION_TASK.replace("{fields}", attempts.fields_block()).removesuffix("{body}")
 
+_PARTS = re.split(r"\{\w+\}", _HEAD)
+
 ORACLES = {
     "stripped_text": "SELECT p_partkey, CASE WHEN p_partkey % 7 <> 0 THEN p_name ELSE '' END AS stripped, CASE WHEN p_partkey % 7 <> 0 THEN p_name END AS or_null FROM part",
     "discovery_prompts": f"""
@@ -131,6 +142,10 @@ WITH {ASKED} SELECT o_orderkey, '''' || university || '''의 ' || asked_year ||
     "extraction_prompts": f"""
 WITH {ASKED} SELECT o_orderkey, md5(replace(replace(replace({_text(_HEAD)}, '{{university}}', university), '{{year}}', asked_year::VARCHAR), '{{handles}}', 'a, ' || day)
     || CASE WHEN o_orderkey % 5 <> 0 THEN '{{year}} {{body}} ' || name ELSE '' END) AS prompt_md5 FROM a""",
+    "prompt_marks": f"""
+WITH p AS (SELECT p_partkey, {_text(_PARTS[0])} || CASE p_partkey % 3 WHEN 0 THEN '{{body}}{{year}}' WHEN 1 THEN '{{handles}}' || p_name ELSE p_name END || {_text(_PARTS[1])} || '2026' || {_text(_PARTS[2])}
+    || '{{university}}, {{body}}' || {_text(_PARTS[3])} || p_name || '{{fields}}{{year}}' AS prompt FROM part)
+SELECT p_partkey, length(prompt) AS n_chars, md5(prompt) AS prompt_md5 FROM p""",
     "attempt_flags": f"""
 WITH {ASKED} SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN 'fetch_failed' WHEN o_orderkey % 11 = 1 THEN 'empty_body' WHEN o_orderkey % 13 = 0 THEN 'extract_failed'
     WHEN found AND name <> '' AND (contains(university, name) OR contains(name, university)) AND (year IS NULL OR year = asked_year) AND season_ok THEN 'ok' ELSE 'mismatch' END AS flag,

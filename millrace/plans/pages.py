@@ -129,6 +129,15 @@ def sitemap_match(spark, sf_dir):
     return sitemap.sitemap_candidates(seed, entries).select("seed_pos", "url", F.col("rank").cast("long").alias("rank"))
 
 
+def sitemap_match_many(spark, sf_dir):
+    """All customers as asked names, each with a year; entries are made from orders, whose addresses hold the name and the year of the order."""
+    o, c = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    seed = c.select(F.col("c_custkey").cast("int").alias("seed_pos"), F.concat("c_name", F.lit("/")).alias("university"), (F.lit(1992) + F.col("c_custkey") % 7).cast("int").alias("year"))
+    url = F.concat(F.lit("https://maps.example/entry/"), "c_name", F.lit("/"), F.year("o_orderdate"), F.lit("-"), F.lower("o_orderpriority"))
+    entries = o.join(c, F.col("o_custkey") == F.col("c_custkey")).select(url.alias("url"), F.lit(0).alias("source_pos"), F.col("o_orderkey").alias("loc_pos"))
+    return sitemap.sitemap_candidates(seed, entries, candidates.MOST).select("seed_pos", "url", F.col("rank").cast("long").alias("rank"))
+
+
 def by_host(spark, sf_dir):
     """Candidates per host with a flag made from page_id."""
     p = pages(spark, sf_dir).select(urls.host(F.col("url")).alias("host"), "page_id", "url")
@@ -164,7 +173,7 @@ def waterfall(spark, sf_dir):
     return candidates.waterfall(p, attempts, search)
 
 
-QUERIES = {f.__name__: f for f in (page_body, page_flag_counts, page_host, blocked_pages, page_links_top5, host_rewrite, safe_urls, html_escapes, og_image, body_images, handles, published_date_priority, html_parse_udf, sitemap_locs, sitemap_match, candidates_top3, first_ok_candidate, waterfall)}
+QUERIES = {f.__name__: f for f in (page_body, page_flag_counts, page_host, blocked_pages, page_links_top5, host_rewrite, safe_urls, html_escapes, og_image, body_images, handles, published_date_priority, html_parse_udf, sitemap_locs, sitemap_match, sitemap_match_many, candidates_top3, first_ok_candidate, waterfall)}
 
 ORACLES = {
     "page_body": BODY + "SELECT page_id, CASE WHEN length(t) >= 100 THEN md5(left(t, 8000)) END AS body_md5, CASE WHEN length(t) >= 100 THEN length(left(t, 8000)) END AS n_chars FROM body",
@@ -199,6 +208,10 @@ FROM pages""",
 WITH a(seed_pos, u, y) AS (VALUES (0, '/en/', '7'), (1, '/fr/', '1'), (2, '/de/', '25'), (3, '/es/', '3'), (4, '/xx/', '1'))
 SELECT seed_pos, url, row_number() OVER (PARTITION BY seed_pos ORDER BY page_id) AS rank
 FROM pages JOIN a ON contains(url, u) AND contains(url, y) WHERE NOT regexp_matches(regexp_extract(lower(url), '^[a-z]+://([^/?#]*)', 1), '(^|\\.)example\\.org$')""",
+    "sitemap_match_many": """
+WITH e AS (SELECT 'https://maps.example/entry/' || c_name || '/' || year(o_orderdate) || '-' || lower(o_orderpriority) AS url, o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey),
+m AS (SELECT c_custkey::INTEGER AS seed_pos, url, row_number() OVER (PARTITION BY c_custkey ORDER BY o_orderkey) AS rank FROM e JOIN customer ON contains(url, c_name || '/') AND contains(url, (1992 + c_custkey % 7)::VARCHAR))
+SELECT seed_pos, url, rank FROM m WHERE rank <= 3""",
     "candidates_top3": f"WITH {RANKED} SELECT host, page_id, rank FROM ranked WHERE rank <= 3",
     "first_ok_candidate": f"WITH {RANKED} SELECT host, min(page_id) AS page_id, min(rank) AS rank FROM ranked WHERE rank <= 3 AND flag = 'ok' GROUP BY host",
     "waterfall": """

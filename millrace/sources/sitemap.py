@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import percent_decode, strip
 from millrace.functions.urls import is_blocked
+from millrace.operators.containment import containing
 
 
 # The sitemaps that are read, in the order of their candidates.
@@ -44,15 +45,16 @@ def sitemap_entries(sitemaps: DataFrame) -> DataFrame:
     return found.select("source_pos", "loc_pos", percent_decode(strip(F.col("loc"))).alias("url")).where(F.contains("url", F.lit("/entry/")))
 
 
-def sitemap_candidates(seed: DataFrame, entries: DataFrame) -> DataFrame:
+def sitemap_candidates(seed: DataFrame, entries: DataFrame, most: int | None = None) -> DataFrame:
     """seed_pos, url and rank (from 1, in sitemap order) of entries whose address holds the university's name and the year, blocked hosts aside.
 
-    A join on containment has no keys: the entries are compared with the few seed rows of one year. Spark broadcasts
-    the seed by its size; the entries stay partitioned.
+    Names are looked up in an index of the addresses' characters (`containing`), whatever their number. most: only so many of each seed row.
+    A seed row without a name has no candidates.
     """
     s = seed.select("seed_pos", "university", F.col("year").cast("string").alias("year"))
-    hit = entries.where(~is_blocked(F.col("url"))).join(s, F.contains("url", F.col("university")) & F.contains("url", F.col("year")))
-    return ranked(hit, "seed_pos", "source_pos", "loc_pos").select("seed_pos", "url", "rank")
+    hit = containing(entries.where(~is_blocked(F.col("url"))), s, "url", "university").where(F.contains("url", F.col("year")))
+    got = ranked(hit, "seed_pos", "source_pos", "loc_pos").select("seed_pos", "url", "rank")
+    return got.where(F.col("rank") <= most) if most else got
 
 
 def ranked(df: DataFrame, key: str, *order: str) -> DataFrame:
