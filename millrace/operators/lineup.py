@@ -36,11 +36,11 @@ def canonical(rows: DataFrame, mapping: DataFrame, name: str = "name", secret: s
     return got.withColumn("artist_canonical", F.when(F.col(secret), "").otherwise(F.coalesce("__canonical", name))).drop("__raw", "__canonical")
 
 
-def build_lineup(records: DataFrame, mapping: DataFrame, key: str = "rec_id") -> DataFrame:
-    """The lineup table (import_key, day, order, artist_raw, artist_canonical, revealed) with the positions that order it for export."""
+def build_lineup(records: DataFrame, mapping: DataFrame, key: str = "rec_id", *keep: str) -> DataFrame:
+    """The lineup table (import_key, day, order, artist_raw, artist_canonical, revealed) with the positions that order it for export, and the record's columns to keep."""
     keyed = records.withColumn("import_key", import_key(F.col("university"), F.col("campus"), F.col("year"), festival_month(F.col("extraction.start_date"))))
     rows = canonical(numbered(exploded(keyed, key), key), mapping)
-    return rows.select("import_key", "day", "order", F.col("name").alias("artist_raw"), "artist_canonical", (~F.col("is_secret")).alias("revealed"), key, "item_pos", "split_pos")
+    return rows.select("import_key", "day", "order", F.col("name").alias("artist_raw"), "artist_canonical", (~F.col("is_secret")).alias("revealed"), key, "item_pos", "split_pos", *keep)
 
 
 def refreshed(lineup: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -17,6 +17,16 @@ from millrace.schemas import EXTRACTION, GENRES, struct
 from millrace.sources import mapping, seed
 
 
+def shared_path(spark) -> str:
+    """A new path under spark.checkpoint.dir, for Spark's writers; only a local session may do without that setting."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="millrace-")
+    return f"{root.rstrip('/')}/millrace/{uuid.uuid4().hex}"
+
+
 def shared_folder(spark) -> str:
     """A new folder that the driver and all executors see: under spark.checkpoint.dir, which only a local session may lack."""
     root = spark.conf.get("spark.checkpoint.dir", None)

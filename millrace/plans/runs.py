@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators import crawl
+from millrace.functions import text
+from millrace.operators import crawl, ledger
+from millrace.plans.naming import shared_path
 from millrace.plans.pages import table
 
 # Customers as seed rows, many of a slug and year; suppliers as known searches and cached records, each slug and year once.
@@ -53,6 +55,29 @@ def search_store(spark, sf_dir):
     return crawl.stored_searches(known_searches(spark, sf_dir), found).select("slug", "year", F.array_join("candidates", "|").alias("candidates"))
 
 
+class Scripted:
+    """Recorded answers that stand in the prompt itself: after FIRST for the first call, after SECOND once an error is under it."""
+
+    def __call__(self, prompt: str) -> str:
+        asked, _, errors = prompt.partition("\n\n")
+        first, _, second = asked.partition("FIRST")[2].partition("SECOND")
+        return second if errors else first
+
+
+def paid_answers(spark, sf_dir):
+    """Orders as prompts whose first or both answers are broken in part, a third of them equal to others; asked for in two runs over one ledger."""
+    k = F.col("o_orderkey") - F.when(F.col("o_orderkey") % 3 == 0, 1).otherwise(0)
+    good = F.concat(F.lit('{"found": true, "university_name": "U'), (k % 9).cast("string"), F.lit('"}'))
+    bad = F.lit('{"found": "perhaps"}')
+    prompt = F.concat(F.lit("page "), k.cast("string"), F.lit(" FIRST"), F.when(k % 4 == 0, bad).otherwise(good), F.lit(" SECOND"), F.when(k % 8 == 0, bad).otherwise(good))
+    asked = table(spark, sf_dir, "orders").select("o_orderkey", prompt.alias("prompt"))
+    path = f"{shared_path(spark)}/ledger"
+    for part in (asked.where("o_orderkey % 2 = 0"), asked):
+        ledger.ask_all(part, Scripted(), path, per_task=5000)
+    got = ledger.answers(asked, path)
+    return got.select("o_orderkey", F.col("tries").cast("long").alias("tries"), F.get_json_object(text.json_slice(F.col("answer")), "$.university_name").alias("name"), F.col("error").isNotNull().alias("failed"))
+
+
 def made_state(spark, sf_dir):
     """The state of leaders, with flags made from their place in the seed."""
     k = F.col("seed_pos")
@@ -73,7 +98,7 @@ def shared_states(spark, sf_dir):
 
 STATE = """t AS (SELECT *, CASE seed_pos % 5 WHEN 0 THEN 'fetch_failed' WHEN 1 THEN 'mismatch' WHEN 2 THEN 'extract_failed' ELSE 'ok' END AS flag FROM l WHERE seed_pos = leader)"""
 
-QUERIES = {f.__name__: f for f in (request_leaders, search_requests, search_candidate_rows, search_store, record_store, shared_states)}
+QUERIES = {f.__name__: f for f in (request_leaders, search_requests, search_candidate_rows, search_store, paid_answers, record_store, shared_states)}
 
 ORACLES = {
     "request_leaders": f"WITH {SEED} SELECT seed_pos, slug, leader FROM l",
@@ -82,6 +107,9 @@ ORACLES = {
     "search_store": f"""
 WITH {SEED}, {KNOWN}, n AS (SELECT DISTINCT slug, year FROM s WHERE year < 2022 AND length(slug) % 4 <> 0)
 SELECT slug, year, array_to_string(candidates, '|') AS candidates FROM k UNION ALL SELECT slug, year, 'new' FROM n WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.slug = n.slug AND k.year = n.year)""",
+    "paid_answers": """
+WITH k AS (SELECT o_orderkey, o_orderkey - CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS k FROM orders)
+SELECT o_orderkey, CASE WHEN k % 4 = 0 THEN 2 ELSE 1 END::BIGINT AS tries, CASE WHEN k % 8 <> 0 THEN 'U' || (k % 9) END AS name, k % 8 = 0 AS failed FROM k""",
     "record_store": f"""
 WITH {SEED}, {KNOWN}, {STATE}, f AS (SELECT slug, year, max(seed_pos) AS p FROM t WHERE flag NOT IN ('fetch_failed', 'extract_failed') AND seed_pos % 7 <> 0 AND seed_pos % 11 <> 0 AND seed_pos % 13 <> 0 GROUP BY 1, 2)
 SELECT slug, year, campus, seed_pos::VARCHAR AS latitude, flag FROM t JOIN f USING (slug, year) WHERE p = seed_pos

@@ -10,6 +10,7 @@ import shutil
 import uuid
 from collections.abc import Iterator
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +56,16 @@ def export_csv(df: DataFrame, path: str, columns: list[str], order: list[str]) -
     replace_file(path, lines())
 
 
+def read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A table of Parquet files, empty where nothing was written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def read_store(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A stored table, empty if there is none. What an interrupted replacement has left is put right first."""
     if not os.path.isdir(path) and os.path.isdir(f"{path}.old"):

@@ -1,0 +1,97 @@
+"""Paid requests: each is paid for once, also over lost tasks and runs."""
+
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.operators import ledger
+from millrace.sources.provider import ProviderError
+
+GOOD = json.dumps({"found": True, "university_name": "U"})
+
+
+class Paid:
+    """Notes each call in a file. Prompts say what comes: `bad` has to be asked twice, `never` is never valid, `down` fails while a file is there, `kill` ends the worker while it is."""
+
+    def __init__(self, folder):
+        self.log, self.off = os.path.join(folder, "calls.txt"), os.path.join(folder, "off")
+
+    def __call__(self, prompt):
+        name = prompt.split()[0]
+        if os.path.exists(self.off):
+            if "down" in name:
+                raise ProviderError("down")
+            if "kill" in name:
+                os._exit(3)
+        with open(self.log, "a") as f:
+            f.write(json.dumps(prompt) + "\n")
+        if "never" in name or ("bad" in name and "\n\n" not in prompt):
+            return '{"found": "perhaps"}'
+        return f"```{GOOD}```"
+
+    def calls(self):
+        return [json.loads(x) for x in open(self.log)] if os.path.exists(self.log) else []
+
+
+def prompts_of(spark, names):
+    return spark.createDataFrame([(i, n) for i, n in enumerate(names)], "id int, prompt string")
+
+
+def test_each_request_is_paid_once(spark, tmp_path):
+    paid, path = Paid(str(tmp_path)), str(tmp_path / "ledger")
+    names = [f"{kind} {i}" for i in range(10) for kind in ("good", "bad", "never")] + ["good 1", "good 1", None]
+    asked = prompts_of(spark, names)
+    assert ledger.ask_all(asked, paid, path) == 10 + 20 + 20
+    calls = paid.calls()
+    assert len(calls) == 50 and len(set(calls)) == 50
+    second = [c for c in calls if "\n\n" in c]
+    assert len(second) == 20 and all("found" in c.split("\n\n")[1] for c in second)  # what was wrong stands under the prompt
+    assert ledger.ask_all(asked, paid, path) == 0 and len(paid.calls()) == 50
+    assert ledger.ask_all(prompts_of(spark, ["good 3", "good 99"]), paid, path) == 1 and len(paid.calls()) == 51
+    got = {r.id: r for r in ledger.answers(asked, path).collect()}
+    assert len(got) == len(names)
+    for i, name in enumerate(names):
+        want = {"good": (1, True, False), "bad": (2, True, False), "never": (2, False, True)}.get((name or "").split(" ")[0], (0, False, False))
+        assert (got[i].tries, got[i].answer is not None, got[i].error is not None) == want
+    assert ledger.ask_all(asked.limit(0), paid, path) == 0 and ledger.ask_all(prompts_of(spark, ["x"]).limit(0), paid, str(tmp_path / "none")) == 0
+
+
+def test_failed_calls_are_asked_again(spark, tmp_path):
+    paid, path = Paid(str(tmp_path)), str(tmp_path / "ledger")
+    open(paid.off, "w").close()
+    asked = prompts_of(spark, ["good 1", "down 2", "down-bad 3"])
+    assert ledger.ask_all(asked, paid, path) == 1
+    assert [r.tries for r in ledger.answers(asked, path).orderBy("id").collect()] == [1, 0, 0]
+    os.remove(paid.off)
+    assert ledger.ask_all(asked, paid, path) == 3
+    assert [(r.tries, r.answer is not None) for r in ledger.answers(asked, path).orderBy("id").collect()] == [(1, True), (1, True), (2, True)]
+
+
+def test_a_lost_worker_loses_its_own_requests_only(spark, tmp_path):
+    paid, path = Paid(str(tmp_path)), str(tmp_path / "ledger")
+    names = [f"good {i}" for i in range(40)] + ["kill 40"]
+    asked = prompts_of(spark, names)
+    open(paid.off, "w").close()
+    with pytest.raises(Exception):  # noqa: B017
+        ledger.ask_all(asked, paid, path, per_task=1)
+    kept = {r.request for r in ledger.read_ledger(spark, path).collect()}
+    first = paid.calls()
+    assert 0 < len(kept) <= len(first) <= len(kept) + 8  # in hand: a request for each running task
+    os.remove(paid.off)
+    assert ledger.ask_all(asked, paid, path, per_task=1) == len(names) - len(kept)
+    assert len(paid.calls()) == len(first) + len(names) - len(kept)
+    assert ledger.answers(asked, path).where("answer IS NULL").count() == 0
+
+
+def test_double_answers_count_once(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    rows = spark.createDataFrame([("a", 1, "y", None), ("a", 1, "x", "bad"), ("a", 2, GOOD, None)], ledger.LEDGER)
+    rows.write.parquet(path)
+    assert sorted((r.request, r["try"], r.answer) for r in ledger.read_ledger(spark, path).collect()) == [("a", 1, "x"), ("a", 2, GOOD)]
+
+
+def test_prompts_are_known_by_their_bytes(spark):
+    got = prompts_of(spark, ["a", "a ", "b", None]).select(ledger.request_of(F.col("prompt")).alias("r")).collect()
+    assert len({r.r for r in got}) == 4 and got[3].r is None
