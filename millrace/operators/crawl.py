@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import shutil
 import uuid
 from collections.abc import Callable
 
@@ -19,11 +18,12 @@ from millrace.operators.candidates import MANUAL, SEARCH, SITEMAP, first_ok, liv
 from millrace.operators.festivals import build_festivals
 from millrace.operators.lineup import build_lineup
 from millrace.schemas import FESTIVAL_COLUMNS, LINEUP_COLUMNS, RECORD, SCHEMA_VERSION, SEARCHES
+from millrace.sources.files import Files
 from millrace.sources.mapping import load_mapping, mapping_frame
 from millrace.sources.provider import Provider, ProviderError, parse_answer
 from millrace.sources.seed import load_seed
 from millrace.sources.sitemap import sitemap_candidates, sitemap_entries
-from millrace.sources.tables import export_csv, read_store, replace_store
+from millrace.sources.tables import export_csv, read_store, update_store
 from millrace.sources.web import fetch_pages, http_get
 
 
@@ -61,17 +61,27 @@ def shared(rows: DataFrame, state: DataFrame) -> DataFrame:
     return got.select("seed_pos", *(F.col(f"__{c}").alias(c) if c in SEED_COLUMNS else F.col(c) for c in state.columns if c != "seed_pos"))
 
 
+def fresh_records(state: DataFrame, names: list[str]) -> DataFrame:
+    """Of each slug and year the last row (by seed_pos) that may be cached and wasn't a hit."""
+    rows = to_write(state).where("NOT hit").select("seed_pos", *names)
+    return rows.groupBy("slug", "year").agg(F.max_by(F.struct(*names), "seed_pos").alias("r")).select("r.*")
+
+
+def fresh_searches(known: DataFrame, found: DataFrame) -> DataFrame:
+    """Searches to keep: one a slug and year that isn't known; failed ones (null candidates) aren't kept."""
+    return found.join(known.select("slug", "year"), ["slug", "year"], "left_anti").where("candidates IS NOT NULL").dropDuplicates(["slug", "year"])
+
+
 def stored_records(state: DataFrame, cached: DataFrame) -> DataFrame:
-    """The record table after a run: of each slug and year the last row (by seed_pos) that may be cached and wasn't a hit, else the cached record."""
+    """The record table after a run: fresh records, and the cached ones of other slugs and years."""
     names = cached.columns
-    rows = to_write(state).where("NOT hit").select("seed_pos", *names)
-    fresh = rows.groupBy("slug", "year").agg(F.max_by(F.struct(*names), "seed_pos").alias("r")).select("r.*")
+    fresh = fresh_records(state, names)
     return cached.join(fresh.select("slug", "year"), ["slug", "year"], "left_anti").select(*names).unionByName(fresh)
 
 
 def stored_searches(known: DataFrame, found: DataFrame) -> DataFrame:
     """The table of searches after a run: one a slug and year, known ones first; failed ones (null candidates) aren't kept."""
-    return known.unionByName(found.join(known.select("slug", "year"), ["slug", "year"], "left_anti")).where("candidates IS NOT NULL").dropDuplicates(["slug", "year"])
+    return known.where("candidates IS NOT NULL").dropDuplicates(["slug", "year"]).unionByName(fresh_searches(known, found))
 
 
 def sitemap_as_candidates(found: DataFrame) -> DataFrame:
@@ -102,6 +112,10 @@ def records(seed: DataFrame, attempts: DataFrame, search: DataFrame, cached: Dat
     return out.select("seed_pos", "answered", "hit", "restored", "r.*")
 
 
+#: What a stored record or search is known by.
+STORE_KEYS = ("slug", "year")
+
+
 class OldLayout(RuntimeError):
     """The base folder holds files of an older layout, which a run would mix with its own."""
 
@@ -143,27 +157,28 @@ def run(spark: SparkSession, base: str, year: int, provider: Provider, get: Call
     are one request, whose record they share. Cached records answer for their rows; of the rest each round asks only what is unresolved and is written before it is used. Searches are
     kept unless they failed. Records, searches and attempts are Parquet under base; the two CSV files are written at the end.
     """
+    files = Files(spark)
     for old in ("raw", "festivals.csv"):
-        if os.path.exists(os.path.join(base, old)):
-            raise OldLayout(f"{base} holds {old} of an older layout; move what is of one year to {os.path.join(base, str(year))} first")
+        if files.exists(f"{base}/{old}"):
+            raise OldLayout(f"{base} holds {old} of an older layout; move what is of one year to {base}/{year} first")
     seed = load_seed(spark, seed_dir or base, year, limit)
     names = mapping_frame(spark, load_mapping(os.path.join(base, "artist_mapping.json")))
-    staging = os.path.join(base, ".staging", uuid.uuid4().hex)
+    staging = f"{base}/.staging-{uuid.uuid4().hex}"  # beside the tables, where all executors write
     count = iter(range(1_000_000))
 
     def kept(df: DataFrame) -> DataFrame:
-        path = os.path.join(staging, str(next(count)))
+        path = f"{staging}/{next(count)}"
         df.write.parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
     try:
         return _run(spark, base, year, provider, search or provider, get, sitemaps, kept(slugged(seed)), names, kept)
     finally:
-        shutil.rmtree(staging, ignore_errors=True)
+        files.remove(staging)
 
 
 def _run(spark, base, year, provider, search, get, sitemaps, rows, names, kept) -> dict[str, int]:
-    record_path, search_path = os.path.join(base, "records"), os.path.join(base, "discovered")
+    record_path, search_path = f"{base}/records", f"{base}/discovered"
     cached = kept(read_store(spark, record_path, RECORD).dropDuplicates(["slug", "year"]))
     known = kept(read_store(spark, search_path, SEARCHES).dropDuplicates(["slug", "year"]))
     seed = rows.where("seed_pos = leader")
@@ -185,19 +200,20 @@ def _run(spark, base, year, provider, search, get, sitemaps, rows, names, kept)
     state = kept(shared(rows, own))
     if (n := state.count()) != (wanted := rows.count()):
         raise RuntimeError(f"{n} records for {wanted} seed rows")
-    replace_store(stored_records(own, cached), record_path)
-    replace_store(stored_searches(known, new["searches"]), search_path)
+    update_store(spark, record_path, RECORD, STORE_KEYS, fresh_records(own, cached.columns))
+    update_store(spark, search_path, SEARCHES, STORE_KEYS, fresh_searches(known, new["searches"]))
 
-    out = os.path.join(base, str(year))
+    out = f"{base}/{year}"
     rows = state.withColumn("rec_id", F.col("seed_pos"))
-    export_csv(build_festivals(rows, "rec_id"), os.path.join(out, "festivals.csv"), FESTIVAL_COLUMNS, ["rec_id"])
-    export_csv(build_lineup(rows, names).withColumn("revealed", F.col("revealed").cast("string")), os.path.join(out, "lineup.csv"), LINEUP_COLUMNS, ["rec_id", "item_pos", "split_pos"])
+    export_csv(build_festivals(rows, "rec_id"), f"{out}/festivals.csv", FESTIVAL_COLUMNS, ["rec_id"])
+    export_csv(build_lineup(rows, names).withColumn("revealed", F.col("revealed").cast("string")), f"{out}/lineup.csv", LINEUP_COLUMNS, ["rec_id", "item_pos", "split_pos"])
     return {r[0]: r[1] for r in state.groupBy("flag").count().collect()}
 
 
 def clear_cache(spark: SparkSession, base: str, year: int, slug: str, rediscover: bool = False) -> None:
     """Takes a slug's record of a year, and with rediscover its search, out of the stores; the same again changes nothing."""
+    key = spark.createDataFrame([(slug, year)], "slug string, year int")
     for name, schema in (("records", RECORD), ("discovered", SEARCHES))[: 1 + rediscover]:
-        path = os.path.join(base, name)
-        if os.path.isdir(path):
-            replace_store(read_store(spark, path, schema).where(~(F.col("slug").eqNullSafe(F.lit(slug)) & (F.col("year") == year))), path)
+        path = f"{base}/{name}"
+        if Files(spark).exists(path):
+            update_store(spark, path, schema, STORE_KEYS, gone=key)

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions import judge, keys, text
+from millrace.functions.strict_json import strict_json
 from millrace.operators import attempts, cache, festivals, lineup
 from millrace.plans.pages import table
 from millrace.schemas import EXTRACTION
-from millrace.sources import provider, seed
+from millrace.sources import seed
 
 
 def json_slice(spark, sf_dir):
@@ -29,7 +30,7 @@ def answers(spark, sf_dir):
 
 
 def json_strict(spark, sf_dir):
-    got = answers(spark, sf_dir).select("o_orderkey", provider.strict_json(F.col("raw")).alias("a"))
+    got = answers(spark, sf_dir).select("o_orderkey", strict_json(F.col("raw")).alias("a"))
     return got.select("o_orderkey", F.col("a.value.university_name").alias("name"), F.col("a.value.year").cast("long").alias("year"), F.coalesce(F.array_size("a.value.lineup"), F.lit(0)).cast("long").alias("n"), F.col("a.error").isNull().alias("valid"))
 
 

@@ -11,11 +11,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import cache
 
-import pandas as pd
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from millrace.schemas import DOMAINS, EXTRACTION, EXTRACTION_FIELDS, GENRES, REQUIRED_FIELDS
+from millrace.schemas import DOMAINS, EXTRACTION_FIELDS, GENRES, REQUIRED_FIELDS
 
 
 #: Seconds that a search may take, and a naming run's call.
@@ -139,19 +135,3 @@ def ask(provider: Provider, prompt: str, model: str, tries: int = 2) -> dict:
         except ValueError as e:
             errors.append(e)
     raise errors[-1]
-
-
-def strict_json(raw: Column) -> Column:
-    """Struct (value: EXTRACTION, error: string) of an answer: exactly one of the two is null."""
-
-    @F.pandas_udf(f"struct<value:{EXTRACTION},error:string>")
-    def parse(raw: pd.Series) -> pd.DataFrame:
-        rows = []
-        for text in raw:
-            try:
-                rows.append((parse_answer(text, "extraction"), None))
-            except ValueError as e:
-                rows.append((None, e.errors()[0]["type"] if hasattr(e, "errors") else str(e)))
-        return pd.DataFrame(rows, columns=["value", "error"])
-
-    return parse(raw)

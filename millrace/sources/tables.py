@@ -4,18 +4,17 @@ from __future__ import annotations
 
 import csv
 import io
-import itertools
 import os
-import shutil
 import uuid
-from collections.abc import Iterator
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.text import sanitize_cell
-from millrace.sources.mapping import replace_file
+from millrace.schemas import struct
+from millrace.sources.files import Files
 
 
 class CsvUnreadable(ValueError):
@@ -39,21 +38,27 @@ def read_table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     return rows.select(*(F.coalesce(f"`{c}`", F.lit("")).alias(c) for c in columns), F.monotonically_increasing_id().cast("int").alias("pos"))
 
 
+def csv_cell(c: Column) -> Column:
+    """A guarded cell as CSV: quoted where it holds a comma, a quote or a line's end."""
+    cell = sanitize_cell(c)
+    return F.when(cell.rlike('[,"\r\n]'), F.concat(F.lit('"'), F.replace(cell, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(cell)
+
+
 def export_csv(df: DataFrame, path: str, columns: list[str], order: list[str]) -> None:
     """One CSV file for people: UTF-8 with byte order mark, header, CRLF, guarded cells, rows in `order`, replaced as a whole.
 
-    Rows stream through the driver to the file a partition at a time. The canonical output is Parquet.
+    Lines are made and sorted where the rows are and written in ranges; the file is put together from these. No row passes the driver.
+    The canonical output is Parquet.
     """
-    rows = df.orderBy(*order).select(*(sanitize_cell(F.col(f"`{c}`")).alias(c) for c in columns)).toLocalIterator(prefetchPartitions=True)
-
-    def lines() -> Iterator[bytes]:
-        yield b"\xef\xbb\xbf"
-        for row in itertools.chain([columns], rows):
-            line = io.StringIO()
-            csv.writer(line, lineterminator="\r\n").writerow(row)
-            yield line.getvalue().encode()
-
-    replace_file(path, lines())
+    files, lines = Files(df.sparkSession), f"{path}.{uuid.uuid4().hex}.lines"
+    head = io.StringIO()
+    csv.writer(head, lineterminator="\r\n").writerow(columns)
+    cells = [csv_cell(F.col(f"`{c}`")) for c in columns]
+    try:
+        df.orderBy(*order).select(F.concat_ws(",", *cells).alias("value")).write.option("lineSep", "\r\n").text(lines)
+        files.put_together(path, b"\xef\xbb\xbf" + head.getvalue().encode(), files.parts(lines))
+    finally:
+        files.remove(lines)
 
 
 def read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -66,45 +71,58 @@ def read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def read_store(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A stored table, empty if there is none. What an interrupted replacement has left is put right first."""
-    if not os.path.isdir(path) and os.path.isdir(f"{path}.old"):
-        os.rename(f"{path}.old", path)
-    return spark.read.schema(schema).parquet(path) if os.path.isdir(path) else spark.createDataFrame([], schema)
+#: Parts of a store by the hash of its keys. An update writes those anew that it touches. Part of the layout: it stays as it is for as long as a store lives.
+STORE_BUCKETS = 16
 
 
-def replace_store(df: DataFrame, path: str) -> None:
-    """Replaces a stored table, also where df reads it: the new one is written whole beside it, then the two are renamed. The old one is deleted last."""
-    new = f"{path}.{uuid.uuid4().hex}.new"
-    try:
-        df.write.parquet(new)
-        if os.path.isdir(path):
-            shutil.rmtree(f"{path}.old", ignore_errors=True)
-            os.rename(path, f"{path}.old")
-        os.rename(new, path)
-    finally:
-        shutil.rmtree(new, ignore_errors=True)
-    shutil.rmtree(f"{path}.old", ignore_errors=True)
+def _stored(schema: str) -> str:
+    return f"{schema}, gone boolean, bucket int"
 
 
-def year_dirs(base: str) -> list[int]:
-    """Years with an output folder, ascending."""
-    return sorted(int(d) for d in (os.listdir(base) if os.path.isdir(base) else []) if d.isdigit() and os.path.isdir(os.path.join(base, d)))
+def _bucketed(rows: DataFrame, keys: tuple[str, ...], gone: bool) -> DataFrame:
+    return rows.withColumn("gone", F.lit(gone)).withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(STORE_BUCKETS)).cast("int"))
 
 
-def read_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Cached records of all years; `year` is the partition column."""
-    return spark.read.schema(schema).parquet(path)
+def read_store(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A stored table, empty if there is none. What an interrupted update has left is put right first."""
+    _finish_update(spark, path, schema)
+    return read_if_there(spark, path, _stored(schema)).where("NOT gone").drop("gone", "bucket")
 
 
-def swap_partitions(df: DataFrame, path: str, staging: str) -> None:
-    """Replaces the years that df holds in a partitioned table, also where df reads that table: it is staged first."""
-    spark = df.sparkSession
-    df.write.mode("overwrite").parquet(staging)
-    staged = spark.read.schema(df.schema).parquet(staging)
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(path)
+def update_store(spark: SparkSession, path: str, schema: str, keys: tuple[str, ...], rows: DataFrame | None = None, gone: DataFrame | None = None) -> None:
+    """Puts rows into a stored table, in place of those of the same keys, and takes out the rows of the keys in `gone`; both may be made from the table itself.
 
+    Only the buckets that are touched are written. They are written whole beside the table first; then Spark's dynamic overwrite takes them in. An update
+    that ends before the first is complete changes nothing, one that ends later is finished by the next reader or update. A key taken out leaves a
+    row that says so, as an overwrite replaces just the buckets it has rows of.
+    """
+    _finish_update(spark, path, schema)
+    changes = [] if rows is None else [_bucketed(rows, keys, False)]
+    if gone is not None:
+        empty = [F.col(f.name) if f.name in keys else F.lit(None).cast(f.dataType).alias(f.name) for f in struct(schema).fields]
+        changes.append(_bucketed(gone.select(*empty), keys, True))
+    names = [f.name for f in struct(_stored(schema)).fields]
+    new = reduce(DataFrame.unionByName, changes).select(*names)
+    touched = [r[0] for r in new.select("bucket").distinct().collect()]  # STORE_BUCKETS at most
+    if not touched:
+        return
+    old = read_if_there(spark, path, _stored(schema)).where(F.col("bucket").isin(*touched)).alias("old")
+    same = reduce(Column.__and__, (F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in keys))
+    kept = old.join(new.select(*keys).alias("new"), same, "left_anti")
+    kept.unionByName(new).write.mode("overwrite").parquet(f"{path}.update")
+    _finish_update(spark, path, schema)
+
+
+def _finish_update(spark: SparkSession, path: str, schema: str) -> None:
+    """Takes a complete update in, which may be done again; an incomplete one is removed."""
+    files, update = Files(spark), f"{path}.update"
+    if files.exists(f"{update}/_SUCCESS"):
+        ready = spark.read.schema(_stored(schema)).parquet(update)
+        ready.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+    if files.exists(update):
+        files.remove(update)
 
-def drop_slug(records: DataFrame, slug: str) -> DataFrame:
-    """Records without one slug's; the same again changes nothing."""
-    return records.where(~F.col("slug").eqNullSafe(F.lit(slug)))
+
+def year_dirs(base: str) -> list[int]:
+    """Years with an output folder, ascending."""
+    return sorted(int(d) for d in (os.listdir(base) if os.path.isdir(base) else []) if d.isdigit() and os.path.isdir(os.path.join(base, d)))

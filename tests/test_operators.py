@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace import streaming
+from millrace.functions.strict_json import strict_json
 from millrace.operators import attempts, cache, candidates, crawl, enrich, festivals, lineup, names, review
 from millrace.schemas import ATTEMPT, FESTIVAL_COLUMNS, LINEUP_COLUMNS, RECORD
 from millrace.sources import mapping, provider, seed, sitemap, tables, web
@@ -191,15 +192,36 @@ def test_csv_files(spark, tmp_path, monkeypatch):
     assert data == '﻿x,y\r\n,한글\r\n\'=a,"q""\n,"\r\n'.encode()
     assert [(r.x, r.y) for r in tables.read_table(spark, path, ["x", "y"]).orderBy("pos").collect()] == [("", "한글"), ("'=a", 'q"\n,')]
     assert tables.read_table(spark, str(tmp_path / "none.csv"), ["x"]).count() == 0
-    monkeypatch.setattr("millrace.sources.mapping.os.replace", lambda *a: (_ for _ in ()).throw(OSError("full")))
+    monkeypatch.setattr("millrace.sources.files.Files.replace", lambda *a: (_ for _ in ()).throw(OSError("full")))
     with pytest.raises(OSError):
         tables.export_csv(rows.limit(1), path, ["x", "y"], ["n"])
+    with pytest.raises(Exception):  # noqa: B017
+        tables.export_csv(rows.withColumn("x", F.raise_error(F.lit("lost")).cast("string")), path, ["x", "y"], ["n"])
     assert open(path, "rb").read() == data and [p.name for p in tmp_path.iterdir()] == ["t.csv"]
     (tmp_path / "bad.csv").write_bytes(b"x\n\xff\xfe\n")
     with pytest.raises(tables.CsvUnreadable):
         tables.read_table(spark, str(tmp_path / "bad.csv"), ["x"])
 
 
+def test_csv_is_what_the_csv_module_writes(spark, tmp_path):
+    """Byte by byte, over many ranges, with cells of all kinds."""
+    import csv
+    import io
+    import random
+
+    rng = random.Random(5)
+    cell = lambda: rng.choice([None, "", "plain", "a,b", 'q"q', "\r", "\n", "=1", "+x", "-", "@y", ' "', "한글", "'", ";", "\t"]) if rng.random() < 0.8 else "".join(rng.choices('ab,"\n\r=', k=5))
+    rows = [(i, cell(), cell(), rng.random() < 0.5) for i in range(500)]
+    path = str(tmp_path / "sub" / "t.csv")
+    tables.export_csv(spark.createDataFrame(rows, "n int, x string, y string, z boolean").repartition(7), path, ["x", "y", "z", "n"], ["n"])
+    guarded = lambda v: "" if v is None else ("'" + v if v[:1] in ("=", "+", "-", "@") else v)
+    want = io.StringIO()
+    w = csv.writer(want, lineterminator="\r\n")
+    w.writerow(["x", "y", "z", "n"])
+    w.writerows([guarded(x), guarded(y), str(z).lower(), str(n)] for n, x, y, z in rows)
+    assert open(path, "rb").read() == b"\xef\xbb\xbf" + want.getvalue().encode() and [p.name for p in (tmp_path / "sub").iterdir()] == ["t.csv"]
+
+
 def test_mapping_files(tmp_path):
     path = str(tmp_path / "m.json")
     assert mapping.load_mapping(path) == {}
@@ -211,22 +233,13 @@ def test_mapping_files(tmp_path):
             mapping.load_mapping(path)
 
 
-def test_partition_swap_and_drop(spark, tmp_path):
-    path = str(tmp_path / "records")
-    spark.createDataFrame([(1, 2025), (2, 2026)], "x int, year int").write.partitionBy("year").parquet(path)
-    tables.swap_partitions(spark.read.parquet(path).where("year = 2026").withColumn("x", F.col("x") + 10), path, str(tmp_path / "staging"))
-    assert sorted(tuple(r) for r in spark.read.parquet(path).select("x", "year").collect()) == [(1, 2025), (12, 2026)]
-    rows = spark.createDataFrame([("a",), ("b",)], "slug string")
-    assert [r.slug for r in tables.drop_slug(tables.drop_slug(rows, "a"), "a").collect()] == ["b"]
-
-
 GOOD = '{"found": true, "university_name": "A", "year": 2026, "start_date": "2026-05-20", "lineup": []}'
 
 
 def test_strict_json(spark):
     cases = [(f"```json\n{GOOD}\n```", None), ('{"found": true}', "missing"), (GOOD.replace("2026,", '"2026",', 1), None), (GOOD.replace("[]", "null"), "list_type"), (GOOD[:-1] + ', "ticket_type": "X"}', "literal_error"), ("no", "no JSON object in the answer"), (None, "no JSON object in the answer")]
     rows = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "i int, raw string")
-    got = [r.a for r in rows.select("i", provider.strict_json(F.col("raw")).alias("a")).orderBy("i").collect()]
+    got = [r.a for r in rows.select("i", strict_json(F.col("raw")).alias("a")).orderBy("i").collect()]
     assert [g.error for g in got] == [c[1] for c in cases] and got[0].value.year == 2026 and got[2].value.year == 2026 and got[1].value is None
 
 

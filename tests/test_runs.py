@@ -1,6 +1,7 @@
 """Whole runs where rows share a slug, requests that fail, stores, prompts, the server and its guards."""
 
 import json
+import shutil
 import threading
 import time
 import urllib.error
@@ -13,7 +14,7 @@ from millrace import __main__ as cli
 from millrace import jobs, server
 from millrace.functions import text
 from millrace.operators import attempts, crawl
-from millrace.schemas import DOMAINS, EXTRACTION_FIELDS, LINEUP_FIELDS, RECORD
+from millrace.schemas import DOMAINS, EXTRACTION_FIELDS, LINEUP_FIELDS, RECORD, SEARCHES
 from millrace.sources import provider, seed, tables, web
 from tests.test_operators import GOOD, PAGE, Web, fake_get, fake_provider, fetcher, write_seed
 
@@ -44,7 +45,7 @@ def test_two_campuses_of_one_university(spark, tmp_path, url):
         assert len(rows) == 2 and rows[0].startswith("A-north-2026-") and rows[1].startswith("A-south-2026-")
         assert spark.read.parquet(str(tmp_path / "records")).count() == 1
         assert len(log.read_text().splitlines() if log.exists() else []) == (0 if url else 1)
-    assert sorted(p.name for p in tmp_path.iterdir() if p.is_dir()) == (["2026", ".staging", "records"] if url else ["2026", ".staging", "discovered", "records"]) or not list((tmp_path / ".staging").iterdir())
+    assert sorted(p.name for p in tmp_path.iterdir() if p.is_dir()) == (["2026", "records"] if url else ["2026", "discovered", "records"])
 
 
 def test_campuses_with_own_addresses(spark, tmp_path):
@@ -69,26 +70,60 @@ def test_bad_addresses_fail_alone(spark, tmp_path):
     assert f.text("http://[bad/x") is None and f.page("http://[bad/x", "http://[bad/x")["status"] == "fetch_failed"
 
 
-def test_store_survives_a_lost_replacement(spark, tmp_path):
+KEYED = "k int, v string"
+
+
+def stored(spark, path):
+    return sorted(map(tuple, tables.read_store(spark, path, KEYED).collect()), key=repr)
+
+
+def test_store_updates_touched_buckets_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    put = lambda rows, **more: tables.update_store(spark, path, KEYED, ("k",), spark.createDataFrame(rows, KEYED), **more)
+    assert stored(spark, path) == []
+    put([])
+    assert stored(spark, path) == [] and not (tmp_path / "t").exists()
+    put([(i, "a") for i in range(100)] + [(None, "null")])
+    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "t").rglob("part-*.parquet")}
+    assert len(before) == tables.STORE_BUCKETS
+    put([(7, "b"), (None, "new")])
+    want = sorted([(i, "b" if i == 7 else "a") for i in range(100)] + [(None, "new")], key=repr)
+    after = {f: f.stat().st_mtime_ns for f in (tmp_path / "t").rglob("part-*.parquet")}
+    assert stored(spark, path) == want and len(set(before.items()) - set(after.items())) in (1, 2)
+    tables.update_store(spark, path, KEYED, ("k",), tables.read_store(spark, path, KEYED).where("k < 2").withColumn("v", F.lit("own")), gone=spark.createDataFrame([(7,), (8,), (1000,)], "k int"))  # reads what it writes
+    assert stored(spark, path) == sorted([(k, "own" if k in (0, 1) else v) for k, v in want if k not in (7, 8)], key=repr)
+    for _ in range(2):
+        tables.update_store(spark, path, KEYED, ("k",), gone=tables.read_store(spark, path, KEYED).select("k"))  # also the last row of a bucket goes
+        assert stored(spark, path) == []
+    put([(7, "back")])
+    assert stored(spark, path) == [(7, "back")] and [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_store_survives_lost_updates(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "t")
-    tables.replace_store(spark.range(3), path)
+    put = lambda df: tables.update_store(spark, path, KEYED, ("k",), df)
+    put(spark.createDataFrame([(i, "a") for i in range(50)], KEYED))
     with pytest.raises(Exception):  # noqa: B017
-        tables.replace_store(spark.range(2).select(F.raise_error(F.lit("lost")).cast("long").alias("id")), path)
-    assert tables.read_store(spark, path, "id long").count() == 3
-    tables.replace_store(tables.read_store(spark, path, "id long").where("id > 0"), path)  # reads what it replaces
-    assert tables.read_store(spark, path, "id long").count() == 2 and [p.name for p in tmp_path.iterdir()] == ["t"]
-    (tmp_path / "t").rename(tmp_path / "t.old")  # stopped between the two renames
-    assert tables.read_store(spark, path, "id long").count() == 2
-    assert tables.read_store(spark, str(tmp_path / "none"), "id long").count() == 0
+        put(spark.createDataFrame([(1, "b")], KEYED).withColumn("v", F.raise_error(F.lit("lost")).cast("string")))
+    assert stored(spark, path) == sorted(((i, "a") for i in range(50)), key=repr)  # before the update was whole: nothing has changed
+    finish, calls = tables._finish_update, []
+    monkeypatch.setattr(tables, "_finish_update", lambda *a: calls.append(1) or (finish(*a) if len(calls) == 1 else 1 / 0))
+    with pytest.raises(ZeroDivisionError):
+        put(spark.createDataFrame([(i, "b") for i in range(40, 60)], KEYED))
+    monkeypatch.setattr(tables, "_finish_update", finish)
+    bucket = spark.range(1).select(F.pmod(F.xxhash64(F.lit(45)), F.lit(tables.STORE_BUCKETS))).first()[0]
+    shutil.rmtree(tmp_path / "t" / f"bucket={bucket}")  # stopped while it was taken in
+    assert stored(spark, path) == sorted(((i, "b" if i >= 40 else "a") for i in range(60)), key=repr)
+    assert not (tmp_path / "t.update").exists()
 
 
 def test_clear_cache(spark, tmp_path):
     row = spark.createDataFrame([("A", 2026), ("A", 2025), ("B", 2026)], "slug string, year int")
     empty = spark.createDataFrame([], RECORD)
     full = row.select(*(F.col(c) if c in ("slug", "year") else F.lit(None).cast(empty.schema[c].dataType).alias(c) for c in empty.columns))
-    tables.replace_store(full, str(tmp_path / "records"))
-    tables.replace_store(row.select("slug", "year", F.lit(None).cast("string").alias("season"), F.array(F.lit("u")).alias("candidates")), str(tmp_path / "discovered"))
-    left = lambda name: sorted((r.slug, r.year) for r in spark.read.parquet(str(tmp_path / name)).collect())
+    tables.update_store(spark, str(tmp_path / "records"), RECORD, crawl.STORE_KEYS, full)
+    tables.update_store(spark, str(tmp_path / "discovered"), SEARCHES, crawl.STORE_KEYS, row.select("slug", "year", F.lit(None).cast("string").alias("season"), F.array(F.lit("u")).alias("candidates")))
+    left = lambda name: sorted((r.slug, r.year) for r in tables.read_store(spark, str(tmp_path / name), {"records": RECORD, "discovered": SEARCHES}[name]).collect())
     for _ in range(2):
         crawl.clear_cache(spark, str(tmp_path), 2026, "A")
         assert left("records") == [("A", 2025), ("B", 2026)] and len(left("discovered")) == 3
