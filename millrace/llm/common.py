@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.sources.files import Files
+
 #: Bytes of text handled at once by a Python worker; a longer single text is handled alone.
 SLICE_BYTES = 4 << 20
 
@@ -28,7 +30,29 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="millrace-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/millrace/{name}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/millrace/{name}-{uuid.uuid4().hex}"
+    if _scratch:
+        _scratch[-1].append(path)
+    return path
+
+
+#: Paths handed out within each open scratch, the innermost last.
+_scratch: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What operators write to the shared folder within is removed at the end, whether it succeeds or not. Results are lazy: write or collect them within.
+
+        with scratch(spark):
+            near_duplicates(docs).write.parquet(path)
+    """
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            Files(spark).remove(path)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -63,6 +87,23 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+#: Keys that are dealt over several tasks each have at least one in so many of all rows, so they are fewer than that and can be broadcast.
+HEAVY = 1000
+
+
+def join_dealt(rows: DataFrame, known: DataFrame, keys: list[str], count: str, spread: Column, how: str = "inner") -> DataFrame:
+    """rows joined with known (a row a key; `count`: the rows of each) on keys, a heavy key's rows in as many tasks as its share of all rows asks for.
+
+    spread: what a key's rows are dealt by. Heavy keys are those with more than one row in HEAVY; what rows are told of them is broadcast.
+    """
+    total = known.agg(F.sum(count)).first()[0] or 0
+    salts = F.ceil(F.col(count) * HEAVY / F.lit(max(total, 1))).cast("int")
+    heavy = known.where(F.col(count) * HEAVY > total).select(*keys, salts.alias("__salts"))  # fewer than HEAVY
+    dealt = rows.join(F.broadcast(heavy), keys, "left").withColumn("__salt", F.coalesce(F.pmod(F.xxhash64(spread), F.col("__salts")).cast("int"), F.lit(0))).drop("__salts")
+    every = known.withColumn("__salt", F.explode(F.when(F.col(count) * HEAVY > total, F.sequence(F.lit(0), salts - 1)).otherwise(F.array(F.lit(0)))))
+    return dealt.join(every.drop(count), [*keys, "__salt"], how).drop("__salt")
+
+
 def bound(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value) with value computed once: a lambda variable stands for it, where the optimizer would repeat the expression."""
     return F.get(F.transform(F.array(value), body), 0)

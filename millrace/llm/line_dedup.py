@@ -10,14 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_documents, bound, unused, written
+from .common import as_documents, bound, join_dealt, unused, written
 
 #: Sites from which on a line is boilerplate, characters from which on a line can be, and the share around the threshold that is counted exactly.
 MIN_SITES, MIN_CHARS, NEAR = 8, 20, 0.25
 #: log2 of a sketch's registers: a relative error of about 2.5 %, a tenth of NEAR.
 LOG_REGISTERS = 11
-#: Tasks over which the occurrences of any one line are dealt in a join; the other side, a row a line, is repeated so often.
-SALTS = 16
 #: What a line is known by: with one hash alone, some of a trillion lines would be taken for each other.
 LINE = ["hash", "hash2"]
 
@@ -34,28 +32,22 @@ def lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     return d.select("doc_id", "text_hash", "site", "pos", F.xxhash64("line").alias("hash"), F.xxhash64(F.lit(1), "line").alias("hash2"))
 
 
-def _with(occurrences: DataFrame, of_lines: DataFrame) -> DataFrame:
-    """Occurrences (with salt) with what is known of their lines: a common line's occurrences meet it in SALTS tasks, not in one."""
-    salted = of_lines.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return occurrences.join(salted, [*LINE, "salt"])
-
-
 def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS) -> DataFrame:
     """Occurrences (doc_id, text_hash, pos, hash, hash2) of lines on at least min_sites sites, and whether each is the first. A null site counts for none."""
     every = lines(docs, min_chars)
     estimate = F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LOG_REGISTERS)))
-    spread = every.groupBy(*LINE).agg(estimate.alias("sites")).where(F.col("sites") >= min_sites * (1 - NEAR))
+    spread = every.groupBy(*LINE).agg(estimate.alias("sites"), F.count("*").alias("n")).where(F.col("sites") >= min_sites * (1 - NEAR))
     spread = written(spread, "line-spread")
-    salt = F.pmod(F.xxhash64("doc_id", "pos"), F.lit(SALTS)).cast("int")
-    found = written(_with(every.withColumn("salt", salt), spread), "line-occurrences")
+    place = F.struct("doc_id", "pos")
+    found = written(join_dealt(every, spread, LINE, "n", place), "line-occurrences")
     near = found.where(F.col("sites") < min_sites * (1 + NEAR))
     exact = near.groupBy(*LINE, "site").agg(F.lit(1).alias("one")).groupBy(*LINE).agg(F.count("site").alias("n")).where(F.col("n") >= min_sites)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "text_hash", "pos")).alias("first")
-    firsts = found.groupBy(*LINE).agg(first, F.max("sites").alias("sites"))
+    firsts = found.groupBy(*LINE).agg(first, F.max("sites").alias("sites"), F.count("*").alias("n"))
     sure = firsts.where(F.col("sites") >= min_sites * (1 + NEAR))
-    chosen = sure.unionByName(firsts.join(exact.select(*LINE), LINE, "left_semi")).select(*LINE, "first")
+    chosen = sure.unionByName(firsts.join(exact.select(*LINE), LINE, "left_semi")).select(*LINE, "first", "n")
     is_first = F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.text_hash") == F.col("text_hash")) & (F.col("first.pos") == F.col("pos"))
-    return _with(found.drop("sites"), chosen).select("doc_id", "text_hash", "pos", *LINE, is_first.alias("is_first"))
+    return join_dealt(found.drop("sites"), chosen, LINE, "n", place).select("doc_id", "text_hash", "pos", *LINE, is_first.alias("is_first"))
 
 
 def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS, lines_col: str = "__lines", removed_col: str = "__removed") -> DataFrame:

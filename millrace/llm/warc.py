@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_documents, shared_dir
+from .common import as_documents, join_dealt, shared_dir, written
 
 # Fixed values of the seekable format.
 SKIPPABLE_SEEK_TABLE, SKIPPABLE_INDEX = 0x184D2A5E, 0x184D2A50
@@ -28,15 +28,13 @@ LAST = b"\xea\x92\x8f".decode()
 #: Uncompressed bytes after which a frame ends, and compressed bytes after which a bundle ends.
 FRAME_BYTES, BUNDLE_BYTES = 256 << 10, 4 << 20
 ENTRY = "<QII?"  # of the index: page id (as u64), frame, offset in the decompressed frame, whether the id is null
-#: Tasks over which the rows of any one payload are dealt.
-SALTS = 16
 
 
 def classified(pages: DataFrame, least: int = 1000) -> DataFrame:
     """page_id, url, html, payload_digest (hex SHA-1), payload_bytes, refers_to (null for responses).
 
     Among equal payloads of at least `least` bytes all but those of the largest page_id refer to it. Only digests that occur
-    twice are joined back; a common payload's rows meet that one row in SALTS tasks, not in one. Null html is an empty payload; rows with
+    twice are joined back; a common payload's rows meet that one row in many tasks, not in one. Null html is an empty payload; rows with
     null ids stay responses.
     """
     body = F.coalesce("html", F.lit("")).cast("binary")
@@ -44,12 +42,11 @@ def classified(pages: DataFrame, least: int = 1000) -> DataFrame:
     p = p.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", F.sha1(body).alias("payload_digest"), F.octet_length(body).cast("long").alias("payload_bytes"))
     twice = (
         p.where(F.col("payload_bytes") >= least).groupBy("payload_digest").agg(F.max("page_id").alias("response_id"), F.count("*").alias("n"))
-        .where("n > 1").select("payload_digest", "response_id")
+        .where("n > 1")
     )
-    twice = twice.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    p = p.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
     refers_to = F.when(F.col("response_id") > F.col("page_id"), F.col("response_id"))
-    return p.join(twice, ["payload_digest", "salt"], "left").withColumn("refers_to", refers_to).drop("response_id", "salt")
+    met = join_dealt(p, written(twice, "repeated-payloads"), ["payload_digest"], "n", F.col("page_id"), "left")
+    return met.withColumn("refers_to", refers_to).drop("response_id")
 
 
 def record(page_id: int | None, url: str | None, html: str | None, digest: str, size: int, refers_to: int | None, date: str = "1970-01-01T00:00:00Z") -> bytes:
