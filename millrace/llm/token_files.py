@@ -95,13 +95,12 @@ _encoders: dict[tuple[str, str], Library] = {}
 
 
 def encoded(docs: DataFrame, path: str, pattern: str, end_id: int, cuts: list[int]) -> DataFrame:
-    """doc_id, part (the number of cuts at or below doc_id, 0 for null) and ids (binary: u8 width 2 or 4, then the ids) of every whole text, with end_id after each."""
+    """doc_id, part (see part_of) and ids (binary: u8 width 2 or 4, then the ids) of every whole text, with end_id after each."""
     out = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("part", T.IntegerType()), T.StructField("ids", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if (path, pattern) not in _encoders:
             _encoders[path, pattern] = Library(path, pattern)
-        least = np.iinfo(np.int64).min
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
                 flat, begin = _encoders[path, pattern].texts(part.column("text"))
@@ -109,27 +108,39 @@ def encoded(docs: DataFrame, path: str, pattern: str, end_id: int, cuts: list[in
                 for a, b in zip(begin[:-1], begin[1:], strict=True):
                     ids = np.append(flat[a:b], np.uint32(end_id))
                     rows.append(b"\x02" + ids.astype("<u2").tobytes() if ids.max() < 1 << 16 else b"\x04" + ids.astype("<u4").tobytes())
-                of = np.searchsorted(cuts, part.column("doc_id").fill_null(least).to_numpy(zero_copy_only=False), "right").astype(np.int32)
+                of = part_of(part.column("doc_id").fill_null(NULL_ID).to_numpy(zero_copy_only=False), np.array(cuts, np.int64), rows)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(of), pa.array(rows, pa.binary())], names=out.names)
 
     return as_documents(docs.withColumn("doc_id", F.col("doc_id").cast("long")), "doc_id", "text").mapInArrow(run, out)
 
 
+#: Where null ids stand in the order of ids.
+NULL_ID = -(1 << 63)
+
+
+def part_of(ids: np.ndarray, cuts: np.ndarray, rows: list[bytes]) -> np.ndarray:
+    """The part of each row: the number of cuts at or below its id. An id that is k cuts has k parts, over which its rows are dealt by their bytes, so that they are the same whenever a task is repeated."""
+    low, high = (np.searchsorted(cuts, ids, side) for side in ("left", "right"))
+    out = high.copy()
+    for k in np.flatnonzero(high - low > 1).tolist():
+        out[k] = low[k] + 1 + zlib.crc32(rows[k]) % (high[k] - low[k])
+    return out.astype(np.int32)
+
+
 def ranges(docs: DataFrame, parts: int) -> list[int]:
-    """At most parts - 1 ascending boundaries that split doc_id into ranges of about as many rows; reads that column only."""
+    """At most parts - 1 ascending boundaries that split doc_id into ranges of about as many rows; reads that column only. An id with more rows than a range comes several times."""
     q = [k / parts for k in range(1, parts)]
-    at = docs.agg(F.percentile_approx(F.col("doc_id").cast("long"), q, 10_000)).first()[0] if q else None
-    return sorted(set(at or ()))
+    at = docs.agg(F.percentile_approx(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), q, max(10_000, 4 * parts))).first()[0] if q else None
+    return sorted(at or ())
 
 
 def write_token_files(docs: DataFrame, path: str, pattern: str, end_id: int = 0, parts: int | None = None) -> str:
-    """Writes the framed ids of all documents in ascending doc_id order (nulls first, repeated ids by their bytes); returns the folder.
+    """Writes the framed ids of all documents in ascending doc_id order (nulls first, repeated ids by part and bytes); returns the folder.
 
     Null and empty texts give frames of the end id alone; other columns are ignored; an empty table gives no frame.
     """
     spark = docs.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = ranges(docs, parts)
+    cuts = ranges(docs, parts or int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = encoded(docs, path, pattern, end_id, cuts)
     rows = rows.repartitionById(len(cuts) + 1, "part").sortWithinPartitions("doc_id", "ids")
     folder = shared_dir(spark, "token-files")

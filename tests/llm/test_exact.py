@@ -1,10 +1,13 @@
 """Results that no hash decides, and the forest's adaptive prefixes."""
 
+import os
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 P = pytest.importorskip("public_tokenizers")
 
@@ -204,3 +207,74 @@ def test_near_duplicates_with_many_rows_of_one_id(spark, kind, monkeypatch):
     got = got.select("text_hash", "n_links", "class_id").collect()
     assert sorted((r.text_hash, r.n_links) for r in got) == sorted(map(tuple, own)) and {r.class_id for r in got} == {one}
     assert len(seen) == 2 and seen[0] == seen[1] == 2000  # a text of each class, once
+
+
+def test_token_files_deal_a_hot_id(spark):
+    """An id with most rows takes several parts, ids ascend through the files, and starts count all ids before."""
+    rng = random.Random(4)
+    rows = [(7, f"text {i} " + "word " * rng.randrange(9)) for i in range(600)] + [(i, f"own {i}") for i in range(60)] + [(None, f"null {i}") for i in range(300)]
+    rng.shuffle(rows)
+    docs = documents(spark, rows)
+    folder = token_files.write_token_files(docs, P.path("byte_bpe_50k.json"), P.PATTERN, parts=12)
+    index = token_files.write_index(spark, folder)
+    got = token_files.with_starts(spark.read.parquet(index), index).orderBy("start").collect()
+    assert len(got) == len(rows) and [r.start for r in got] == [sum(x.n_tokens for x in got[:k]) for k in range(len(got))]
+    ids = [r.doc_id for r in got]
+    assert ids == sorted(ids, key=lambda i: (i is not None, i))
+    parts = {}
+    for r in got:
+        parts.setdefault(r.doc_id, Counter())[r.file.split("-")[1]] += 1
+    assert len(parts[7]) >= 5 and len(parts[None]) >= 3 and max(parts[7].values()) < 300
+    assert sorted(r.n_tokens for r in got) == sorted(len(x) + 1 for x in bpe_lengths(docs))
+
+
+def bpe_lengths(docs):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    return [t.encode(r.text, add_special_tokens=False).ids for r in docs.collect()]
+
+
+def test_part_of():
+    cuts = np.array([-(1 << 63), -(1 << 63), 3, 5, 5, 5, 9])
+    ids = np.array([-(1 << 63), -5, 3, 4, 5, 5, 6, 9, 10])
+    got = token_files.part_of(ids, cuts, [b"%d" % k for k in range(9)])
+    assert got[[1, 2, 3, 6, 7, 8]].tolist() == [2, 3, 3, 6, 7, 7] and got[0] in (1, 2) and all(4 <= x <= 6 for x in got[4:6])
+
+
+# --- heavy keys, and what is left behind ------------------------------------------------------------------------------------
+
+
+def test_join_dealt(spark, monkeypatch):
+    monkeypatch.setattr(common, "HEAVY", 10)
+    rng = random.Random(6)
+    rows = [(rng.choice([1, 1, 1, 2, 2, *range(3, 60)]), i) for i in range(3000)]
+    left = spark.createDataFrame(rows, "k int, i int")
+    known = left.where("k % 2 = 1").groupBy("k").agg(F.count("*").alias("n"), F.max("i").alias("top"))
+    top = {}
+    for k, i in rows:
+        top[k] = max(top.get(k, 0), i)
+    for how in ("inner", "left"):
+        got = common.join_dealt(left, known, ["k"], "n", F.col("i"), how)
+        want = sorted((k, i, top[k] if k % 2 else None) for k, i in rows if k % 2 or how == "left")
+        assert sorted(map(tuple, got.select("k", "i", "top").collect()), key=repr) == sorted(want, key=repr) and got.columns == ["k", "i", "top"]
+    none = known.limit(0)
+    assert common.join_dealt(left, none, ["k"], "n", F.col("i")).collect() == [] and common.join_dealt(left, none, ["k"], "n", F.col("i"), "left").count() == 3000
+
+
+def test_scratch_removes_what_was_written(spark):
+    root = spark.conf.get("spark.checkpoint.dir").removeprefix("file://") + "/millrace"
+    os.makedirs(root, exist_ok=True)
+    before = set(os.listdir(root))
+    docs = documents(spark, [(i, f"w{i % 3} a b c d e f g h") for i in range(50)])
+    with common.scratch(spark):
+        got = ngram_join.near_duplicates(docs).collect()
+        with common.scratch(spark):
+            inner = common.written(docs, "inner")
+            assert inner.count() == 50 and len(set(os.listdir(root)) - before) > 3
+        assert not any(x.startswith("inner") for x in os.listdir(root))
+    assert len(got) == 50 and set(os.listdir(root)) == before
+    with pytest.raises(ZeroDivisionError), common.scratch(spark):
+        common.written(docs, "lost")
+        1 / 0
+    assert set(os.listdir(root)) == before

@@ -106,7 +106,10 @@ def test_stages_against_brute_force(spark, tables):
     library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=c.ranks, special_tokens={})
     assert {r.doc_id: r.token_ids for r in got.collect()} == {r.doc_id: library.encode_ordinary(r.text or "") for r in rows}
 
+    root = spark.conf.get("spark.checkpoint.dir").removeprefix("file://") + "/millrace"
+    before = set(os.listdir(root))
     whole = corpus_pipeline.run(spark, folder)
+    assert [x.rpartition("-")[0] for x in set(os.listdir(root)) - before] == ["stage-byte_bpe"]  # only the last result stays
     assert sorted((r.doc_id, r.token_ids) for r in whole.collect()) == sorted((r.doc_id, r.token_ids) for r in got.collect())
 
 
@@ -123,9 +126,9 @@ def test_pipeline_of_an_empty_table(spark, tables):
 def test_query_on_the_smallest_tables(spark, name):
     duckdb = pytest.importorskip("duckdb")
     got = queries.QUERIES[name](spark, SF)
-    table = {"op3_cross_polytope": None, "op4_url_filter": "pages", "op8_warc": "pages"}.get(name, "documents")
+    table = {"op3_cross_polytope": None, "op12_hard_negatives": None, "op4_url_filter": "pages", "op8_warc": "pages"}.get(name, "documents")
     have = [tuple(r) for r in got.select(*sorted(got.columns)).collect()]
-    assert len(have) == (spark.read.parquet(f"{SF}/{table}.parquet").count() if table else 50)
+    assert len(have) == spark.read.parquet(f"{SF}/{table}.parquet").count() if table else len(have) >= 50
     if name in queries.ORACLES:
         c = duckdb.connect()
         for f in os.listdir(SF):
