@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import bpe, decontaminate, line_dedup, ngram_join, toxicity
-from millrace.llm.common import unused, written
+from millrace.llm.common import scratch, shared_dir, unused
 from millrace.llm.queries import LEARN, table
+from millrace.sources.files import Files
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +52,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """Each stage's result is written and read again; what a stage needed on the way, and the result before, are removed once it is."""
+    docs, path = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        before, path = path, shared_dir(spark, f"stage-{name}")
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if before:
+            Files(spark).remove(before)
     return docs
