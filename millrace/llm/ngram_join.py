@@ -293,6 +293,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: float =
     A-Z lower-cased; a text of fewer words is one shingle, one without words (or null) links to none and is its own class. A class is a
     component over links, class_id its least doc_id (null if all are null). n_links counts the other rows linked to a row, copies included.
     Repeated rows are copies of each other; other columns are ignored.
+
+    Prefixes shorten between LABEL values and prefix_depth(threshold): 8, 7 and 6 at 0.8; at 0.95 both are 8 and nothing is left to adapt. A class's recall is estimated
+    from the partners that one pair of blocks shows it, not from all it has; the shortest prefix alone gives the recall that `RECALL` names.
     """
     rows = written(signatures(docs, shingle, threshold), "signatures")
     keyed = rows.where("fp IS NOT NULL")

@@ -44,6 +44,13 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def linked_pages_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rules where four pages each name one canonical address, so that decisions pass over links."""
+    hub = F.concat(F.lit('<link rel="canonical" href="https://hub'), F.floor(F.col("page_id") / 4).cast("string"), F.lit('.test/x">'))
+    pages = table(spark, sf_dir, "pages").withColumn("html", F.concat(hub, "html"))
+    return url_filter.judge(pages, RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 #: Rows whose labels may be learned from.
 LEARN = "crc32(cast(cast(doc_id AS string) AS binary)) % 5 <> 0"
 
@@ -129,6 +136,7 @@ QUERIES = {
     "op10_byte_bpe": op10_byte_bpe,
     "op11_sentencepiece": op11_sentencepiece,
     "op12_hard_negatives": op12_hard_negatives,
+    "linked_pages_filter": linked_pages_filter,
 }
 
 #: Words of a text in DuckDB, A-Z lower-cased.
@@ -207,3 +215,6 @@ neg AS (
 SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 5
 """,
 }
+
+_LINKED = """FROM (SELECT page_id, url, '<link rel="canonical" href="https://hub' || (page_id // 4) || '.test/x">' || html AS html FROM pages)"""
+ORACLES["linked_pages_filter"] = ORACLES["op4_url_filter"].replace("FROM pages", _LINKED)

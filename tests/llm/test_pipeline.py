@@ -126,7 +126,7 @@ def test_pipeline_of_an_empty_table(spark, tables):
 def test_query_on_the_smallest_tables(spark, name):
     duckdb = pytest.importorskip("duckdb")
     got = queries.QUERIES[name](spark, SF)
-    table = {"op3_cross_polytope": None, "op12_hard_negatives": None, "op4_url_filter": "pages", "op8_warc": "pages"}.get(name, "documents")
+    table = {"op3_cross_polytope": None, "op12_hard_negatives": None, "op4_url_filter": "pages", "linked_pages_filter": "pages", "op8_warc": "pages"}.get(name, "documents")
     have = [tuple(r) for r in got.select(*sorted(got.columns)).collect()]
     assert len(have) == spark.read.parquet(f"{SF}/{table}.parquet").count() if table else len(have) >= 50
     if name in queries.ORACLES:
