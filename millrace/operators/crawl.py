@@ -24,7 +24,7 @@ from millrace.sources.provider import Provider, ProviderError, parse_answer
 from millrace.sources.seed import load_seed
 from millrace.sources.sitemap import sitemap_candidates, sitemap_entries
 from millrace.sources.tables import export_csv, read_store, update_store
-from millrace.sources.web import fetch_pages, http_get
+from millrace.sources.web import fetch_pages, http_get, seen_hosts
 
 
 def manual_candidates(seed: DataFrame) -> DataFrame:
@@ -140,14 +140,14 @@ def discovered_now(rows: DataFrame, provider: Provider, blocked: tuple[str, ...]
     return got.withColumn("candidates", F.filter("candidates", lambda u: ~is_blocked(u, blocked)))
 
 
-def attempt(candidates: DataFrame, seed: DataFrame, get: Callable, provider: Provider) -> DataFrame:
-    """Judged attempts of candidates (seed_pos, source, rank, url): fetch, prompt, answer, verification. Page text isn't among the columns."""
-    pages = fetch_pages(candidates, get)
+def attempt(candidates: DataFrame, seed: DataFrame, get: Callable, provider: Provider, hosts: DataFrame | None = None) -> DataFrame:
+    """Judged attempts of candidates (seed_pos, source, rank, url): fetch, prompt, answer, verification, and what was seen of the hosts. Page text isn't among the columns."""
+    pages = fetch_pages(candidates, get, hosts)
     asked = seed.select("seed_pos", "university", "year", "season")
     rows = candidates.join(asked, "seed_pos").join(pages, "url")
     prompt = extraction_prompt(F.col("university"), F.col("year"), F.col("instagram_candidates"), F.col("body"))
-    rows = rows.select("seed_pos", "source", "rank", "url", "status", "poster_image_url", "image_urls", "published_at", "university", "year", "season", "body", prompt.alias("prompt"))
-    return judged(extracted(rows, provider)).select("seed_pos", "source", "rank", "url", "flag", "poster_image_url", "image_urls", "extraction", "published_at", "date_warning")
+    rows = rows.select("seed_pos", "source", "rank", "url", "status", "poster_image_url", "image_urls", "published_at", "university", "year", "season", "site", "asked_at", "robots", "body", prompt.alias("prompt"))
+    return judged(extracted(rows, provider)).select("seed_pos", "source", "rank", "url", "flag", "poster_image_url", "image_urls", "extraction", "published_at", "date_warning", "site", "asked_at", "robots")
 
 
 def run(spark: SparkSession, base: str, year: int, provider: Provider, get: Callable = http_get, sitemaps: DataFrame | None = None, limit: int | None = None, seed_dir: str | None = None, search: Provider | None = None) -> dict[str, int]:
@@ -194,7 +194,16 @@ def _run(spark, base, year, provider, search, get, sitemaps, rows, names, kept)
         new["searches"] = kept(discovered_now(to_search(left, known), search))
         return search_candidates(left, known.unionByName(new["searches"]))
 
-    attempts = live_waterfall(todo, [manual_candidates, by_sitemap, by_search], lambda c: attempt(c, seed, get, provider), kept)
+    rounds: list[DataFrame] = []  # what each has fetched: the next one goes on from it
+
+    def next_round(c: DataFrame) -> DataFrame:
+        return attempt(c, seed, get, provider, seen_hosts(*rounds) if rounds else None)
+
+    def kept_round(df: DataFrame) -> DataFrame:
+        rounds.append(kept(df))
+        return rounds[-1]
+
+    attempts = live_waterfall(todo, [manual_candidates, by_sitemap, by_search], next_round, kept_round)
     asked = todo.join(known.unionByName(new["searches"]).select("slug", "year", "candidates"), ["slug", "year"])
     own = kept(records(seed, attempts, asked.select("seed_pos", F.col("candidates").isNotNull().alias("answered")), cached))
     state = kept(shared(rows, own))

@@ -14,7 +14,7 @@ from millrace.operators import attempts, lineup, names
 from millrace.plans.pages import table
 from millrace.plans.records import ASKED, MADE, asked, made_records, names_mapping
 from millrace.schemas import EXTRACTION, GENRES, struct
-from millrace.sources import mapping, seed
+from millrace.sources import mapping, seed, tables
 
 
 def shared_path(spark) -> str:
@@ -119,7 +119,7 @@ def seed_scan(spark, sf_dir):
     cells = [F.concat(F.lit(" "), "n_name", F.lit('"\n')), F.lit("c,d"), F.lit("r"), F.lit(" 2026 "), F.when(k % 2 == 0, "http://u/").otherwise(" "), k.cast("string"), F.lit("1.50"), F.when(k % 3 == 0, "spring").otherwise("")]
     rows = n.select(F.concat_ws(",", *map(quoted, cells)).alias("line")).orderBy("n_nationkey")
     path = seed.seed_path(shared_folder(spark), 2026)
-    mapping.replace_file(path, (f"{line}\r\n".encode() for line in [",".join((*seed.REQUIRED, "season")), *(r.line for r in rows.toLocalIterator())]))
+    tables.write_lines(rows, path, ",".join((*seed.REQUIRED, "season\r\n")).encode())
     return seed.read_seed(spark, path)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import pages as P
-from millrace.functions import text, urls
+from millrace.functions import readability, text, urls
 from millrace.operators import candidates, review
 from millrace.sources import sitemap
 
@@ -55,6 +55,13 @@ def page_body(spark, sf_dir):
     return pages(spark, sf_dir).select("page_id", F.md5(body.cast("binary")).alias("body_md5"), F.length(body).cast("long").alias("n_chars"))
 
 
+def page_main_text(spark, sf_dir):
+    """The text that stands out from menus and links, of pages whose article element is an anonymous one."""
+    html = F.replace(F.replace("html", F.lit("<article>"), F.lit("<div>")), F.lit("</article>"), F.lit("</div>"))
+    text = readability.main_text(html)
+    return pages(spark, sf_dir).select("page_id", F.size(readability.blocks(html)).cast("long").alias("n_blocks"), F.length(text).cast("long").alias("n_chars"), F.md5(text.cast("binary")).alias("text_md5"))
+
+
 def page_flag_counts(spark, sf_dir):
     return review.flag_counts(pages(spark, sf_dir).select(P.page_flag(P.article_text(F.col("html"))).alias("flag")))
 
@@ -173,10 +180,20 @@ def waterfall(spark, sf_dir):
     return candidates.waterfall(p, attempts, search)
 
 
-QUERIES = {f.__name__: f for f in (page_body, page_flag_counts, page_host, blocked_pages, page_links_top5, host_rewrite, safe_urls, html_escapes, og_image, body_images, handles, published_date_priority, html_parse_udf, sitemap_locs, sitemap_match, sitemap_match_many, candidates_top3, first_ok_candidate, waterfall)}
+QUERIES = {f.__name__: f for f in (page_body, page_main_text, page_flag_counts, page_host, blocked_pages, page_links_top5, host_rewrite, safe_urls, html_escapes, og_image, body_images, handles, published_date_priority, html_parse_udf, sitemap_locs, sitemap_match, sitemap_match_many, candidates_top3, first_ok_candidate, waterfall)}
 
 ORACLES = {
     "page_body": BODY + "SELECT page_id, CASE WHEN length(t) >= 100 THEN md5(left(t, 8000)) END AS body_md5, CASE WHEN length(t) >= 100 THEN length(left(t, 8000)) END AS n_chars FROM body",
+    "page_main_text": f"""
+WITH p AS (SELECT page_id, unnest(l) AS part, generate_subscripts(l, 1) AS i FROM (
+    SELECT page_id, regexp_split_to_array(regexp_replace(replace(replace(html, '<article>', '<div>'), '</article>', '</div>'), '{readability.HIDDEN_PATTERN}', ' ', 'g'), '{readability.BLOCK_PATTERN}') AS l FROM pages)),
+t AS (SELECT page_id, i, trim(regexp_replace(regexp_replace(part, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS text,
+    trim(regexp_replace(regexp_replace(array_to_string(regexp_extract_all(part, '(?is)<a\b[^>]*>(.*?)</a\s*>', 1), ' '), '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS links FROM p),
+w AS (SELECT page_id, i, text, len(string_split(text, ' ')) AS words, CASE WHEN links = '' THEN 0 ELSE len(string_split(links, ' ')) END / len(string_split(text, ' ')) AS linked FROM t WHERE text <> ''),
+n AS (SELECT *, coalesce(lag(words) OVER s, 0) AS words_before, coalesce(lag(linked) OVER s, 0) AS linked_before, coalesce(lead(words) OVER s, 0) AS words_after FROM w WINDOW s AS (PARTITION BY page_id ORDER BY i)),
+k AS (SELECT *, linked <= 0.333333 AND CASE WHEN linked_before <= 0.555556 THEN words > 16 OR words_after > 15 OR words_before > 4 ELSE words > 40 OR words_after > 17 END AS keep FROM n),
+b AS (SELECT page_id, count(*) AS n_blocks, string_agg(text, chr(10) ORDER BY i) FILTER (keep) AS t FROM k GROUP BY 1)
+SELECT page_id, coalesce(n_blocks, 0) AS n_blocks, CASE WHEN length(t) >= 100 THEN length(left(t, 8000)) END AS n_chars, CASE WHEN length(t) >= 100 THEN md5(left(t, 8000)) END AS text_md5 FROM pages LEFT JOIN b USING (page_id)""",
     "page_flag_counts": BODY + "SELECT CASE WHEN length(t) >= 100 THEN 'ok' ELSE 'empty_body' END AS flag, count(*) AS n FROM body GROUP BY 1",
     "page_host": "SELECT page_id, regexp_extract(lower(url), '^[a-z]+://([^/?#]*)', 1) AS host FROM pages",
     "blocked_pages": "SELECT page_id, url FROM pages WHERE regexp_matches(regexp_extract(lower(url), '^[a-z]+://([^/?#]*)', 1), '(^|\\.)(example\\.org|www\\.cheap-pills\\.example\\.com)$')",

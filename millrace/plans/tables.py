@@ -114,8 +114,7 @@ def csv_roundtrip(spark, sf_dir):
     path = os.path.join(shared_folder(spark), "nation.csv")
     n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("key"), F.concat(F.lit("="), "n_name", F.lit('",\n')).alias("name"), F.lit(None).cast("string").alias("none"))
     tables.export_csv(n, path, ["key", "name", "none"], ["key"])
-    rows = [tuple(r) for r in tables.read_table(spark, path, ["key", "name", "none"]).select("key", "name", "none").collect()]
-    return spark.createDataFrame(rows, "key string, name string, none string")
+    return tables.read_table(spark, path, ["key", "name", "none"]).select("key", "name", "none")
 
 
 QUERIES = {f.__name__: f for f in (joint_split, lineup_order, canonical_map, merged_mapping, new_names, merge_artists, alias_merge, review_filter, review_join, lineup_counts, slug_join, artist_sort, month_distribution, review_counts, first_rows, offset_lines, unresolved, csv_roundtrip)}

@@ -44,21 +44,22 @@ def csv_cell(c: Column) -> Column:
     return F.when(cell.rlike('[,"\r\n]'), F.concat(F.lit('"'), F.replace(cell, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(cell)
 
 
-def export_csv(df: DataFrame, path: str, columns: list[str], order: list[str]) -> None:
-    """One CSV file for people: UTF-8 with byte order mark, header, CRLF, guarded cells, rows in `order`, replaced as a whole.
+def write_lines(lines: DataFrame, path: str, head: bytes) -> None:
+    """One file of head and the rows of lines (one text column) in their order, each ended by CRLF. Ranges are written where the rows are and put together; no row passes the driver."""
+    files, parts = Files(lines.sparkSession), f"{path}.{uuid.uuid4().hex}.lines"
+    try:
+        lines.write.option("lineSep", "\r\n").text(parts)
+        files.put_together(path, head, files.parts(parts))
+    finally:
+        files.remove(parts)
 
-    Lines are made and sorted where the rows are and written in ranges; the file is put together from these. No row passes the driver.
-    The canonical output is Parquet.
-    """
-    files, lines = Files(df.sparkSession), f"{path}.{uuid.uuid4().hex}.lines"
+
+def export_csv(df: DataFrame, path: str, columns: list[str], order: list[str]) -> None:
+    """One CSV file for people: UTF-8 with byte order mark, header, CRLF, guarded cells, rows in `order`, replaced as a whole. The canonical output is Parquet."""
     head = io.StringIO()
     csv.writer(head, lineterminator="\r\n").writerow(columns)
     cells = [csv_cell(F.col(f"`{c}`")) for c in columns]
-    try:
-        df.orderBy(*order).select(F.concat_ws(",", *cells).alias("value")).write.option("lineSep", "\r\n").text(lines)
-        files.put_together(path, b"\xef\xbb\xbf" + head.getvalue().encode(), files.parts(lines))
-    finally:
-        files.remove(lines)
+    write_lines(df.orderBy(*order).select(F.concat_ws(",", *cells).alias("value")), path, b"\xef\xbb\xbf" + head.getvalue().encode())
 
 
 def read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame:

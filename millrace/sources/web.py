@@ -8,6 +8,7 @@ import re
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 from urllib import request, robotparser
 from urllib.parse import urlparse
 
@@ -16,13 +17,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.pages import parse_page
-from millrace.functions.urls import host, readable_url
+from millrace.functions.urls import authority, host, readable_url
 
 AGENT = "millrace/0.1"
 #: What a request may raise: refusals, addresses that are none, broken answers.
 FAILURES = (OSError, ValueError, http.client.HTTPException)
 PAUSE, TIMEOUT, TRIES = 3.0, 10, 2
 FETCHED = "url string, status string, body string, poster_image_url string, image_urls array<string>, instagram_candidates array<string>, published_at string, error string"
+#: What is known of an address's host (and port): when it was asked last, in seconds since 1970, and its robots file, '' if it has none.
+HOST = "site string, asked_at double, robots string"
 
 
 def http_get(url: str) -> tuple[bytes, str | None]:
@@ -62,14 +65,21 @@ def _known(charset: str) -> bool:
 
 @dataclass
 class Fetcher:
-    """State of one partition: robots files and last requests of its hosts."""
+    """Robots files and last requests of hosts. The clock is the time of day, as other tasks go on from what one has seen (`known`)."""
 
     get: Callable[[str], tuple[bytes, str | None]] = http_get
-    clock: Callable[[], float] = time.monotonic
+    clock: Callable[[], float] = time.time
     sleep: Callable[[float], None] = time.sleep
     robots: dict = field(default_factory=dict)
     last: dict = field(default_factory=dict)
 
+    def known(self, name: str, asked_at: float | None, robots: str | None) -> None:
+        """Takes over what an earlier task has seen of a host."""
+        if asked_at is not None:
+            self.last[name] = max(asked_at, self.last.get(name, asked_at))
+        if robots is not None and name not in self.robots:
+            self.robots[name] = robots
+
     def wait(self, name: str) -> None:
         if name in self.last and (left := PAUSE - (self.clock() - self.last[name])) > 0:
             self.sleep(left)
@@ -80,12 +90,12 @@ class Fetcher:
         name = urlparse(url).netloc
         if name not in self.robots:
             try:
-                rules = robotparser.RobotFileParser()
-                rules.parse(decode(*self.get(f"https://{name}/robots.txt")).splitlines())
+                self.robots[name] = decode(*self.get(f"https://{name}/robots.txt"))
             except FAILURES:
-                rules = None
-            self.robots[name] = rules
-        return self.robots[name] is None or self.robots[name].can_fetch(AGENT, url)
+                self.robots[name] = ""
+        rules = robotparser.RobotFileParser()
+        rules.parse(self.robots[name].splitlines())
+        return not self.robots[name] or rules.can_fetch(AGENT, url)
 
     def text(self, url: str) -> str | None:
         """One try; None on any failure or refusal."""
@@ -118,14 +128,30 @@ class Fetcher:
         return row
 
 
-def fetch_pages(urls: DataFrame, get: Callable = http_get) -> DataFrame:
-    """FETCHED rows of distinct urls. All of a host are in one partition, which keeps the pause; write the result before using it twice."""
-    todo = urls.select("url").distinct().withColumn("read", readable_url(F.col("url")))
-    todo = todo.repartition(host(F.col("read")))
+def fetch_pages(urls: DataFrame, get: Callable = http_get, hosts: DataFrame | None = None, make: Callable[[Callable], Fetcher] = Fetcher) -> DataFrame:
+    """FETCHED and HOST rows of distinct urls. All of a host are in one task, which keeps the pause; write the result before using it twice.
+
+    hosts: HOST rows of earlier rounds (`seen_hosts`): their pauses are kept through rounds and their robots files aren't read again.
+    """
+    todo = urls.select("url").distinct().withColumn("read", readable_url(F.col("url"))).withColumn("site", authority(F.col("read")))
+    seen = hosts if hosts is not None else urls.sparkSession.createDataFrame([], HOST)
+    todo = todo.join(seen.select("site", "asked_at", "robots"), "site", "left").repartition(host(F.col("read")))
+    names = [x.split()[0] for x in f"{FETCHED}, {HOST}".split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        f = Fetcher(get)
+        f = make(get)
         for batch in batches:
-            yield pd.DataFrame([f.page(u, r) for u, r in zip(batch["url"], batch["read"], strict=True)], columns=[x.split()[0] for x in FETCHED.split(", ")])
+            rows = []
+            for url, read, site, asked_at, robots in zip(*(batch[c] for c in ("url", "read", "site", "asked_at", "robots")), strict=True):
+                f.known(site, None if pd.isna(asked_at) else float(asked_at), robots)
+                row = f.page(url, read)
+                rows.append(row | {"site": site, "asked_at": f.last.get(site), "robots": f.robots.get(site)})
+            yield pd.DataFrame(rows, columns=names).astype({"asked_at": "float64"})
+
+    return todo.mapInPandas(run, f"{FETCHED}, {HOST}")
+
 
-    return todo.mapInPandas(run, FETCHED)
+def seen_hosts(*rounds: DataFrame) -> DataFrame:
+    """HOST rows, one a host, from what rounds have fetched."""
+    every = reduce(DataFrame.unionByName, (r.select("site", "asked_at", "robots") for r in rounds))
+    return every.groupBy("site").agg(F.max("asked_at").alias("asked_at"), F.max("robots").alias("robots"))

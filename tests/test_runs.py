@@ -58,6 +58,53 @@ def test_campuses_with_own_addresses(spark, tmp_path):
     assert crawl.run(spark, base, 2026, ask, fake_get) == {"ok": 2, "fetch_failed": 1}
 
 
+class OneClock:
+    """A clock in a file, for all workers: sleeping moves it on, and each request is noted with its time."""
+
+    def __init__(self, folder):
+        self.now, self.log = f"{folder}/now", f"{folder}/requests"
+
+    def read(self):
+        return float(open(self.now).read())
+
+    def sleep(self, s):
+        later = self.read() + s
+        with open(self.now, "w") as f:
+            f.write(repr(later))
+
+    def get(self, url):
+        with open(self.log, "a") as f:
+            f.write(f"{self.read()} {url}\n")
+        if url.endswith("robots.txt"):
+            if "open" in url:
+                raise OSError("404")
+            return b"User-agent: *\nDisallow: /no", None
+        return ("<article>" + "word " * 40 + "</article>").encode(), None
+
+    def fetcher(self, get):
+        return web.Fetcher(get, self.read, self.sleep)
+
+
+def test_pauses_and_robots_last_through_rounds(spark, tmp_path):
+    clock = OneClock(str(tmp_path))
+    (tmp_path / "now").write_text("1000.0")
+    urls = lambda *names: spark.createDataFrame([(n,) for n in names], "url string").coalesce(1)
+    rounds = []
+    for names in (("https://h/a", "https://h/b", "https://open/c"), ("https://h/d", "https://h/no", "https://open/e"), ("https://h/f", "https://new/g")):
+        got = web.fetch_pages(urls(*names), clock.get, web.seen_hosts(*rounds) if rounds else None, clock.fetcher)
+        got.coalesce(1).write.parquet(str(tmp_path / f"round{len(rounds)}"))
+        rounds.append(spark.read.parquet(str(tmp_path / f"round{len(rounds)}")))
+    rows = {r.url: r for x in rounds for r in x.collect()}
+    assert {u: r.status for u, r in rows.items() if "no" not in u} == {u: "ok" for u in rows if "no" not in u} and rows["https://h/no"].error == "robots"
+    asked = [x.split() for x in (tmp_path / "requests").read_text().splitlines()]
+    assert sorted(u for _, u in asked if u.endswith("robots.txt")) == ["https://h/robots.txt", "https://new/robots.txt", "https://open/robots.txt"]  # once each
+    for site in ("https://h/", "https://open/"):
+        times = sorted(float(t) for t, u in asked if u.startswith(site) and not u.endswith("robots.txt"))
+        assert len(times) == (4 if site == "https://h/" else 2) and all(b - a >= web.PAUSE for a, b in zip(times, times[1:]))
+    last = {r.site: r.asked_at for r in web.seen_hosts(*rounds).collect()}
+    assert set(last) == {"h", "open", "new"} and last["h"] == max(float(t) for t, u in asked if u.startswith("https://h/"))
+
+
 def test_bad_addresses_fail_alone(spark, tmp_path):
     base = write_seed(tmp_path, ["A,c,r,2026,notaurl,1,2", "B,c,r,2026,http://[bad/x,1,2", "D,c,r,2026,https://site/a,1,2"])
     ask = lambda p: '{"candidates": []}' if "candidates" in p else fake_provider(p.replace("'D'", "'A'"))
