@@ -66,7 +66,11 @@ def live_waterfall(rows: DataFrame, rounds, attempt, write) -> DataFrame:
     for candidates in rounds:
         found = top_candidates(candidates(left), by=("source",))
         for rank in range(1, MOST + 1):
-            now = write(attempt(remaining(found.where(F.col("rank") == rank), done.where(F.col("flag") == "ok")) if done is not None else found.where(F.col("rank") == rank)))
+            now = found.where(F.col("rank") == rank)
+            now = now if done is None else remaining(now, done.where(F.col("flag") == "ok"))
+            if done is not None and now.isEmpty():
+                break  # nor is there a candidate of a later rank
+            now = write(attempt(now))
             done = now if done is None else done.unionByName(now)
         left = remaining(rows, done.where(F.col("flag") == "ok"))
     return done
