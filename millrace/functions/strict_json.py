@@ -7,6 +7,8 @@ Differences from the models, all of them errors here: a field that comes twice,
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,91 +23,112 @@ LONE = r"(?i)(?<!\\)(?:\\\\)*(?:\\ud[89ab][0-9a-f]{2}(?!\\ud[c-f][0-9a-f]{2})|(?
 _SMALL = 2147483647.0
 
 
-def _kind(v: Column) -> Column:
-    """object, array, string, bool, number, null; null itself where there is no value. Only the head of a nested value's type is looked at."""
-    t = F.schema_of_variant(v)
-    return F.when(t.startswith("OBJECT"), "object").when(t.startswith("ARRAY"), "array").when(t == "STRING", "string").when(t == "BOOLEAN", "bool").when(t == "VOID", "null").otherwise(F.when(t.isNotNull(), "number"))
+#: First characters of a value as JSON.
+STRING, OBJECT, ARRAY, NULL, BOOL, NESTED = '"', "{", "[", "n", ("t", "f"), ("[", "{")
+
+
+def _head(v: Column) -> Column:
+    """The first character of a value as JSON, which shows its kind: a digit or a sign is a number's."""
+    return F.substring(F.to_json(v), 1, 1)
+
+
+def _once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once: a variable stands for it, where it would be repeated else."""
+    return F.get(F.transform(F.array(value), body), 0)
 
 
-def _integer(v: Column) -> tuple[Column, Column]:
-    """Value and error of an integer that may be null."""
-    kind, text = _kind(v), F.try_variant_get(v, "$", "string")
+def _result(value: Column, error: Column) -> Column:
+    return F.struct(value.alias("value"), error.alias("error"))
+
+
+def _integer(v: Column, head: Column) -> Column:
+    """Of an integer that may be null."""
     number = F.try_variant_get(v, "$", "double")
-    digits = F.regexp_replace(F.regexp_extract(text, WHOLE, 1), "_", "")
-    of_text = digits.try_cast("int")
-    value = F.when(kind == "number", number.try_cast("int")).when(kind == "string", of_text).when(kind == "bool", F.try_variant_get(v, "$", "boolean").cast("int"))
-    error = (
-        F.when(kind == "number", F.when(number != F.floor(number), "int_from_float").when(F.abs(number) > _SMALL, "int_parsing_size"))
-        .when(kind == "string", F.when(of_text.isNull(), F.when(digits == "", "int_parsing").otherwise("int_parsing_size")))
-        .when(kind.isin("array", "object"), "int_type")
-    )
-    return F.when(error.isNull(), value), error
+    of_number = _result(number.try_cast("int"), F.when(number != F.floor(number), "int_from_float").when(F.abs(number) > _SMALL, "int_parsing_size"))
+
+    def of_digits(digits: Column) -> Column:
+        return _result(digits.try_cast("int"), F.when(digits == "", "int_parsing").when(digits.try_cast("int").isNull(), "int_parsing_size"))
+
+    of_text = _once(F.regexp_replace(F.regexp_extract(F.try_variant_get(v, "$", "string"), WHOLE, 1), "_", ""), of_digits)
+    of_bool = _result(F.try_variant_get(v, "$", "boolean").cast("int"), _none())
+    other = _result(F.lit(None).cast("int"), F.when(head != NULL, "int_type"))
+    return F.when(head.isin(NULL, *NESTED), other).when(head == STRING, of_text).when(head.isin(*BOOL), of_bool).otherwise(of_number)
 
 
-def _flag(v: Column) -> tuple[Column, Column]:
-    kind, text, number = _kind(v), F.lower(F.try_variant_get(v, "$", "string")), F.try_variant_get(v, "$", "double")
-    of_text = F.when(text.isin(*TRUE), True).when(text.isin(*FALSE), False)
-    value = F.when(kind == "bool", F.try_variant_get(v, "$", "boolean")).when(kind == "number", number == 1).when(kind == "string", of_text)
-    error = F.when(kind == "number", F.when(~number.isin(0.0, 1.0), F.when(number == F.floor(number), "bool_parsing").otherwise("bool_type"))).when(kind == "string", F.when(of_text.isNull(), "bool_parsing")).when(kind != "bool", "bool_type")
-    return value, error
+def _none(kind: str = "string") -> Column:
+    return F.lit(None).cast(kind)
 
 
-def _text(v: Column, domain: tuple[str, ...] | None, required: bool) -> tuple[Column, Column]:
-    kind, value = _kind(v), F.try_variant_get(v, "$", "string")
-    good = kind == "string" if domain is None else (kind == "string") & value.isin(*domain)
-    error = F.when(~good, "string_type" if domain is None else "literal_error")
-    return F.when(kind == "string", value), error if required else F.when(kind != "null", error)
+def _flag(v: Column, head: Column) -> Column:
+    number, text = F.try_variant_get(v, "$", "double"), F.lower(F.try_variant_get(v, "$", "string"))
+    of_number = _result(number == 1, F.when(~number.isin(0.0, 1.0), F.when(number == F.floor(number), "bool_parsing").otherwise("bool_type")))
+    of_text = _result(text.isin(*TRUE), F.when(~text.isin(*TRUE, *FALSE), "bool_parsing"))
+    other = _result(_none("boolean"), F.lit("bool_type"))
+    return F.when(head.isin(*BOOL), _result(F.try_variant_get(v, "$", "boolean"), _none())).when(head.isin(NULL, *NESTED), other).when(head == STRING, of_text).otherwise(of_number)
 
 
-def _objects(v: Column, fields: tuple) -> Column:
-    """struct(value, error) of a list of objects; the error is that of the first item that has one."""
-    one = lambda x: F.when(_kind(x) == "object", checked(x, fields)).otherwise(F.struct(F.lit(None).cast(struct_type(fields)).alias("value"), F.lit("model_type").alias("error")))
-    return _list(v, one)
+def _text(v: Column, head: Column, domain: tuple[str, ...] | None, required: bool) -> Column:
+    value = F.try_variant_get(v, "$", "string")
+    wrong = "string_type" if domain is None else "literal_error"
+    of_text = _result(value, _none() if domain is None else F.when(~value.isin(*domain), wrong))
+    return F.when(head == STRING, of_text).otherwise(_result(_none(), F.lit(wrong) if required else F.when(head != NULL, wrong)))
 
 
-def _texts(v: Column) -> Column:
-    def one(x: Column) -> Column:
-        value, error = _text(x, None, True)
-        return F.struct(value.alias("value"), error.alias("error"))
+def _list(v: Column, head: Column, item: str, one: Callable[[Column], Column]) -> Column:
+    """Of a list; the error is that of the first item that has one."""
 
-    return _list(v, one)
+    def of_items(items: Column) -> Column:
+        errors = F.filter(F.transform(items, lambda x: x["error"]), lambda e: e.isNotNull())
+        return _result(F.transform(items, lambda x: x["value"]), F.get(errors, 0))
 
+    got = _once(F.transform(F.try_variant_get(v, "$", "array<variant>"), one), of_items)
+    return F.when(head == ARRAY, got).otherwise(_result(_none(f"array<{item}>"), F.lit("list_type")))
 
-def _list(v: Column, one) -> Column:
-    items = F.transform(F.try_variant_get(v, "$", "array<variant>"), one)
-    error = F.when(_kind(v) != "array", "list_type").otherwise(F.get(F.filter(F.transform(items, lambda x: x["error"]), lambda e: e.isNotNull()), 0))
-    return F.struct(F.transform(items, lambda x: x["value"]).alias("value"), error.alias("error"))
+
+def _object(v: Column, fields: tuple) -> Column:
+    return F.when(_head(v) == OBJECT, checked(v, fields)).otherwise(_result(_none(struct_type(fields)), F.lit("model_type")))
+
+
+def _field(v: Column, name: str, kind) -> Column:
+    """struct(value, error) of a field of an object; a value may be null where there is an error."""
+    required = name in REQUIRED_FIELDS
+    if kind == "boolean":
+        of, absent = _flag, F.lit(False)
+    elif kind == "int":
+        of, absent = _integer, _none("int")
+    elif kind == "string":
+        of, absent = (lambda x, k: _text(x, k, DOMAINS.get(name), required)), _none()
+    elif kind == "array<string>":
+        of, absent = (lambda x, k: _list(x, k, "string", lambda i: _text(i, _head(i), None, True))), F.array().cast("array<string>")
+    else:
+        item = struct_type(kind)
+        of, absent = (lambda x, k: _list(x, k, item, lambda i: _object(i, kind))), F.array().cast(f"array<{item}>")
+    missing = _result(absent, F.lit("missing" if required else None).cast("string"))
+    return _once(F.try_variant_get(v, f"$.{name}", "variant"), lambda x: F.when(x.isNull(), missing).otherwise(of(x, _head(x))))
 
 
 def checked(v: Column, fields: tuple) -> Column:
     """struct(value, error) of an object's fields, the error being the first by the order of fields; the value is null if there is one."""
-    values, errors = [], []
-    for name, kind in fields:
-        x, required = F.try_variant_get(v, f"$.{name}", "variant"), name in REQUIRED_FIELDS
-        if kind == "boolean":
-            value, error = _flag(x)
-            value = F.coalesce(value, F.lit(False))
-        elif kind == "int":
-            value, error = _integer(x)
-        elif kind == "string":
-            value, error = _text(x, DOMAINS.get(name), required)
-        else:
-            got = _texts(x) if kind == "array<string>" else _objects(x, kind)
-            value, error = got["value"], got["error"]
-            value = F.coalesce(value, F.array().cast(kind if isinstance(kind, str) else f"array<{struct_type(kind)}>"))
-        errors.append(F.when(x.isNull(), F.lit("missing" if required else None)).otherwise(error))
-        values.append(value.alias(name))
-    error = F.coalesce(*errors)
-    return F.struct(F.when(error.isNull(), F.struct(*values)).cast(struct_type(fields)).alias("value"), error.alias("error"))
+
+    def whole(got: Column) -> Column:
+        error = F.coalesce(*(got[name]["error"] for name, _ in fields))
+        value = F.struct(*(got[name]["value"].alias(name) for name, _ in fields)).cast(struct_type(fields))
+        return _result(F.when(error.isNull(), value), error)
+
+    return _once(F.struct(*(_field(v, name, kind).alias(name) for name, kind in fields)), whole)
 
 
 def strict_json(raw: Column, fields: tuple = EXTRACTION_FIELDS) -> Column:
     """struct(value, error) of an answer: exactly one of the two is null."""
-    part = json_slice(raw)
-    # Within a list of one, as text behind the object would be passed over else.
-    every = F.try_parse_json(F.concat(F.lit("["), part, F.lit("]")))
-    v = F.when(~part.rlike(LONE), F.try_variant_get(every, "$[0]", "variant"))
-    none = F.lit(None).cast(struct_type(fields)).alias("value")
-    no_object = F.struct(none, F.lit("no JSON object in the answer").alias("error"))
-    broken = v.isNull() | F.try_variant_get(every, "$[1]", "variant").isNotNull()
-    return F.when(part.isNull(), no_object).when(broken, F.struct(none, F.lit("json_invalid").alias("error"))).otherwise(checked(v, fields))
+    none = _none(struct_type(fields))
+
+    def of_part(part: Column) -> Column:
+        # Within a list of one, as text behind the object would be passed over else.
+        parsed = F.when(~part.rlike(LONE), F.try_parse_json(F.concat(F.lit("["), part, F.lit("]"))))
+        return F.when(part.isNull(), _result(none, F.lit("no JSON object in the answer"))).otherwise(_once(parsed, of_list))
+
+    def of_list(every: Column) -> Column:
+        broken = F.coalesce(F.try_variant_get(every, "$[1]", "variant").isNotNull() | every.isNull(), F.lit(True))
+        return F.when(broken, _result(none, F.lit("json_invalid"))).otherwise(_once(F.try_variant_get(every, "$[0]", "variant"), lambda v: checked(v, fields)))
+
+    return _once(json_slice(raw), of_part)
