@@ -141,7 +141,7 @@ def sitemap_match_many(spark, sf_dir):
     o, c = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
     seed = c.select(F.col("c_custkey").cast("int").alias("seed_pos"), F.concat("c_name", F.lit("/")).alias("university"), (F.lit(1992) + F.col("c_custkey") % 7).cast("int").alias("year"))
     url = F.concat(F.lit("https://maps.example/entry/"), "c_name", F.lit("/"), F.year("o_orderdate"), F.lit("-"), F.lower("o_orderpriority"))
-    entries = o.join(c, F.col("o_custkey") == F.col("c_custkey")).select(url.alias("url"), F.lit(0).alias("source_pos"), F.col("o_orderkey").alias("loc_pos"))
+    entries = o.join(c.hint("merge"), F.col("o_custkey") == F.col("c_custkey")).select(url.alias("url"), F.lit(0).alias("source_pos"), F.col("o_orderkey").alias("loc_pos"))
     return sitemap.sitemap_candidates(seed, entries, candidates.MOST).select("seed_pos", "url", F.col("rank").cast("long").alias("rank"))
 
 

@@ -48,14 +48,15 @@ def sitemap_entries(sitemaps: DataFrame) -> DataFrame:
 def sitemap_candidates(seed: DataFrame, entries: DataFrame, most: int | None = None) -> DataFrame:
     """seed_pos, url and rank (from 1, in sitemap order) of entries whose address holds the university's name and the year, blocked hosts aside.
 
-    Names are looked up in an index of the addresses' characters (`containing`), whatever their number. most: only so many of each seed row.
-    A seed row without a name has no candidates.
+    Names are looked up in an index of the addresses' characters (`containing`), whatever their number; seed rows that ask for the same are looked up
+    once. most: only so many of each seed row. A seed row without a name has no candidates.
     """
     s = seed.select("seed_pos", "university", F.col("year").cast("string").alias("year"))
-    hit = containing(entries.where(~is_blocked(F.col("url"))), s, "url", "university").where(F.contains("url", F.col("year")))
-    got = ranked(hit, "seed_pos", "source_pos", "loc_pos").select("seed_pos", "url", "rank")
-    return got.where(F.col("rank") <= most) if most else got
+    asked = s.select("university", "year").distinct()
+    hit = containing(entries.where(~is_blocked(F.col("url"))), asked, "url", "university").where(F.contains("url", F.col("year")))
+    got = ranked(hit, ["university", "year"], "source_pos", "loc_pos").select("university", "year", "url", "rank")
+    return (got.where(F.col("rank") <= most) if most else got).join(s, ["university", "year"]).select("seed_pos", "url", "rank")
 
 
-def ranked(df: DataFrame, key: str, *order: str) -> DataFrame:
+def ranked(df: DataFrame, key: str | list[str], *order: str) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
