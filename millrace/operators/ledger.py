@@ -14,7 +14,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.attempts import first_valid
 from millrace.sources.provider import Provider, ProviderError, parse_answer
 from millrace.sources.tables import read_if_there
 
@@ -29,17 +28,31 @@ def request_of(prompt: Column) -> Column:
     return F.sha2(prompt.cast("binary"), 256)
 
 
+def _letters(digest: str) -> Column:
+    return F.lower(F.hex(digest))
+
+
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """One row a request and try: where two tasks were paid for the same one after all, the lesser answer counts."""
     rows = read_if_there(spark, path, LEDGER)
     return rows.groupBy("request", "try").agg(F.min(F.struct("answer", "error")).alias("a")).select("request", "try", "a.answer", "a.error")
 
 
-def open_requests(prompts: DataFrame, ledger: DataFrame, number: int) -> DataFrame:
-    """request and the text to send of the distinct prompts that are due for try `number`: asked number - 1 times, each time in vain. Earlier errors stand under the prompt."""
-    asked = prompts.where(F.col("prompt").isNotNull()).select(request_of(F.col("prompt")).alias("request"), "prompt").dropDuplicates(["request"])
+def _tried(spark: SparkSession, path: str, tries: int) -> DataFrame:
+    """Of each request (its digest's bytes, half as long as their letters): n tries, the first valid answer of at most `tries`, all errors and the last. The ledger is shuffled once."""
+    rows = read_if_there(spark, path, LEDGER).withColumn("request", F.unhex("request")).where(F.col("request").isNotNull())
+    one = rows.repartition("request").groupBy("request", "try").agg(F.min(F.struct("answer", "error")).alias("a")).select("request", "try", "a.answer", "a.error")
+    good = F.when(F.col("error").isNull() & (F.col("try") <= tries), F.col("try"))
     errors = F.transform(F.array_sort(F.collect_list(F.struct("try", "error"))), lambda x: x["error"])  # at most as many as there are tries
-    tried = ledger.groupBy("request").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("error").isNull()).alias("good"), errors.alias("errors"))
+    return one.groupBy("request").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("error").isNull()).alias("good"), F.min_by("answer", good).alias("answer"), errors.alias("errors"), F.max_by("error", "try").alias("last")
+    )
+
+
+def open_requests(prompts: DataFrame, path: str, number: int) -> DataFrame:
+    """request (bytes) and the text to send of the distinct prompts that are due for try `number`: asked number - 1 times, each time in vain. Earlier errors stand under the prompt."""
+    asked = prompts.where(F.col("prompt").isNotNull()).select(F.unhex(request_of(F.col("prompt"))).alias("request"), "prompt").dropDuplicates(["request"])
+    tried = _tried(prompts.sparkSession, path, number).select("request", "n", "good", "errors")
     due = asked.join(tried, "request", "left").where((F.coalesce("n", F.lit(0)) == number - 1) & (F.coalesce("good", F.lit(0)) == 0))
     return due.select("request", F.concat_ws("\n\n", F.array("prompt"), F.coalesce("errors", F.array().cast("array<string>"))).alias("text"))
 
@@ -69,24 +82,21 @@ def ask_all(prompts: DataFrame, provider: Provider, path: str, model: str = "ext
 
     An answer that doesn't parse is asked for again with its error under the prompt. Null prompts are not asked; equal ones are one request.
     """
-    spark, added = prompts.sparkSession, 0
+    spark = prompts.sparkSession
+    rows = lambda: read_if_there(spark, path, LEDGER).count()  # noqa: E731  (of the files' footers)
+    before = rows()
     for number in range(1, tries + 1):
-        known = read_ledger(spark, path)
-        before = known.count()
-        due = open_requests(prompts, known, number)
+        due = open_requests(prompts, path, number)
         n = due.count()
         if not n:
             continue
         dealt = due.repartition(-(-n // per_task))  # in turn, in an order that a repeated task meets again
-        _called(dealt, number, provider, model).write.mode("append").options(**BY_TASK).parquet(path)
-        added += read_ledger(spark, path).count() - before
-    return added
+        _called(dealt.withColumn("request", _letters("request")), number, provider, model).write.mode("append").options(**BY_TASK).parquet(path)
+    return rows() - before
 
 
 def answers(prompts: DataFrame, path: str, tries: int = 2) -> DataFrame:
     """The rows of prompts with tries (answered calls so far), answer and error: the first valid answer; without one the last error, null if no call was answered."""
-    ledger = read_ledger(prompts.sparkSession, path)
-    good = first_valid(ledger, "request", F.col("error").isNull(), order="try", tries=tries).select("request", "answer")
-    tried = ledger.groupBy("request").agg(F.count(F.lit(1)).alias("tries"), F.max_by("error", "try").alias("last"))
-    rows = prompts.withColumn("request", request_of(F.col("prompt"))).join(tried, "request", "left").join(good, "request", "left")
-    return rows.withColumn("error", F.when(F.col("answer").isNull(), F.col("last"))).withColumn("tries", F.coalesce("tries", F.lit(0))).drop("last")
+    tried = _tried(prompts.sparkSession, path, tries).select("request", F.col("n").alias("tries"), "answer", F.col("last").alias("error"))
+    rows = prompts.withColumn("request", F.unhex(request_of(F.col("prompt")))).join(tried, "request", "left").withColumn("request", _letters("request"))
+    return rows.withColumn("error", F.when(F.col("answer").isNull(), F.col("error"))).withColumn("tries", F.coalesce("tries", F.lit(0)))

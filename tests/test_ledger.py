@@ -95,3 +95,27 @@ def test_double_answers_count_once(spark, tmp_path):
 def test_prompts_are_known_by_their_bytes(spark):
     got = prompts_of(spark, ["a", "a ", "b", None]).select(ledger.request_of(F.col("prompt")).alias("r")).collect()
     assert len({r.r for r in got}) == 4 and got[3].r is None
+
+
+def test_ledger_and_prompts_are_shuffled_once(spark, tmp_path):
+    """Each by the bytes of the digest; what is sent is dealt out besides."""
+    path = str(tmp_path / "ledger")
+    asked = prompts_of(spark, [f"{k} {i}" for k in ("good", "bad") for i in range(20)])
+    assert ledger.ask_all(asked, Paid(str(tmp_path)), path) == 60
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (ledger.answers(asked, path), ledger.open_requests(asked, path, 2)):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning(") == 2 and plan.count("Exchange ") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_answers_of_fewer_tries(spark, tmp_path):
+    path, prompts = str(tmp_path / "ledger"), prompts_of(spark, ["a", "b", "c"])
+    a, b, c = (r[0] for r in prompts.select(ledger.request_of(F.col("prompt"))).collect())
+    rows = [(a, 1, "x", "bad"), (a, 2, GOOD, None), (b, 1, "y", "bad 1"), (b, 2, "y", "bad 2"), (b, 1, "x", "other"), (c, 2, "z", None), (c, 1, "w", None)]
+    spark.createDataFrame(rows, ledger.LEDGER).write.parquet(path)
+    for tries, want in ((2, [(2, GOOD, None), (2, None, "bad 2"), (2, "w", None)]), (1, [(2, None, None), (2, None, "bad 2"), (2, "w", None)])):
+        got = ledger.answers(prompts, path, tries).orderBy("id").collect()
+        assert [(r.tries, r.answer, r.error) for r in got] == want and [r.request for r in got] == [a, b, c]
