@@ -19,14 +19,15 @@ def read_config(spark: SparkSession, path: str, known: dict[str, Any]) -> dict[s
     return known | given
 
 
-def write_partitions(df: DataFrame, path: str, by: list[str], only: bool, **counts: Column) -> dict[str, Any]:
+def write_partitions(df: DataFrame, path: str, by: list[str], only: bool, dealt: bool = False, **counts: Column) -> dict[str, Any]:
     """Writes Parquet partitioned by columns, and returns its rows and the counts named, seen while it is written.
 
     only: partitions that df has no row of stay as they are; else the table is replaced as a whole. Partitions come in files of even size
-    whatever their number of rows: Spark splits large ones and joins small ones as it deals the rows out.
+    whatever their number of rows: Spark splits large ones and joins small ones as it deals the rows out; dealt: df was dealt out so already.
     """
     seen = Observation()
-    rows = df.observe(seen, F.count(F.lit(1)).alias("rows"), *(c.alias(n) for n, c in counts.items())).hint("rebalance", *by)
+    rows = df.observe(seen, F.count(F.lit(1)).alias("rows"), *(c.alias(n) for n, c in counts.items()))
+    rows = rows if dealt else rows.hint("rebalance", *by)
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if only else "static").partitionBy(*by).parquet(path)
     try:
         return dict(seen.get)

@@ -15,13 +15,18 @@ def split_joint(raw: Column) -> Column:
     return F.when(F.size(parts) == 0, F.array(raw)).otherwise(parts)
 
 
+def split(items: DataFrame) -> DataFrame:
+    """A row per name of items (artist_raw, day, is_secret, item_pos and others): split_pos, name. Secret items aren't split and have no name."""
+    secret = F.coalesce("is_secret", F.lit(False))
+    names = F.when(secret, F.array(F.lit(""))).otherwise(split_joint(F.col("artist_raw")))
+    return items.withColumn("is_secret", secret).select(*(c for c in items.columns if c != "artist_raw"), F.posexplode(names).alias("split_pos", "name"))
+
+
 def exploded(records: DataFrame, key: str = "rec_id") -> DataFrame:
-    """A row per performer of the records that are ok and have an extraction: key, day, item_pos, split_pos, name, is_secret. Secret items aren't split and have no name."""
+    """A row per performer of the records that are ok and have an extraction: key, item_pos, day, is_secret, split_pos, name."""
     usable = records.where((F.col("flag") == "ok") & F.col("extraction").isNotNull())
     items = usable.select(*(c for c in records.columns if c != "extraction"), F.posexplode("extraction.lineup").alias("item_pos", "item"))
-    secret = F.coalesce("item.is_secret", F.lit(False))
-    names = F.when(secret, F.array(F.lit(""))).otherwise(split_joint(F.col("item.artist_raw")))
-    return items.withColumn("day", F.col("item.day")).withColumn("is_secret", secret).select(*(c for c in items.columns if c not in ("item",)), "day", "is_secret", F.posexplode(names).alias("split_pos", "name"))
+    return split(items.select(*(c for c in items.columns if c != "item"), "item.artist_raw", "item.day", "item.is_secret"))
 
 
 def numbered(rows: DataFrame, key: str = "rec_id") -> DataFrame:
@@ -38,8 +43,16 @@ def canonical(rows: DataFrame, mapping: DataFrame, name: str = "name", secret: s
 
 def build_lineup(records: DataFrame, mapping: DataFrame, key: str = "rec_id", *keep: str) -> DataFrame:
     """The lineup table (import_key, day, order, artist_raw, artist_canonical, revealed) with the positions that order it for export, and the record's columns to keep."""
-    keyed = records.withColumn("import_key", import_key(F.col("university"), F.col("campus"), F.col("year"), festival_month(F.col("extraction.start_date"))))
-    rows = canonical(numbered(exploded(keyed, key), key), mapping)
+    return lineup_table(exploded(keyed(records), key), mapping, key, *keep)
+
+
+def keyed(records: DataFrame) -> DataFrame:
+    return records.withColumn("import_key", import_key(F.col("university"), F.col("campus"), F.col("year"), festival_month(F.col("extraction.start_date"))))
+
+
+def lineup_table(names: DataFrame, mapping: DataFrame, key: str = "rec_id", *keep: str) -> DataFrame:
+    """The line-up table of names that are split already; see build_lineup."""
+    rows = canonical(numbered(names, key), mapping)
     return rows.select("import_key", "day", "order", F.col("name").alias("artist_raw"), "artist_canonical", (~F.col("is_secret")).alias("revealed"), key, "item_pos", "split_pos", *keep)
 
 

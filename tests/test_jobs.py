@@ -174,6 +174,22 @@ def test_season_tables_by_year(spark, tmp_path):
     assert tables_of(spark, parts) == [r for r in want if f"year={years[0]}" not in r and f"year={years[1]}" not in r]
 
 
+@needs_tables
+def test_lines_stay_rows(spark):
+    """No lists of an order's lines are made, and the mapping meets raw names that are counted already."""
+    read = lambda n: spark.read.parquet(paths()[n])
+    recs = season_tables.records(season_tables.of_years(read("orders"), None), season_tables.seed_rows(read("customer"), read("nation")))
+    keys = season_tables.lineup.keyed(recs.where("flag = 'ok'")).select("rec_id", "import_key", "year")
+    items = season_tables.performers(read("lineitem"), keys)
+    plan = items._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "Window" in plan
+    twice = spark.createDataFrame([("x", "X"), ("x", "X")], "artist_raw string, artist_canonical string")
+    rows = spark.createDataFrame([(1, 1995, "x", "X", True), (1, 1995, "y", "X", True), (2, 1995, "x", "X", True), (2, 1995, "z", "z", True), (3, 1995, "", "", False), (3, 1996, "x", "X", True)], "rec_id long, year int, artist_raw string, artist_canonical string, revealed boolean")
+    got = season_tables.artists(rows, twice)
+    assert sorted(map(tuple, got.collect())) == [("X", 1, 1, 1, False, 1996), ("X", 2, 3, 2, False, 1995), ("z", 1, 1, 1, True, 1995)]
+    assert "Expand" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 @needs_tables
 def test_season_tables_read_one_year_only(spark):
     scan = season_tables.of_years(spark.read.parquet(paths()["orders"]), [1995, 1996])._jdf.queryExecution().toString()
