@@ -281,6 +281,18 @@ def test_url_filter_rules_are_those_of_the_contract(spark):
     ]
 
 
+def test_linked_pages_are_judged_as_in_their_sql(spark, tmp_path):
+    """Four pages name one address: a verdict on net/de/ passes to the others, unless a page among them is allowed."""
+    urls = ["http://a.net/de/1", "http://a.info/", "http://b.info/", "http://a.net/fr/", "http://b.net/de/1", "http://example.com/en/7", "http://c.info/", "http://d.info/"]
+    spark.createDataFrame([(i, u, "") for i, u in enumerate(urls)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = queries.linked_pages_filter(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    want = con.sql(f"SELECT {', '.join(got.columns)} FROM ({queries.ORACLES['linked_pages_filter']}) ORDER BY page_id").fetchall()
+    assert [tuple(r) for r in got.orderBy("page_id").collect()] == want
+    assert [r[-1] for r in want] == ["block"] * 5 + ["allow"] * 3
+
+
 def test_index_tells_null_ids_from_page_0(spark):
     rows = [(0, "u", "x"), (None, "u", "y"), (-3, "u", "z"), *((k, "u", "common " * 200) for k in range(10, 40))]
     folder = warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1))
